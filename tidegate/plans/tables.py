@@ -101,12 +101,15 @@ def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def charge_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+def charge_pages(
+    spark: SparkSession, sf_dir: str, page_size: int = 100, chain: Column | None = None
+) -> DataFrame:
     """Charges as cursor-paged envelopes: 20 chains, the cursor is the last id of a page.
 
-    ``body`` is the JSON envelope a paged endpoint returns.
+    ``body`` is the JSON envelope a paged endpoint returns. Another ``chain``
+    expression over the charge columns changes how rows are spread over chains.
     """
-    rows = charges(spark, sf_dir).withColumn("chain_id", F.col("created") % 20)
+    rows = charges(spark, sf_dir).withColumn("chain_id", F.col("created") % 20 if chain is None else chain)
     order = ["created", "id", "amount", "status"]
     placed = ordinal(rows, ["chain_id"], F.floor(F.col("created") / 86400), order)
     page_no = F.floor((F.col("ordinal") - 1) / page_size).alias("page_no")
@@ -136,7 +139,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log line per event, typed."""
     return load(spark, sf_dir, "events").select(
         F.col("event_id"),
-        F.col("ts"),
+        F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"),
         F.col("event_type").alias("operation"),
         F.round(F.col("value") * 10).cast("bigint").alias("duration_ms"),
