@@ -1,6 +1,6 @@
 """Dates and times, all in UTC."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,12 +13,18 @@ def created_timestamp(epoch_seconds: Column) -> Column:
     return F.timestamp_seconds(epoch_seconds)
 
 
+def epoch_micros(value: datetime) -> int:
+    """A datetime without a zone means UTC, whatever the zone of the host."""
+    aware = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
+    return (aware - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
 def as_timestamp(value) -> Column:
     """A TIMESTAMP column from a datetime, an ISO text or a column."""
     if isinstance(value, Column):
         return value
     if isinstance(value, datetime):
-        return F.lit(value)
+        return F.timestamp_micros(F.lit(epoch_micros(value)))
     return F.lit(value).cast("timestamp")
 
 

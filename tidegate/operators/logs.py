@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidegate.operators.ordered import ordinal, running
+from tidegate.operators.validate import parsed_once
 from tidegate.schema import LOG_SCHEMA
 
 _STARTING = "Starting: "
@@ -17,7 +18,7 @@ def parse_log(lines: DataFrame, text: str = "value") -> DataFrame:
     """Typed fields of JSON lines; a line that is no JSON keeps its text in ``corrupt``."""
     schema = StructType([*LOG_SCHEMA.fields, StructField("corrupt", StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
-    parsed = lines.select(F.from_json(text, schema, options).alias("line")).select("line.*")
+    parsed = lines.select(parsed_once(F.from_json(text, schema, options)))
     return parsed.withColumn("ts", F.try_to_timestamp("timestamp"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StructType
 
 from tidegate.operators.ordered import running
+from tidegate.operators.validate import parsed_once
 from tidegate.schema import CHARGE_SCHEMA
 
 
@@ -19,12 +20,11 @@ def parse_envelopes(
 ) -> DataFrame:
     """Replace the JSON body by ``data`` (empty when absent) and ``has_more`` (false when absent)."""
     envelope = StructType().add(data_field, ArrayType(record)).add(has_more_field, BooleanType())
-    parsed = pages.withColumn("_envelope", F.from_json(body, envelope)).drop(body)
-    others = [c for c in parsed.columns if c != "_envelope"]
-    return parsed.select(
+    others = [c for c in pages.columns if c != body]
+    return pages.select(*others, parsed_once(F.from_json(body, envelope))).select(
         *others,
-        F.coalesce(F.col("_envelope")[data_field], F.array().cast(ArrayType(record))).alias("data"),
-        F.coalesce(F.col("_envelope")[has_more_field], F.lit(False)).alias("has_more"),
+        F.coalesce(data_field, F.array().cast(ArrayType(record))).alias("data"),
+        F.coalesce(has_more_field, F.lit(False)).alias("has_more"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -11,12 +11,21 @@ from tidegate.schema import CHARGE_SCHEMA
 _CORRUPT = "_corrupt_record"
 
 
+def parsed_once(struct: Column) -> Column:
+    """The fields of a parsed struct as columns.
+
+    Selecting ``struct.*`` would let the optimizer parse the text again for
+    every field; a generator is evaluated once per row.
+    """
+    return F.inline(F.array(struct))
+
+
 def typed_ingest(df: DataFrame, text: str = "value", schema: StructType = CHARGE_SCHEMA) -> DataFrame:
     """Records under a fixed schema: unknown keys are dropped, missing ones are NULL.
 
     A missing value in a column that must not be NULL fails the job.
     """
-    parsed = df.select(F.from_json(text, schema).alias("record")).select("record.*")
+    parsed = df.select(parsed_once(F.from_json(text, schema)))
     required = [f.name for f in schema if not f.nullable]
     return parsed.withColumns(
         {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"record without {c}")).cast(schema[c].dataType)) for c in required}
@@ -34,11 +43,12 @@ def validate_schema(df: DataFrame, text: str = "value", schema: StructType = CHA
     for field in schema:
         loose = loose.add(field.name, StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = df.select(text, F.from_json(text, loose.add(_CORRUPT, StringType()), options).alias("r"))
-    corrupt = F.col(f"r.{_CORRUPT}").isNotNull()
+    record = F.from_json(text, loose.add(_CORRUPT, StringType()), options)
+    parsed = df.select(F.col(text).alias("raw"), parsed_once(record))
+    corrupt = F.col(_CORRUPT).isNotNull()
     reasons, columns = [F.when(corrupt, F.lit("malformed"))], []
     for field in schema:
-        raw = F.col(f"r.{field.name}")
+        raw = F.col(field.name)
         value = raw if isinstance(field.dataType, StringType) else raw.try_cast(field.dataType)
         columns.append(value.alias(field.name))
         if not field.nullable:
@@ -46,7 +56,7 @@ def validate_schema(df: DataFrame, text: str = "value", schema: StructType = CHA
             reasons.append(F.when(~corrupt & empty, F.lit(f"missing:{field.name}")))
         if not isinstance(field.dataType, StringType):
             reasons.append(F.when(~corrupt & raw.isNotNull() & value.isNull(), F.lit(f"type:{field.name}")))
-    return parsed.select(*columns, F.col(text).alias("raw"), F.array_compact(F.array(*reasons)).alias("reasons"))
+    return parsed.select(*columns, "raw", F.array_compact(F.array(*reasons)).alias("reasons"))
 
 
 def valid_rows(validated: DataFrame) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import new_run_id
-from tidegate.operators.checkpoints import fold_checkpoints
+from tidegate.functions.times import as_timestamp, epoch_micros
+from tidegate.operators.checkpoints import checkpoint_row, fold_checkpoints
 from tidegate.operators.dedup import CHARGE_ORDER, keep_latest
 from tidegate.operators.enrich import enrich_charges
 from tidegate.operators.quality import quality_report
@@ -44,7 +45,7 @@ class ExtractResult:
     reason: str
     records: int = 0
     report: dict = field(default_factory=dict)
-    high_water_mark: datetime | None = None
+    high_water_mark: int | None = None
     failed_chunks: int = 0
 
 
@@ -58,11 +59,13 @@ def current_charges(spark: SparkSession, root: str) -> DataFrame:
     return keep_latest(rows, ["id"], CHARGE_ORDER)
 
 
-def _resume_at(spark: SparkSession, config: ExtractConfig, now: datetime) -> datetime:
-    row = read_checkpoints(spark, config.root).where(F.col("checkpoint_key") == config.checkpoint_key).first()
-    if row is None or row["last_extracted_timestamp"] is None:
-        return now - timedelta(days=config.default_days)
-    return row["last_extracted_timestamp"] - timedelta(minutes=config.buffer_minutes)
+def _resume_at(spark: SparkSession, config: ExtractConfig, now: int) -> int:
+    """Epoch second to continue from; times cross to the driver as numbers, free of the host's zone."""
+    mark = F.unix_seconds("last_extracted_timestamp").alias("mark")
+    row = checkpoint_row(read_checkpoints(spark, config.root), config.checkpoint_key).select(mark).first()
+    if row is None or row["mark"] is None:
+        return now - config.default_days * 86400
+    return row["mark"] - config.buffer_minutes * 60
 
 
 def _land(spark: SparkSession, config: ExtractConfig, path: str, start: int, end: int) -> DataFrame:
@@ -80,10 +83,10 @@ def run_extract(spark: SparkSession, config: ExtractConfig) -> ExtractResult:
     Exit codes: 0 done (also without new records), 1 quality gate, 2 nothing usable arrived.
     """
     use_utc(spark)
-    now = config.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+    now = config.as_of or datetime.now(timezone.utc)
     run_id = new_run_id(datetime.now(timezone.utc))
-    epoch = lambda ts: int(ts.replace(tzinfo=timezone.utc).timestamp())
-    start, end = epoch(_resume_at(spark, config, now)), epoch(now)
+    end = epoch_micros(now) // 1_000_000
+    start = _resume_at(spark, config, end)
     if start >= end:
         return ExtractResult(EXIT_OK, run_id, "nothing to extract")
 
@@ -91,13 +94,13 @@ def run_extract(spark: SparkSession, config: ExtractConfig) -> ExtractResult:
     failed = landed.where("_error IS NOT NULL").agg(
         F.count_distinct("_chunk_start").alias("chunks"), F.min("_chunk_start").alias("first")
     ).first()
-    mark = datetime.fromtimestamp(failed["first"] or end, timezone.utc).replace(tzinfo=None)
+    mark = end if failed["first"] is None else failed["first"]
     rows = landed.where("_error IS NULL").select(*CHARGE_COLUMNS)
     if rows.isEmpty():
         code = EXIT_ERROR if failed["chunks"] else EXIT_OK
         return ExtractResult(code, run_id, "no records", failed_chunks=failed["chunks"])
 
-    enriched = enrich_charges(rows, F.lit(now).cast("timestamp"))
+    enriched = enrich_charges(rows, as_timestamp(now))
     if config.dry_run:
         report = quality_report(enriched, config.dev).first().asDict()
         return ExtractResult(EXIT_OK, run_id, "dry run", report["total_records"], report)
@@ -114,6 +117,13 @@ def run_extract(spark: SparkSession, config: ExtractConfig) -> ExtractResult:
 
     datasets.commit_run(spark, config.root, run_id, expected, now)
     metadata = json.dumps({"quality_metrics": report, "output_path": datasets.run_path(config.root, run_id)})
-    run = [(config.checkpoint_key, run_id, mark, expected, None, now, metadata)]
-    spark.createDataFrame(run, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(f"{config.root}/runs")
+    spark.range(1, numPartitions=1).select(
+        F.lit(config.checkpoint_key).alias("checkpoint_key"),
+        F.lit(run_id).alias("run_id"),
+        F.timestamp_seconds(F.lit(mark)).alias("high_water_mark"),
+        F.lit(expected).cast("bigint").alias("records"),
+        F.lit(None).cast("string").alias("cursor"),
+        as_timestamp(now).alias("updated_at"),
+        F.lit(metadata).alias("metadata"),
+    ).write.mode("append").parquet(f"{config.root}/runs")
     return ExtractResult(EXIT_OK, run_id, "committed", expected, report, mark, failed["chunks"])

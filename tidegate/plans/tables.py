@@ -102,14 +102,18 @@ def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def charge_pages(
-    spark: SparkSession, sf_dir: str, page_size: int = 100, chain: Column | None = None
+    spark: SparkSession, sf_dir: str, page_size: int = 100, chain: Column | None = None, unnamed: str = ""
 ) -> DataFrame:
     """Charges as cursor-paged envelopes: 20 chains, the cursor is the last id of a page.
 
     ``body`` is the JSON envelope a paged endpoint returns. Another ``chain``
-    expression over the charge columns changes how rows are spread over chains.
+    expression over the charge columns changes how rows are spread over chains;
+    ``unnamed`` replaces blank ids.
     """
-    rows = charges(spark, sf_dir).withColumn("chain_id", F.col("created") % 20 if chain is None else chain)
+    named = F.when(F.col("id") == "", unnamed).otherwise(F.col("id"))
+    rows = charges(spark, sf_dir).withColumns(
+        {"id": named, "chain_id": F.col("created") % 20 if chain is None else chain}
+    )
     order = ["created", "id", "amount", "status"]
     placed = ordinal(rows, ["chain_id"], F.floor(F.col("created") / 86400), order)
     page_no = F.floor((F.col("ordinal") - 1) / page_size).alias("page_no")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidegate.functions.times import as_timestamp
 from tidegate.operators.layout import committed_rows
 
 
@@ -97,8 +98,12 @@ def audit_run(written: DataFrame, expected_rows: int | None, keys: list[str], ve
 
 
 def commit_run(spark: SparkSession, root: str, run_id: str, rows: int, at: datetime) -> None:
-    row = spark.createDataFrame([(run_id, rows, at)], "run_id STRING, rows BIGINT, committed_at TIMESTAMP")
-    row.coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(rows).cast("bigint").alias("rows"),
+        as_timestamp(at).alias("committed_at"),
+    )
+    row.write.mode("append").parquet(f"{root}/commits")
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
