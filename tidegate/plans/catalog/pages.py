@@ -222,11 +222,11 @@ def multi_source_union(spark, sf):
     return validate.union_sources(charges, events)
 
 
-CHAIN_SECONDS = 30 * 86400
+CHAIN_SECONDS = 90 * 86400
 
 
 def land_pages(spark, sf):
-    """Write the charges as pages, one cursor chain per 30 days, and return the source options.
+    """Write the charges as pages, one cursor chain per 90 days, and return the source options.
 
     The cursor is an id, so the blank ids of the mapping get a name here.
     Files are cut by (chain, page) ranges, so a long chain spans several files.

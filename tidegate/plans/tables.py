@@ -116,26 +116,26 @@ def charge_pages(
     )
     order = ["created", "id", "amount", "status"]
     placed = ordinal(rows, ["chain_id"], F.floor(F.col("created") / 86400), order)
-    page_no = F.floor((F.col("ordinal") - 1) / page_size).alias("page_no")
-    grouped = placed.groupBy("chain_id", page_no).agg(
-        F.array_sort(F.collect_list(F.struct("ordinal", F.struct(*CHARGE_COLUMNS).alias("record")))).alias("items")
+    place, page = F.col("ordinal") % page_size, F.floor((F.col("ordinal") - 1) / page_size)
+    # The last row of a page is also the cursor of the next, its first row tells the page before of more.
+    roles = F.array_compact(
+        F.array(
+            F.struct(page.alias("page_no"), F.lit("data").alias("role")),
+            F.when(place == 0, F.struct((page + 1).alias("page_no"), F.lit("cursor").alias("role"))),
+            F.when((place == 1) & (page > 0), F.struct((page - 1).alias("page_no"), F.lit("more").alias("role"))),
+        )
     )
-    last = grouped.groupBy("chain_id").agg(F.max("page_no").alias("last_page"))
-    pages = grouped.join(last, "chain_id").select(
-        "chain_id",
-        "page_no",
-        F.transform("items", lambda item: item["record"]).alias("data"),
-        (F.col("page_no") < F.col("last_page")).alias("has_more"),
+    parts = placed.select("chain_id", "ordinal", *CHARGE_COLUMNS, F.inline(roles))
+    item = F.struct("ordinal", F.struct(*CHARGE_COLUMNS).alias("record"))
+    role = F.col("role")
+    pages = parts.groupBy("chain_id", "page_no").agg(
+        F.array_sort(F.collect_list(F.when(role == "data", item))).alias("items"),
+        F.max(F.when(role == "cursor", F.col("id"))).alias("starting_after"),
+        F.bool_or(role == "more").alias("has_more"),
     )
-    last_id = F.element_at("data", -1)["id"]
-    cursor = pages.select(
-        F.col("chain_id").alias("c"), (F.col("page_no") + 1).alias("p"), last_id.alias("starting_after")
-    )
-    return pages.join(cursor, (pages.chain_id == cursor.c) & (pages.page_no == cursor.p), "left").select(
-        "chain_id",
-        "page_no",
-        "starting_after",
-        F.to_json(F.struct("data", "has_more"), {"ignoreNullFields": "true"}).alias("body"),
+    data = F.transform("items", lambda entry: entry["record"]).alias("data")
+    return pages.where(F.size("items") > 0).select(
+        "chain_id", "page_no", "starting_after", F.to_json(F.struct(data, "has_more")).alias("body")
     )
 
 
