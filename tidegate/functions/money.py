@@ -11,13 +11,3 @@ def cents_to_usd(cents: Column) -> Column:
 def refund_rate(amount: Column, refunded: Column) -> Column:
     """Refunded share of a positive amount; 0.0 for amounts <= 0 and for NULL."""
     return F.when(amount > 0, refunded / amount).otherwise(F.lit(0.0))
-
-
-def total_usd(cents: Column) -> Column:
-    """Sum of cents in dollars. Summed as DECIMAL: BIGINT overflows at about 4e11 rows."""
-    return F.round(F.sum(cents.cast("decimal(20,0)")).cast("double") / 100.0, 2)
-
-
-def mean_usd(cents: Column) -> Column:
-    """Average of cents in dollars; integer-valued partial sums keep it order-independent."""
-    return F.round(F.avg(cents) / 100.0, 6)

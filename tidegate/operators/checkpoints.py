@@ -101,8 +101,8 @@ def checkpoint_lag(
     lag, age = hours_between(now, F.col(ts)), hours_between(now, F.col(updated_at))
     return checkpoints.select(
         "checkpoint_key",
-        F.round(lag, 6).alias("lag_hours"),
-        F.round(age, 6).alias("age_hours"),
+        lag.alias("lag_hours"),
+        age.alias("age_hours"),
         F.when(lag > lag_alert_hours, "alert").when(lag >= target_hours, "late").otherwise("fresh").alias("lag_level"),
         F.when(age > age_alert_hours, "alert").otherwise("ok").alias("age_level"),
     )
@@ -111,4 +111,4 @@ def checkpoint_lag(
 def extraction_rate(runs: DataFrame, start: str = "start_time", end: str = "end_time") -> DataFrame:
     """(Specified here.) Records per hour of each run, NULL for a run without duration."""
     hours = hours_between(F.col(end), F.col(start))
-    return runs.withColumn("records_per_hour", F.round(F.col("records") / F.nullif(hours, F.lit(0.0)), 6))
+    return runs.withColumn("records_per_hour", F.col("records") / F.nullif(hours, F.lit(0.0)))

@@ -32,7 +32,7 @@ def error_rate(log: DataFrame, by: list[str], limit: float = 0.01) -> DataFrame:
     return log.groupBy(*by).agg(
         F.count("*").alias("lines"),
         errors.alias("errors"),
-        F.round(errors / F.count("*"), 6).alias("error_rate"),
+        (errors / F.count("*")).alias("error_rate"),
         (errors / F.count("*") > limit).alias("alert"),
     )
 
@@ -43,7 +43,7 @@ def operation_stats(log: DataFrame) -> DataFrame:
         log.groupBy("operation")
         .agg(
             F.count("*").alias("lines"),
-            F.round(F.avg("duration_ms"), 6).alias("avg_ms"),
+            F.avg("duration_ms").alias("avg_ms"),
             F.max("duration_ms").alias("max_ms"),
         )
         .orderBy(F.desc("lines"), "operation")

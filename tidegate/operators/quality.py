@@ -68,7 +68,7 @@ def column_completeness(df: DataFrame, columns: list[str]) -> DataFrame:
         for c in columns
     ]
     line = totals.select("total", F.explode(F.array(*lines)).alias("line")).select("total", "line.*")
-    share = lambda n: F.round(n / F.nullif(F.col("total"), F.lit(0)), 6)
+    share = lambda n: n / F.nullif(F.col("total"), F.lit(0))
     return line.select(
         "column_name",
         "total",
@@ -83,7 +83,7 @@ def quality_alert(df: DataFrame, score: str, by: list[str], limit: float = 90.0)
     """(Specified here.) Average score per group and whether it falls below ``limit``."""
     return df.groupBy(*by).agg(
         F.count("*").alias("records"),
-        F.round(F.avg(score), 6).alias("avg_score"),
+        F.avg(score).alias("avg_score"),
         (F.avg(score) < limit).alias("alert"),
     )
 
@@ -113,8 +113,8 @@ def merge_metrics(partials: DataFrame, by: list[str]) -> DataFrame:
     return merged.select(
         *by,
         "records",
-        F.round(total / 100.0, 2).alias("total_usd"),
-        F.round(total / F.nullif(F.col("value_count"), F.lit(0)) / 100.0, 6).alias("avg_usd"),
+        (total / 100.0).alias("total_usd"),
+        (total / F.nullif(F.col("value_count"), F.lit(0)) / 100.0).alias("avg_usd"),
         "value_min",
         "value_max",
     )

@@ -34,8 +34,8 @@ def request_alerts(log: DataFrame, page_size: int = 100, by: list[str] | None =
     efficiency = F.col("records_per_request") / page_size
     return rates.select(
         *(by or []),
-        *[F.round(c, 6).alias(c) for c in rates.columns if c not in (by or [])],
-        F.round(efficiency, 6).alias("page_fill"),
+        *[c for c in rates.columns if c not in (by or [])],
+        efficiency.alias("page_fill"),
         _level(F.col("rate_limit_hit_rate"), 0.01, 0.05).alias("rate_limit_level"),
         _level(F.col("avg_response_ms"), 500, 2000).alias("response_level"),
         _level(F.col("retry_rate"), 0.05, 0.10).alias("retry_level"),

@@ -42,7 +42,7 @@ def success_rate(runs: DataFrame, by: list[str], target: float = 0.99) -> DataFr
     return runs.groupBy(*by).agg(
         F.count("*").alias("runs"),
         finished.alias("finished"),
-        F.round(rate, 6).alias("success_rate"),
+        rate.alias("success_rate"),
         (rate > target).alias("on_target"),
     )
 

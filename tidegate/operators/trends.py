@@ -22,7 +22,7 @@ def volume_rollup(df: DataFrame, amount: str = "amount") -> DataFrame:
     return base.rollup("dt", "currency").agg(
         F.grouping_id().cast("int").alias("level"),
         F.sum("n").alias("records"),
-        F.round(F.sum("cents").cast("double") / 100.0, 2).alias("total_usd"),
+        (F.sum("cents").cast("double") / 100.0).alias("total_usd"),
     )
 
 

@@ -17,12 +17,16 @@ ORACLES: dict[str, str] = {}
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Comparable output: doubles to 6 places, dates and times as text, text lists joined."""
+    """Comparable output: doubles to 6 places, dates and times as text, text lists joined.
+
+    Doubles are rounded by plain arithmetic: ``round`` breaks ties differently
+    from engine to engine.
+    """
     columns = []
     for field in df.schema:
         column = F.col(field.name)
         if isinstance(field.dataType, DoubleType):
-            column = F.round(column, 6)
+            column = F.when(F.abs(column) < 1e9, F.floor(column * 1e6 + 0.5) / 1e6).otherwise(column)
         elif isinstance(field.dataType, DateType):
             column = column.cast("string")
         elif isinstance(field.dataType, TimestampType):
@@ -33,12 +37,28 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def _plain_rounding(sql: str) -> str:
+    """``round(x, 6)`` in SQL as the arithmetic that :func:`present` uses."""
+    while (start := sql.find("round(")) >= 0:
+        depth, end = 1, start + len("round(")
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = sql[start + len("round(") : end - 1]
+        if inner.endswith(", 6"):
+            plain = f"floor(({inner.removesuffix(', 6')}) * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE"
+        else:
+            plain = f"ROUND({inner})"
+        sql = f"{sql[:start]}{plain}{sql[end:]}"
+    return sql
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
         QUERIES[name] = lambda spark, sf_dir: present(function(use_utc(spark), sf_dir))
         QUERIES[name].__doc__ = function.__doc__
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[name] = _plain_rounding(sql)
         return function
 
     return add

@@ -129,11 +129,11 @@ def chunk_record_counts(spark, sf):
     "chunk_skew",
     with_(CHUNKS_HOUR, COUNTED_HOUR)
     + f"""SELECT chunk_no, {ts_text('start_ts')} AS start_ts, {ts_text('end_ts')} AS end_ts, records,
-    round(m, 6) AS median FROM counted, (SELECT median(records) AS m FROM counted) WHERE records > 1.3 * m""",
+    round(m, 6) AS median FROM counted, (SELECT median(records) AS m FROM counted) WHERE records > 1.1 * m""",
 )
 def chunk_skew(spark, sf):
     """The events are spread evenly, so the factor is low enough to report something."""
-    return chunks.skewed_chunks(event_chunks(spark, sf, 1), factor=1.3)
+    return chunks.skewed_chunks(event_chunks(spark, sf, 1), factor=1.1)
 
 
 @query(
