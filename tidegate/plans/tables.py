@@ -19,85 +19,69 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _created(key: Column) -> Column:
-    return F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + (key * 7919) % 86400
+# Epoch second of an order, spread over its day.
+_CREATED = "unix_seconds(CAST(o_orderdate AS TIMESTAMP)) + (o_orderkey * 7919) % 86400"
+
+_SIZED = [
+    "o_orderkey AS k",
+    "o_custkey AS c",
+    "CASE WHEN copy = 1 AND o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS s",
+    """CASE WHEN o_orderkey % 50 = 0 THEN 0 WHEN o_orderkey % 51 = 0 THEN NULL
+            WHEN o_orderkey % 53 = 0 THEN -CAST(round(o_totalprice * 100) AS BIGINT)
+            ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS amount""",
+    f"{_CREATED} + copy * 60 AS created",
+]
+
+_CHARGE = {
+    "id": "CASE WHEN k % 97 = 0 THEN '' ELSE 'ch_' || k END",
+    "object": "'charge'",
+    "amount": "amount",
+    "amount_captured": "CASE WHEN s = 'F' THEN amount ELSE 0 END",
+    "amount_refunded": """CASE WHEN k % 10 = 1 THEN amount WHEN k % 10 = 2 THEN floor(amount / 2D)
+                          WHEN k % 59 = 0 THEN NULL ELSE 0 END""",
+    "currency": """CASE WHEN k % 61 = 0 THEN NULL WHEN (k * 13) % 10 < 8 THEN 'usd'
+                   WHEN (k * 13) % 10 = 8 THEN 'eur' ELSE 'gbp' END""",
+    "customer": """CASE WHEN k % 17 = 0 THEN NULL WHEN k % 19 = 0 THEN ''
+                   WHEN k % 23 = 0 THEN 'test_customer_' || c ELSE 'cus_' || c END""",
+    "description": "'order payment'",
+    "status": "CASE s WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'pending' ELSE 'failed' END",
+    "created": "created",
+    "paid": "s = 'F'",
+    "refunded": "k % 10 = 1",
+    "payment_method": "'card'",
+    "receipt_email": """CASE WHEN k % 29 = 0 THEN NULL WHEN k % 31 = 0 THEN 'qa@TEST.io'
+                        WHEN k % 37 = 0 THEN 'u@example.com' ELSE 'user' || c || '@mail.org' END""",
+    "receipt_url": "'https://receipts.invalid/'",
+}
 
 
 def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Charge records from orders; some orders yield a second, later version."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    amount = F.when(k % 50 == 0, 0).when(k % 51 == 0, None).when(k % 53 == 0, -cents).otherwise(cents)
-    base = load(spark, sf_dir, "orders").select(
-        k.alias("k"),
-        c.alias("c"),
-        "o_orderstatus",
-        amount.cast("bigint").alias("amount"),
-        _created(k).alias("first_created"),
-        F.explode(F.when(k % 41 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
-    )
-    k, c, copy = F.col("k"), F.col("c"), F.col("copy")
-    base = base.withColumn(
-        "s", F.when((copy == 1) & (F.col("o_orderstatus") == "P"), "F").otherwise(F.col("o_orderstatus"))
-    )
-    s, mixed = F.col("s"), (k * 13) % 10
-    refunded = (
-        F.when(k % 10 == 1, F.col("amount"))
-        .when(k % 10 == 2, F.floor(F.col("amount") / 2))
-        .when(k % 59 == 0, None)
-        .otherwise(0)
-    )
-    columns = {
-        "id": F.when(k % 97 == 0, "").otherwise(F.concat(F.lit("ch_"), k.cast("string"))),
-        "object": F.lit("charge"),
-        "amount": F.col("amount"),
-        "amount_captured": F.when(s == "F", F.col("amount")).otherwise(0).cast("bigint"),
-        "amount_refunded": refunded.cast("bigint"),
-        "currency": F.when(k % 61 == 0, None).when(mixed < 8, "usd").when(mixed == 8, "eur").otherwise("gbp"),
-        "customer": F.when(k % 17 == 0, None)
-        .when(k % 19 == 0, "")
-        .when(k % 23 == 0, F.concat(F.lit("test_customer_"), c.cast("string")))
-        .otherwise(F.concat(F.lit("cus_"), c.cast("string"))),
-        "description": F.lit("order payment"),
-        "status": F.when(s == "F", "succeeded").when(s == "O", "pending").otherwise("failed"),
-        "created": F.col("first_created") + copy * 60,
-        "paid": s == "F",
-        "refunded": k % 10 == 1,
-        "payment_method": F.lit("card"),
-        "receipt_email": F.when(k % 29 == 0, None)
-        .when(k % 31 == 0, "qa@TEST.io")
-        .when(k % 37 == 0, "u@example.com")
-        .otherwise(F.concat(F.lit("user"), c.cast("string"), F.lit("@mail.org"))),
-        "receipt_url": F.lit("https://receipts.invalid/"),
-    }
-    return base.select(*[columns[name].alias(name) for name in CHARGE_COLUMNS])
+    copies = "explode(CASE WHEN o_orderkey % 41 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    rows = load(spark, sf_dir, "orders").selectExpr("*", copies).selectExpr(*_SIZED)
+    return rows.selectExpr(*[f"{_CHARGE[name]} AS {name}" for name in CHARGE_COLUMNS])
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    status = F.when(k % 100 < 1, 429).when(k % 100 < 3, 503).otherwise(200)
-    return load(spark, sf_dir, "orders").select(
-        k.alias("request_id"),
-        F.timestamp_seconds(_created(k)).alias("ts"),
-        status.alias("status"),
-        ((k * 37) % 3000).alias("duration_ms"),
-        F.when(status == 200, (k * 53) % 101).otherwise(0).cast("bigint").alias("records"),
-        (k % 20 == 0).alias("is_retry"),
+    return load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS request_id",
+        f"timestamp_seconds({_CREATED}) AS ts",
+        "CASE WHEN o_orderkey % 100 < 1 THEN 429 WHEN o_orderkey % 100 < 3 THEN 503 ELSE 200 END AS status",
+        "(o_orderkey * 37) % 3000 AS duration_ms",
+        "CASE WHEN o_orderkey % 100 < 3 THEN 0 ELSE (o_orderkey * 53) % 101 END AS records",
+        "o_orderkey % 20 = 0 AS is_retry",
     )
 
 
 def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    start = _created(k)
-    state = F.col("o_orderstatus")
-    return load(spark, sf_dir, "orders").select(
-        F.concat(F.lit("job_"), (k % 5).cast("string")).alias("job_id"),
-        k.alias("run_no"),
-        F.timestamp_seconds(start).alias("start_time"),
-        F.timestamp_seconds(start + 60 + (k * 31) % 3600).alias("end_time"),
-        F.when(state == "F", "succeeded").when(state == "O", "running").otherwise("failed").alias("status"),
-        ((k * 53) % 10007).alias("records"),
-        F.timestamp_seconds(start + 90 * 86400).alias("expiry_time"),
+    return load(spark, sf_dir, "orders").selectExpr(
+        "'job_' || (o_orderkey % 5) AS job_id",
+        "o_orderkey AS run_no",
+        f"timestamp_seconds({_CREATED}) AS start_time",
+        f"timestamp_seconds({_CREATED} + 60 + (o_orderkey * 31) % 3600) AS end_time",
+        "CASE o_orderstatus WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'running' ELSE 'failed' END AS status",
+        "(o_orderkey * 53) % 10007 AS records",
+        f"timestamp_seconds({_CREATED} + 90 * 86400) AS expiry_time",
     )
 
 
