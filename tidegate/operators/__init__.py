@@ -1 +1 @@
-"""DataFrame to DataFrame operators. None of them runs an action."""
+"""DataFrame to DataFrame operators. Only ``ordered`` runs a job while building a plan."""

@@ -65,22 +65,27 @@ def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).dropDuplicates(keys)
 
 
-def flag_duplicates(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: list[str], order: list[str], slice_rows: int = 65536) -> DataFrame:
     """Keep every row and add ``is_duplicate``: false for exactly one row of each key.
 
-    (Specified here.) Exact copies are counted per input partition first, then
-    each distinct row is joined to its key's survivor over *all* columns, so
-    neither a hot key nor a hot group of copies meets in one task.
+    (Specified here.) Exact copies are indistinguishable, so they travel as one
+    row with a count, cut into slices that spread over the tasks of a join on
+    *all* columns with their key's survivor. Neither a hot key nor a hot group
+    of copies meets in one task; only the last step unfolds the copies again.
     """
     columns = df.columns
-    counted = df.groupBy(*columns, F.spark_partition_id().alias("_part")).agg(F.count("*").alias("_copies"))
-    survivor = keep_latest(counted, keys, order).select(*[F.col(c).alias(f"s_{c}") for c in columns + ["_part"]])
-    same_row = [counted[c].eqNullSafe(survivor[f"s_{c}"]) for c in columns]
-    matched = counted.join(survivor, [counted["_part"] == survivor["s__part"], *same_row], "left")
-    first = F.col("s__part").isNotNull() & (F.col("_copy") == 1)
-    return matched.select(
-        *columns, "s__part", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
-    ).select(*columns, (~first).alias("is_duplicate"))
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    last_slice = F.floor((F.col("_n") - 1) / slice_rows)
+    slices = counted.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_slice)).alias("_slice"))
+    survivor = keep_latest(counted.drop("_n"), keys, order).select(
+        *[F.col(c).alias(f"s_{c}") for c in columns], F.lit(0).cast("bigint").alias("s_slice")
+    )
+    same_row = [slices[c].eqNullSafe(survivor[f"s_{c}"]) for c in columns]
+    matched = slices.join(survivor.hint("merge"), [slices["_slice"] == survivor["s_slice"], *same_row], "left")
+    size = F.least(F.col("_n") - F.col("_slice") * slice_rows, F.lit(slice_rows)).cast("int")
+    unfolded = matched.select(*columns, "s_slice", F.explode(F.sequence(F.lit(1), size)).alias("_copy"))
+    first = F.col("s_slice").isNotNull() & (F.col("_copy") == 1)
+    return unfolded.select(*columns, (~first).alias("is_duplicate"))
 
 
 def duplicate_stats(df: DataFrame, keys: list[str]) -> DataFrame:

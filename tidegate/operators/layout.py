@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.times import as_timestamp
@@ -23,28 +23,33 @@ def relative_path(dt: Column, hour: Column | None = None, run_id: Column | None
     return F.concat(F.concat_ws("/", *parts), F.lit("/"))
 
 
-def latest_partition(df: DataFrame, column: str = "dt") -> DataFrame:
-    """Highest partition value as text, NULL for an empty dataset. Reads no data column."""
-    return df.agg(F.max(column).cast("string").alias("latest"))
+def data_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per data file: ``path``, ``length`` and the partition columns. Opens no file."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root).drop(
+        "content", "modificationTime"
+    )
+
+
+def latest_partition(files: DataFrame, column: str = "dt") -> DataFrame:
+    """Highest partition value as text, NULL for an empty dataset."""
+    return files.agg(F.max(column).cast("string").alias("latest"))
 
 
-def file_inventory(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Files and bytes per partition, from file metadata alone."""
-    files = df.select(*(by or []), "_metadata.file_path", "_metadata.file_size").groupBy(*(by or []), "file_path")
-    sizes = files.agg(F.max("file_size").alias("bytes"))
-    return sizes.groupBy(*(by or [])).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+def file_inventory(files: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Files and bytes, per partition or in all."""
+    return files.groupBy(*(by or [])).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
-def small_file_report(df: DataFrame, by: list[str], target: int = TARGET_BYTES) -> DataFrame:
+def small_file_report(files: DataFrame, by: list[str], target: int = TARGET_BYTES) -> DataFrame:
     """(Specified here.) Average file size per partition and the file count that would reach the target."""
-    inventory = file_inventory(df, by)
-    return inventory.select(
+    wanted = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target))
+    return file_inventory(files, by).select(
         *by,
         "files",
         "bytes",
         F.floor(F.col("bytes") / F.col("files")).alias("avg_bytes"),
-        F.greatest(F.lit(1), F.ceil(F.col("bytes") / target)).alias("target_files"),
-        (F.col("files") > F.greatest(F.lit(1), F.ceil(F.col("bytes") / target))).alias("compact"),
+        wanted.alias("target_files"),
+        (F.col("files") > wanted).alias("compact"),
     )
 
 

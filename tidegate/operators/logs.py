@@ -97,9 +97,9 @@ def operation_times(log: DataFrame, order: list[str]) -> DataFrame:
     starts = F.col("message").startswith(_STARTING)
     lines = log.withColumns({"operation": _operation(F.col("message")), "outcome": outcome, "starts": starts})
     lines = lines.where(F.col("operation") != "")
-    hour = F.floor(F.unix_micros("ts") / 3_600_000_000)
+    minute = F.floor(F.unix_micros("ts") / 60_000_000)
     numbered = running(
-        lines, ["job_id", "operation"], hour, order, {"attempt": ("sum", F.col("starts").cast("bigint"))}
+        lines, ["job_id", "operation"], minute, order, {"attempt": ("sum", F.col("starts").cast("bigint"))}
     )
     paired = numbered.groupBy("job_id", "operation", "attempt").agg(
         F.min(F.when(F.col("starts"), F.col("ts"))).alias("started_at"),

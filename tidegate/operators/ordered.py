@@ -4,8 +4,12 @@ A plain ``Window.partitionBy(job)`` sends all rows of a job to one task. Here
 the rows of a key are cut into consecutive pieces, each piece is handled by its
 own task, and what a piece needs from its predecessors is carried over:
 
-* :func:`running` carries one summary row per (key, bucket),
+* :func:`running` carries one summary row per (key, piece),
 * :func:`blocked` copies the last ``lookback`` rows of each block into the next.
+
+Pieces are time buckets as long as none of them is too large, which a count per
+bucket decides; otherwise they are sampled ranges of equal size, which no
+distribution of the data can upset.
 """
 
 from __future__ import annotations
@@ -13,12 +17,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.session import scratch_path
+
+# A piece larger than this is cut by range.
+MAX_PIECE_ROWS = 10_000_000
+
 _COMBINE = {
     "sum": (F.sum, lambda carried, own: F.coalesce(carried, F.lit(0)) + F.coalesce(own, F.lit(0))),
     "max": (F.max, lambda carried, own: F.greatest(carried, own)),
 }
 
 
+def _ranges(df: DataFrame, keys: list[str], order: list[str], pieces: int) -> DataFrame:
+    """``_bucket`` from a range partitioning by (keys, order).
+
+    Range bounds are sampled anew in every job, so the result is written once
+    and read back: all later uses see the same pieces, also after a task is lost.
+    """
+    cut = df.repartitionByRange(pieces, *keys, *order).withColumn("_bucket", F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "ranges")
+    cut.write.parquet(path)
+    return df.sparkSession.read.schema(cut.schema).parquet(path)
+
+
+def _cut(df: DataFrame, keys: list[str], bucket: Column, order: list[str], max_rows: int) -> DataFrame:
+    bucketed = df.withColumn("_bucket", bucket)
+    sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count("*").alias("n"))
+    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    if largest is None or largest <= max_rows:
+        return bucketed
+    wanted = -(-2 * total // max_rows)
+    return _ranges(df, keys, order, max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -26,15 +57,17 @@ def running(
     order: list[str],
     values: dict[str, tuple[str, Column]],
     inclusive: bool = True,
+    max_rows: int = MAX_PIECE_ROWS,
 ) -> DataFrame:
     """Add running ``sum``/``max`` columns per key in ``order``.
 
     ``bucket`` must grow with ``order`` (for example the minute of the leading
-    timestamp): a bucket is the unit of parallelism, and one summary row per
-    key and bucket is all that the second, small window sees. ``order`` must be
+    timestamp): it is the unit of parallelism, and one summary row per key and
+    bucket is all that the second, small window sees. A job counts the rows per
+    bucket first; past ``max_rows`` ranges replace the buckets. ``order`` must be
     total for sums to be repeatable; keys must not be NULL.
     """
-    cut = df.withColumn("_bucket", bucket)
+    cut = _cut(df, keys, bucket, order, max_rows)
     inputs = {name: F.col(f"_in_{name}") for name in values}
     cut = cut.select("*", *[column.alias(f"_in_{name}") for name, (_, column) in values.items()])
     last = Window.currentRow if inclusive else -1

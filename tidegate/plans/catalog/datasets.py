@@ -21,11 +21,15 @@ def _events(spark, sf):
     return tables.load(spark, sf, "events").select(*_EVENT.split(", "), F.to_date("ts").alias("dt"))
 
 
-def written_events(spark, sf):
-    """Events as a date-partitioned dataset."""
+def write_events(spark, sf):
+    """Events as a date-partitioned dataset; returns its path."""
     path = scratch_path(spark, "events")
     datasets.write_partitioned(_events(spark, sf), path)
-    return spark.read.parquet(path)
+    return path
+
+
+def written_events(spark, sf):
+    return spark.read.parquet(write_events(spark, sf))
 
 
 _WRITTEN = "id, amount, currency, customer, status, created, completeness_score"
@@ -70,17 +74,17 @@ def partition_layout(spark, sf):
 
 @query("latest_partition", f"SELECT {day_text('max(ts)')} AS latest FROM events")
 def latest_partition(spark, sf):
-    return layout.latest_partition(written_events(spark, sf))
+    return layout.latest_partition(layout.data_files(spark, write_events(spark, sf)))
 
 
 @query("file_inventory")
 def file_inventory(spark, sf):
-    return layout.file_inventory(written_events(spark, sf), ["dt"])
+    return layout.file_inventory(layout.data_files(spark, write_events(spark, sf)), ["dt"])
 
 
 @query("small_file_report")
 def small_file_report(spark, sf):
-    return layout.small_file_report(written_events(spark, sf), ["dt"])
+    return layout.small_file_report(layout.data_files(spark, write_events(spark, sf)), ["dt"])
 
 
 @query(

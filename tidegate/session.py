@@ -37,18 +37,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidegate/{name}-{uuid.uuid4().hex}"
 
 
+# What a cluster session should set as well; the write path and the joins rely on adaptive execution.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.python.filterPushdown.enabled": "true",
+    "spark.speculation": "false",
+}
+
+
 def local_session(cores: str | int = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session with the settings the tests and the benchmark use."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidegate")
         .config("spark.driver.memory", os.environ.get("TIDEGATE_DRIVER_MEMORY", memory))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.python.filterPushdown.enabled", "true")
-        .getOrCreate()
     )
+    for name, value in SETTINGS.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
