@@ -238,7 +238,7 @@ def land_pages(spark, sf):
     laid = tables.charge_pages(spark, sf, chain=chain, unnamed="unnamed").repartitionByRange("chain_id", "page_no")
     laid.sortWithinPartitions("chain_id", "page_no").write.partitionBy("chain_id").parquet(path)
     return {
-        "transport": "tidegate.sources.transport:LandedPages",
+        "transport": "landed",
         "transport.path": path if "://" in path else f"file://{path}",
         "chunk_seconds": str(CHAIN_SECONDS),
         "start": str(start),

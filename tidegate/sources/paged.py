@@ -4,7 +4,7 @@ One time chunk is one input partition; its task follows the cursor chain and
 yields one Arrow batch per page. Options:
 
 =================  ==========================================================
-transport          ``module:Class`` of the transport (default HTTP)
+transport          ``http`` (default), ``landed`` or ``module:Class``
 transport.<name>   options of the transport
 endpoint           path of the resource
 start, end         range of ``created`` in epoch seconds, end exclusive
@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -45,7 +46,11 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+import tidegate
 from tidegate.schema import CHARGE_SCHEMA
+from tidegate.sources.transport import HttpTransport, LandedPages
+
+TRANSPORTS = {"http": HttpTransport, "landed": LandedPages}
 
 _META = [
     StructField("_chunk_start", LongType()),
@@ -74,9 +79,11 @@ class _Pager:
         self.width = int(self.options.get("chunk_seconds", "86400"))
 
     def transport(self):
-        module, name = self.options.get("transport", "tidegate.sources.transport:HttpTransport").split(":")
-        prefix = "transport."
+        chosen, prefix = self.options.get("transport", "http"), "transport."
         options = {k[len(prefix) :]: v for k, v in self.options.items() if k.startswith(prefix)}
+        if chosen in TRANSPORTS:
+            return TRANSPORTS[chosen](options)
+        module, name = chosen.split(":")
         return getattr(importlib.import_module(module), name)(options)
 
     def pages(self, chunk: Chunk) -> Iterator[list[dict]]:
@@ -195,5 +202,10 @@ class PagedSource(DataSource):
 
 
 def register(spark: SparkSession) -> SparkSession:
+    """Make the ``paged`` format known to the session.
+
+    The package travels inside the pickled source, so executors need not have it installed.
+    """
+    cloudpickle.register_pickle_by_value(tidegate)
     spark.dataSource.register(PagedSource)
     return spark
