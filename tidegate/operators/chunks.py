@@ -18,7 +18,7 @@ def plan_chunks(spark: SparkSession, start, end, hours: int = 24) -> DataFrame:
     bounds = spark.range(1, numPartitions=1).select(as_timestamp(start).alias("lo"), as_timestamp(end).alias("hi"))
     return (
         bounds.where(F.col("lo") < F.col("hi"))
-        .select("hi", F.posexplode(F.sequence("lo", "hi", step)).alias("pos", "start_ts"))
+        .select("hi", F.posexplode(F.sequence("lo", F.greatest("lo", "hi"), step)).alias("pos", "start_ts"))
         .where(F.col("start_ts") < F.col("hi"))
         .select(
             F.col("pos").cast("bigint").alias("chunk_no"),

@@ -54,9 +54,12 @@ def read_checkpoints(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_charges(spark: SparkSession, root: str) -> DataFrame:
-    """The newest committed version of every charge."""
+    """The newest committed version of every charge.
+
+    A charge keeps its ``created`` when its status changes, so the run decides first.
+    """
     rows = datasets.read_committed(spark, root).drop("run_id")
-    return keep_latest(rows, ["id"], CHARGE_ORDER)
+    return keep_latest(rows, ["id"], ["-processed_at", *CHARGE_ORDER])
 
 
 def _resume_at(spark: SparkSession, config: ExtractConfig, now: int) -> int:

@@ -107,7 +107,9 @@ class _Pager:
             if budget and count >= budget:
                 raise ValueError(f"page budget of {budget} is used up")
 
-    def batches(self, chunk: Chunk) -> Iterator[pa.RecordBatch]:
+    def batches(self, chunk: Chunk | None) -> Iterator[pa.RecordBatch]:
+        if chunk is None:  # how Spark reads a source without partitions
+            return
         arrow = to_arrow_schema(self.schema)
         names = [n for n in self.schema.fieldNames() if not n.startswith("_")]
         number = 0
@@ -153,7 +155,7 @@ class PagedReader(DataSourceReader):
     def partitions(self) -> list[Chunk]:
         return chunk_range(self.start, self.end, self.pager.width)
 
-    def read(self, partition: Chunk) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Chunk | None) -> Iterator[pa.RecordBatch]:
         return self.pager.batches(partition)
 
 
@@ -178,7 +180,7 @@ class PagedStreamReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[Chunk]:
         return chunk_range(start["created"], end["created"], self.pager.width)
 
-    def read(self, partition: Chunk) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Chunk | None) -> Iterator[pa.RecordBatch]:
         return self.pager.batches(partition)
 
     def commit(self, end: dict) -> None:
