@@ -42,6 +42,18 @@ def test_counts_include_empty_chunks(spark):
     assert [r.chunk_no for r in chunks.missing_chunks(table, got.where("records > 0")).collect()] == [1]
 
 
+def test_balanced_chunks_cover_the_range_and_meet_the_target(spark):
+    start, hours = datetime(2024, 1, 1), [0, 3, 100, 2, 2, 0, 7, 41, 1, 0]
+    table = chunks.plan_chunks(spark, start, start + timedelta(hours=len(hours)), 1)
+    loads = spark.createDataFrame(list(enumerate(hours)), "chunk_no BIGINT, records BIGINT")
+    got = chunks.balance_chunks(table.join(loads, "chunk_no"), 10).orderBy("chunk_no")
+    cut = got.select(F.unix_micros("start_ts"), F.unix_micros("end_ts"), "expected").collect()
+    assert cut[0][0] == 1704067200_000000 and cut[-1][1] == 1704067200_000000 + len(hours) * 3600_000000
+    assert all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
+    assert abs(sum(c[2] for c in cut) - sum(hours)) < 1e-6
+    assert all(c[2] <= 20 for c in cut)
+
+
 def test_skew_uses_the_exact_median(spark):
     df = spark.createDataFrame([(1, 10), (2, 10), (3, 12), (4, 51)], "chunk_no BIGINT, records BIGINT")
     assert rows(chunks.skewed_chunks(df, factor=4.6)) == [(4, 51, 11.0)]

@@ -51,7 +51,7 @@ def test_joins_are_equi_joins(spark, name):
 
 
 def test_salted_counts_spread_a_hot_day(spark):
-    df = spark.range(10).select((F.col("id") % 2).alias("day"), F.col("id").alias("key"))
+    df = tables.charges(spark, SF).select((F.col("created") % 9).alias("day"), F.col("customer").alias("key"))
     text = plan(quality.salted_daily(df, "day", "key"))
     keys = [len(k.split(", ")) - 1 for k in re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", text)]
     assert keys == [1, 2, 3], "by day at the end, by day and salt before, by day, salt and key first"

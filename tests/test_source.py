@@ -66,6 +66,12 @@ def test_last_chunk_is_clipped_and_empty_range_is_empty(read):
     assert read(start="3000").count() == 0
 
 
+def test_edges_cut_a_busy_period(read):
+    df = read(edges="2100,2200,2300,9999")
+    assert {(r._chunk_start, r._chunk_end) for r in df.collect()} == {(0, 2100), (2100, 2200), (2200, 2300), (2300, 3000)}
+    assert df.count() == 30
+
+
 def test_filters_on_created_narrow_the_range(read):
     df = read().where("created >= 1500 AND created < 1800")
     assert df.rdd.getNumPartitions() == 1

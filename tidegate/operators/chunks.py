@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.times import as_timestamp
@@ -45,6 +45,40 @@ def chunk_counts(rows: DataFrame, ts: str, plan: DataFrame, start, hours: int =
     return plan.join(counts, "chunk_no", "left").withColumn("records", F.coalesce("records", F.lit(0)))
 
 
+def balance_chunks(counts: DataFrame, target: int) -> DataFrame:
+    """(Specified here.) Chunks of about ``target`` records each, from counted fine chunks.
+
+    A fine chunk above the target is cut into equal time slices, small ones are
+    merged. Takes one row per fine chunk, however many records those hold.
+    """
+    slices = F.greatest(F.lit(1), F.ceil(F.col("records") / target))
+    lo, width = F.unix_micros("start_ts"), F.unix_micros("end_ts") - F.unix_micros("start_ts")
+    i, k = F.col("i"), F.col("k")
+    cut = (
+        counts.withColumn("k", slices)
+        .withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1)))
+        .select(
+            "chunk_no",
+            "i",
+            (lo + F.floor(width * i / k)).alias("lo"),
+            (lo + F.floor(width * (i + 1) / k)).alias("hi"),
+            (F.col("records") / k).alias("weight"),
+        )
+    )
+    before = Window.orderBy("chunk_no", "i").rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum("weight").over(before), F.lit(0.0)) / target
+    # The small addend keeps a rounding error from splitting off a full chunk's last slice.
+    grouped = cut.withColumn("g", F.floor(filled + 1e-9)).groupBy("g").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("weight").alias("expected")
+    )
+    return grouped.select(
+        (F.row_number().over(Window.orderBy("g")) - 1).cast("bigint").alias("chunk_no"),
+        F.timestamp_micros("lo").alias("start_ts"),
+        F.timestamp_micros("hi").alias("end_ts"),
+        "expected",
+    )
+
+
 def missing_chunks(plan: DataFrame, done: DataFrame) -> DataFrame:
     """(Specified here.) Planned chunks without a finished counterpart: what a backfill must read."""
     return plan.join(done.select("start_ts", "end_ts"), ["start_ts", "end_ts"], "left_anti")

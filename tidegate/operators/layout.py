@@ -97,5 +97,10 @@ def reconcile_ids(source: DataFrame, written: DataFrame, keys: list[str]) -> Dat
 
 
 def committed_rows(data: DataFrame, commits: DataFrame) -> DataFrame:
-    """Rows of committed runs only; leftovers of failed or repeated runs stay invisible."""
-    return data.join(commits.select("run_id").distinct(), "run_id", "left_semi")
+    """Rows of committed runs only; leftovers of failed or repeated runs stay invisible.
+
+    The comparison tells the optimizer that the run list is worth turning into
+    a partition filter, so folders of other runs are not even opened.
+    """
+    committed = commits.where(F.col("run_id") > "").select("run_id").distinct()
+    return data.join(committed, "run_id", "left_semi")

@@ -45,9 +45,9 @@ def broken_pages(spark, sf):
     return (
         tables.charge_pages(spark, sf)
         .where(~((chain == 7) & (page == 3)))
-        .withColumn("body", F.when((chain == 11) & (page == 2), emptied).otherwise(F.col("body")))
+        .withColumn("body", F.when((chain == 11) & (page == 0), emptied).otherwise(F.col("body")))
         .withColumn(
-            "starting_after", F.when((chain == 13) & (page == 1), "ch_0").otherwise(F.col("starting_after"))
+            "starting_after", F.when((chain == 13) & (page == 0), "ch_0").otherwise(F.col("starting_after"))
         )
     )
 
@@ -59,10 +59,10 @@ def broken_pages(spark, sf):
         PAGES,
         """
 broken AS (
-  SELECT chain_id, page_no, has_more OR (chain_id = 11 AND page_no = 2) AS has_more,
-         CASE WHEN chain_id = 11 AND page_no = 2 THEN 0 ELSE n END AS n,
-         CASE WHEN chain_id = 11 AND page_no = 2 THEN NULL ELSE last_id END AS last_id,
-         CASE WHEN chain_id = 13 AND page_no = 1 THEN 'ch_0' ELSE starting_after END AS starting_after
+  SELECT chain_id, page_no, has_more OR (chain_id = 11 AND page_no = 0) AS has_more,
+         CASE WHEN chain_id = 11 AND page_no = 0 THEN 0 ELSE n END AS n,
+         CASE WHEN chain_id = 11 AND page_no = 0 THEN NULL ELSE last_id END AS last_id,
+         CASE WHEN chain_id = 13 AND page_no = 0 THEN 'ch_0' ELSE starting_after END AS starting_after
   FROM charge_pages WHERE NOT (chain_id = 7 AND page_no = 3)),
 linked AS (
   SELECT b.*, p.page_no IS NOT NULL AS has_previous, p.last_id AS expected, s.page_no IS NOT NULL AS has_next
@@ -116,6 +116,30 @@ def chunk_plan(spark, sf):
     return chunks.plan_chunks(spark, lo, hi)
 
 
+@query(
+    "chunk_plan_balanced",
+    with_(
+        CHUNKS_HOUR,
+        COUNTED_HOUR,
+        """
+pieces AS (
+  SELECT chunk_no, start_ts, end_ts, records, greatest(1, ceil(records / 12))::BIGINT AS k,
+         unnest(range(greatest(1, ceil(records / 12))::BIGINT)) AS i FROM counted),
+cut AS (
+  SELECT chunk_no, i, epoch_us(start_ts) + (epoch_us(end_ts) - epoch_us(start_ts)) * i // k AS lo,
+         epoch_us(start_ts) + (epoch_us(end_ts) - epoch_us(start_ts)) * (i + 1) // k AS hi, records / k AS weight
+  FROM pieces),
+grouped AS (
+  SELECT *, CAST(floor(coalesce(sum(weight) OVER (ORDER BY chunk_no, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    / 12 + 1e-9) AS BIGINT) AS g FROM cut)""",
+    )
+    + f"""SELECT row_number() OVER (ORDER BY g) - 1 AS chunk_no, {ts_text('make_timestamp(min(lo))')} AS start_ts,
+    {ts_text('make_timestamp(max(hi))')} AS end_ts, round(sum(weight), 6) AS expected FROM grouped GROUP BY g""",
+)
+def chunk_plan_balanced(spark, sf):
+    return chunks.balance_chunks(event_chunks(spark, sf, 1), 12)
+
+
 @query(
     "chunk_record_counts",
     with_(CHUNKS_HOUR, COUNTED_HOUR)
@@ -239,7 +263,7 @@ def land_pages(spark, sf):
     laid.sortWithinPartitions("chain_id", "page_no").write.partitionBy("chain_id").parquet(path)
     return {
         "transport": "landed",
-        "transport.path": path if "://" in path else f"file://{path}",
+        "transport.path": path,
         "chunk_seconds": str(CHAIN_SECONDS),
         "start": str(start),
         "end": str(end),

@@ -15,7 +15,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -68,11 +68,14 @@ def write_run(df: DataFrame, root: str, run_id: str, partition_by: list[str] | N
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def audit_run(written: DataFrame, expected_rows: int | None, keys: list[str], verdict: DataFrame) -> DataFrame:
+def audit_run(
+    written: DataFrame, expected_rows: int | None, keys: list[str], verdict: DataFrame | Column
+) -> DataFrame:
     """(Specified here.) One row per check of a written run: ``check``, ``value``, ``passed``.
 
-    Takes the one-row quality report as ``verdict``. Everything is computed from
-    the files, so the checks hold for what a reader will see.
+    ``verdict`` is the one-row quality report or its ``quality_check`` as a
+    column. Everything is computed from the files, so the checks hold for what a
+    reader will see.
     """
     null_key = F.lit(False)
     for key in keys:
@@ -84,7 +87,7 @@ def audit_run(written: DataFrame, expected_rows: int | None, keys: list[str], ve
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_keys"),
     )
     enough = F.col("rows") > 0 if expected_rows is None else F.col("rows") == expected_rows
-    check = verdict.select("quality_check").scalar()
+    check = verdict if isinstance(verdict, Column) else verdict.select("quality_check").scalar()
     lines = [("row_count", F.col("rows"), enough)]
     lines += [(name, F.col(name), F.col(name) == 0) for name in ("null_keys", "duplicate_keys")]
     structs = [

@@ -9,6 +9,8 @@ transport.<name>   options of the transport
 endpoint           path of the resource
 start, end         range of ``created`` in epoch seconds, end exclusive
 chunk_seconds      width of a chunk (default one day)
+edges              comma-separated epoch seconds at which chunks are cut instead,
+                   so that a busy period is read by several tasks
 page_size          records per page (default 100)
 max_pages          page budget of a chunk (default none)
 on_error           ``fail`` (default) or ``record``: a failing chunk yields one
@@ -16,8 +18,7 @@ on_error           ``fail`` (default) or ``record``: a failing chunk yields one
 cursor_field, data_field, has_more_field   names in the page envelope
 =================  ==========================================================
 
-A filter on ``created`` narrows the range when
-``spark.sql.python.filterPushdown.enabled`` is true. Run with
+A filter on ``created`` narrows the range. Run with
 ``spark.speculation=false``: a speculative copy of a task would page twice. Land
 the result as Parquet before using it more than once.
 """
@@ -66,8 +67,11 @@ class Chunk(InputPartition):
     end: int
 
 
-def chunk_range(start: int, end: int, width: int) -> list[Chunk]:
-    return [Chunk(lo, min(lo + width, end)) for lo in range(start, end, width)]
+def chunk_range(start: int, end: int, width: int, edges: list[int]) -> list[Chunk]:
+    """Half-open chunks of a range: cut at the edges inside it, or every ``width`` seconds without any."""
+    cuts = sorted({e for e in edges if start < e < end}) if edges else range(start + width, end, width)
+    bounds = [start, *cuts, end]
+    return [Chunk(lo, hi) for lo, hi in zip(bounds, bounds[1:]) if lo < hi]
 
 
 class _Pager:
@@ -77,6 +81,7 @@ class _Pager:
         self.options = {key.lower(): value for key, value in options.items()}
         self.schema = schema
         self.width = int(self.options.get("chunk_seconds", "86400"))
+        self.edges = [int(e) for e in self.options.get("edges", "").split(",") if e.strip()]
 
     def transport(self):
         chosen, prefix = self.options.get("transport", "http"), "transport."
@@ -153,7 +158,7 @@ class PagedReader(DataSourceReader):
                 yield item
 
     def partitions(self) -> list[Chunk]:
-        return chunk_range(self.start, self.end, self.pager.width)
+        return chunk_range(self.start, self.end, self.pager.width, self.pager.edges)
 
     def read(self, partition: Chunk | None) -> Iterator[pa.RecordBatch]:
         return self.pager.batches(partition)
@@ -178,7 +183,7 @@ class PagedStreamReader(DataSourceStreamReader):
         return {"created": int(fixed) if fixed else int(time.time()) - delay}
 
     def partitions(self, start: dict, end: dict) -> list[Chunk]:
-        return chunk_range(start["created"], end["created"], self.pager.width)
+        return chunk_range(start["created"], end["created"], self.pager.width, self.pager.edges)
 
     def read(self, partition: Chunk | None) -> Iterator[pa.RecordBatch]:
         return self.pager.batches(partition)
@@ -206,8 +211,10 @@ class PagedSource(DataSource):
 def register(spark: SparkSession) -> SparkSession:
     """Make the ``paged`` format known to the session.
 
-    The package travels inside the pickled source, so executors need not have it installed.
+    The package travels inside the pickled source, so executors need not have it
+    installed. Spark refuses a source that takes filters while pushdown is off.
     """
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     cloudpickle.register_pickle_by_value(tidegate)
     spark.dataSource.register(PagedSource)
     return spark
