@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidegate.operators.ordered import ordinal, running
+from tidegate.operators.ordered import ordinal, running, time_buckets
 from tidegate.operators.validate import parsed_once
 from tidegate.schema import LOG_SCHEMA
 
-_STARTING = "Starting: "
-_ENDINGS = {"Completed: ": "completed", "Failed: ": "failed"}
-
 
 def parse_log(lines: DataFrame, text: str = "value") -> DataFrame:
     """Typed fields of JSON lines; a line that is no JSON keeps its text in ``corrupt``."""
@@ -77,34 +74,32 @@ def silences(log: DataFrame, ts: str = "ts", by: list[str] | None = None, minute
 def sample_every(log: DataFrame, n: int = 100, by: str = "operation", order: list[str] | None = None) -> DataFrame:
     """(Specified here.) Every n-th line of each operation in time order."""
     order = order or ["ts"]
-    minute = F.floor(F.unix_micros(order[0]) / 60_000_000)
-    return ordinal(log, [by], minute, order).where(F.col("ordinal") % n == 0).drop("ordinal")
-
-
-def _operation(message: Column) -> Column:
-    return F.regexp_extract(message, r"^(?:Starting|Completed|Failed): (.*)$", 1)
+    buckets = time_buckets(F.unix_seconds(order[0]))
+    return ordinal(log, [by], buckets, order).where(F.col("ordinal") % n == 0).drop("ordinal")
 
 
 def operation_times(log: DataFrame, order: list[str]) -> DataFrame:
     """Pair 'Starting' lines with the 'Completed' or 'Failed' line that follows.
 
-    Takes ``job_id``, ``ts``, ``message``. Numbering the starts of an operation
+    Takes ``job_id``, ``ts``, ``message`` and the columns of ``order``, which starts with ``ts``. Numbering the starts of an operation
     turns the pairing into an aggregate; a start without an end stays 'open'.
     """
-    outcome = F.lit(None).cast("string")
-    for prefix, name in _ENDINGS.items():
-        outcome = F.when(F.col("message").startswith(prefix), name).otherwise(outcome)
-    starts = F.col("message").startswith(_STARTING)
-    lines = log.withColumns({"operation": _operation(F.col("message")), "outcome": outcome, "starts": starts})
-    lines = lines.where(F.col("operation") != "")
-    minute = F.floor(F.unix_micros("ts") / 60_000_000)
+    message = F.col("message")
+    lines = log.select(
+        "job_id",
+        *[c for c in order if c != "job_id"],
+        F.regexp_extract(message, r"^(?:Starting|Completed|Failed): (.*)$", 1).alias("operation"),
+        message.startswith("Starting: ").alias("starts"),
+        message.startswith("Failed: ").alias("fails"),
+    ).where(F.col("operation") != "")
+    starts = F.col("starts").cast("bigint")
     numbered = running(
-        lines, ["job_id", "operation"], minute, order, {"attempt": ("sum", F.col("starts").cast("bigint"))}
+        lines, ["job_id", "operation"], time_buckets(F.unix_seconds("ts")), order, {"attempt": ("sum", starts)}
     )
     paired = numbered.groupBy("job_id", "operation", "attempt").agg(
         F.min(F.when(F.col("starts"), F.col("ts"))).alias("started_at"),
         F.max(F.when(~F.col("starts"), F.col("ts"))).alias("ended_at"),
-        F.max("outcome").alias("outcome"),
+        F.bool_or("fails").alias("failed"),
     )
     return paired.select(
         "job_id",
@@ -112,6 +107,6 @@ def operation_times(log: DataFrame, order: list[str]) -> DataFrame:
         "attempt",
         "started_at",
         "ended_at",
-        F.coalesce("outcome", F.lit("open")).alias("outcome"),
+        F.when(F.col("ended_at").isNull(), "open").when(F.col("failed"), "failed").otherwise("completed").alias("outcome"),
         F.floor((F.unix_micros("ended_at") - F.unix_micros("started_at")) / 1000).alias("duration_ms"),
     )

@@ -7,9 +7,9 @@ own task, and what a piece needs from its predecessors is carried over:
 * :func:`running` carries one summary row per (key, piece),
 * :func:`blocked` copies the last ``lookback`` rows of each block into the next.
 
-Pieces are time buckets as long as none of them is too large, which a count per
-bucket decides; otherwise they are sampled ranges of equal size, which no
-distribution of the data can upset.
+Pieces are days as long as none of them is too large, which a count decides, else
+minutes; past that they are sampled ranges of equal size, which no distribution
+of the data can upset.
 """
 
 from __future__ import annotations
@@ -40,12 +40,19 @@ def _ranges(df: DataFrame, keys: list[str], order: list[str], pieces: int) -> Da
     return df.sparkSession.read.schema(cut.schema).parquet(path)
 
 
-def _cut(df: DataFrame, keys: list[str], bucket: Column, order: list[str], max_rows: int) -> DataFrame:
-    bucketed = df.withColumn("_bucket", bucket)
-    sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count("*").alias("n"))
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-    if largest is None or largest <= max_rows:
-        return bucketed
+def time_buckets(epoch_seconds: Column) -> list[Column]:
+    """Day and minute of a time, coarse to fine."""
+    return [F.floor(epoch_seconds / 86400), F.floor(epoch_seconds / 60)]
+
+
+def _cut(df: DataFrame, keys: list[str], buckets: list[Column], order: list[str], max_rows: int) -> DataFrame:
+    total = 0
+    for bucket in buckets:
+        bucketed = df.withColumn("_bucket", bucket)
+        sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count("*").alias("n"))
+        total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+        if largest is None or largest <= max_rows:
+            return bucketed
     wanted = -(-2 * total // max_rows)
     return _ranges(df, keys, order, max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
@@ -53,7 +60,7 @@ def _cut(df: DataFrame, keys: list[str], bucket: Column, order: list[str], max_r
 def running(
     df: DataFrame,
     keys: list[str],
-    bucket: Column,
+    buckets: list[Column],
     order: list[str],
     values: dict[str, tuple[str, Column]],
     inclusive: bool = True,
@@ -61,13 +68,14 @@ def running(
 ) -> DataFrame:
     """Add running ``sum``/``max`` columns per key in ``order``.
 
-    ``bucket`` must grow with ``order`` (for example the minute of the leading
-    timestamp): it is the unit of parallelism, and one summary row per key and
-    bucket is all that the second, small window sees. A job counts the rows per
-    bucket first; past ``max_rows`` ranges replace the buckets. ``order`` must be
-    total for sums to be repeatable; keys must not be NULL.
+    Each of ``buckets`` must grow with ``order`` (for example the day and the
+    minute of the leading timestamp). A bucket is the unit of parallelism, and one
+    summary row per key and bucket is all that the second, small window sees. A
+    job counts rows per bucket: the first granularity without a bucket above
+    ``max_rows`` is used, and ranges when there is none. ``order`` must be total
+    for sums to be repeatable; keys must not be NULL.
     """
-    cut = _cut(df, keys, bucket, order, max_rows)
+    cut = _cut(df, keys, buckets, order, max_rows)
     inputs = {name: F.col(f"_in_{name}") for name in values}
     cut = cut.select("*", *[column.alias(f"_in_{name}") for name, (_, column) in values.items()])
     last = Window.currentRow if inclusive else -1
@@ -97,9 +105,11 @@ def running(
     )
 
 
-def ordinal(df: DataFrame, keys: list[str], bucket: Column, order: list[str], name: str = "ordinal") -> DataFrame:
+def ordinal(
+    df: DataFrame, keys: list[str], buckets: list[Column], order: list[str], name: str = "ordinal"
+) -> DataFrame:
     """Add a dense 1-based position per key, the skew-safe ``row_number``."""
-    return running(df, keys, bucket, order, {name: ("sum", F.lit(1).cast("bigint"))})
+    return running(df, keys, buckets, order, {name: ("sum", F.lit(1).cast("bigint"))})
 
 
 def blocked(df: DataFrame, position: Column, lookback: int, block: int = 65536) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.operators.ordered import ordinal
+from tidegate.operators.ordered import ordinal, time_buckets
 from tidegate.schema import CHARGE_COLUMNS
 from tidegate.session import use_utc
 
@@ -99,7 +99,7 @@ def charge_pages(
         {"id": named, "chain_id": F.col("created") % 20 if chain is None else chain}
     )
     order = ["created", "id", "amount", "status"]
-    placed = ordinal(rows, ["chain_id"], F.floor(F.col("created") / 60), order)
+    placed = ordinal(rows, ["chain_id"], time_buckets(F.col("created")), order)
     place, page = F.col("ordinal") % page_size, F.floor((F.col("ordinal") - 1) / page_size)
     # The last row of a page is also the cursor of the next, its first row tells the page before of more.
     roles = F.array_compact(
