@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, language, mixing, quality_lines, sharding
+from tidegate.llm import decontaminate, language, mixing, quality_lines, sharding, warc
 from tidegate.llm.common import n_words, table
+from tidegate.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +26,26 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query(
+    "op1_warc",
+    """
+WITH sized AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first FROM sized WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to
+FROM sized LEFT JOIN firsts USING (payload_digest)
+""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.read_archives(spark, path, payloads=False))
+
+
 @query("op3_decontaminate")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in windows of benchmark items."""
