@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, language, mixing, quality_lines, sharding, warc
+from tidegate.llm import decontaminate, html_text, language, mixing, quality_lines, sharding, warc
 from tidegate.llm.common import n_words, table
 from tidegate.session import scratch_path
 
@@ -62,6 +62,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_html_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, "html").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op7_quality_lines")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of each document and whether enough of its words lie in content lines."""

@@ -20,14 +20,14 @@ def shuffle_into_shards(rows: DataFrame, size: str, shards: int, seed: int = 17,
     """Adds ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in each shard).
 
     ``size`` names the bytes of a row (nulls count as 0); their sum sets the number
-    of buckets. All columns decide the bucket, so copies of a text spread and only
+    of buckets, which is at least the session's number of shuffle partitions. All columns decide the bucket, so copies of a text spread and only
     rows equal in every column stay together. Row counts of shards are at most one
     apart. Any type that can be hashed is allowed, nulls too; an empty table gives
-    an empty one. The order depends on the rows and the seed, not on the cluster.
+    an empty one. The order depends on the rows, the seed and the number of buckets alone.
     """
     names = rows.columns
     total = rows.agg(F.sum(size)).first()[0] or 0
-    buckets = int(total // bucket_bytes) + 1
+    buckets = max(int(total // bucket_bytes) + 1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hashed = F.xxhash64(F.lit(seed), *names)
     scattered = rows.select(F.pmod(hashed, F.lit(buckets)).cast("int").alias("bucket"), F.struct(hashed.alias("at"), *names).alias("row"))
     dealt = scattered.repartition(buckets, "bucket")
