@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, html_text, language, mixing, quality_lines, sharding, warc
+from tidegate.llm import decontaminate, html_text, language, line_dedup, mixing, quality_lines, sharding, warc
 from tidegate.llm.common import n_words, table
 from tidegate.session import scratch_path
 
@@ -46,6 +46,36 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_archives(spark, path, payloads=False))
 
 
+@query(
+    "op2_line_dedup",
+    """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no FROM documents WHERE text IS NOT NULL
+), firsts AS (
+    SELECT line, min((doc_id, no)) AS first FROM lines WHERE length(line) >= 16 GROUP BY line
+), shorter AS (
+    SELECT line, first, p, md5(left(line, p - 1) || substr(line, p + 1)) AS rest FROM (SELECT *, unnest(range(1, length(line) + 1)) AS p FROM firsts)
+), met AS (
+    SELECT s.line FROM shorter s JOIN (SELECT rest, p, min(first) AS first FROM shorter GROUP BY ALL) m USING (rest, p) WHERE m.first < s.first
+    UNION
+    SELECT s.line FROM shorter s JOIN firsts f ON s.rest = md5(f.line) WHERE f.first < s.first
+    UNION
+    SELECT f.line FROM shorter s JOIN firsts f ON s.rest = md5(f.line) WHERE s.first < f.first
+), gone AS (
+    SELECT DISTINCT l.doc_id, l.no FROM lines l JOIN firsts f USING (line) WHERE (l.doc_id, l.no) > f.first OR l.line IN (SELECT line FROM met)
+), numbers AS (
+    SELECT doc_id, count(*) AS n_removed, string_agg(no::VARCHAR, ',' ORDER BY no) AS removed_lines FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed_lines, '') AS removed_lines
+FROM documents d LEFT JOIN numbers USING (doc_id)
+""",
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that equal or nearly equal an earlier line of any document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.line_counts(documents, line_dedup.near_lines(documents))
+
+
 @query("op3_decontaminate")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in windows of benchmark items."""
