@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, html_text, language, line_dedup, mixing, quality_lines, sharding, warc
+from tidegate.llm import decontaminate, html_text, language, line_dedup, mixing, quality_lines, sharding, substring_dedup, warc
 from tidegate.llm.common import n_words, table
 from tidegate.session import scratch_path
 
@@ -92,6 +92,32 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op4_substring_dedup",
+    """
+WITH worded AS (
+    SELECT doc_id, row_number() OVER () AS row, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents
+), windows AS (
+    SELECT row, start, md5(array_to_string(words[start:start + 34], ' ')) AS sequence
+    FROM (SELECT row, words, unnest(range(1, len(words) - 33)) AS start FROM worded)
+), starts AS (
+    SELECT row, start FROM windows JOIN (SELECT sequence FROM windows GROUP BY sequence HAVING count(*) > 1) USING (sequence)
+), hit AS (
+    SELECT DISTINCT row, start + unnest(range(0, 35)) AS position FROM starts
+), removed AS (
+    SELECT row, list(position) AS positions FROM hit GROUP BY row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(positions), 0)::BIGINT AS n_removed,
+    sha256(CASE WHEN positions IS NULL THEN array_to_string(words, ' ')
+        ELSE array_to_string(list_transform(list_sort(list_filter(range(1, len(words) + 1), lambda p: NOT list_contains(positions, p))), lambda p: words[p]), ' ') END) AS kept_sha256
+FROM worded LEFT JOIN removed USING (row)
+""",
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of windows that occur twice or more."""
+    return substring_dedup.removed_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op5_html_text")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
