@@ -52,8 +52,10 @@ class Rolling:
     def _grow(self, size: int) -> None:
         if len(self.powers) < size:
             size = max(size, 2 * len(self.powers))
-            self.powers = np.cumprod(np.concatenate([[1], np.full(size - 1, _BASE, np.uint64)]).astype(np.uint64))
-            self.inverses = np.cumprod(np.concatenate([[1], np.full(size - 1, _INVERSE, np.uint64)]).astype(np.uint64))
+            self.powers, self.inverses = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
+            for series in (self.powers, self.inverses):
+                series[0] = 1
+                np.cumprod(series, out=series)
 
     def sums(self, ids: np.ndarray) -> np.ndarray:
         self._grow(len(ids) + 1)
