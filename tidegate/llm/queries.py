@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, html_text, language, line_dedup, mixing, quality_lines, sharding, substring_dedup, warc
+from tidegate.llm import decontaminate, html_text, language, line_dedup, mixing, ngram_join, quality_lines, sharding, substring_dedup, warc
 from tidegate.llm.common import n_words, table
 from tidegate.session import scratch_path
 
@@ -125,6 +125,32 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages, "html").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query(
+    "op6_ngram_join",
+    """
+WITH RECURSIVE worded AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(words[start:start + 4], ' ')) AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS start FROM worded WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+    JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * common >= 75 * (p.n + q.n - common)
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT r.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id FROM reached r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of each document under Jaccard links of word 5-grams."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))[0]
+
+
 @query("op7_quality_lines")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of each document and whether enough of its words lie in content lines."""
