@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, mixing, quality_lines, sharding
+from tidegate.llm import decontaminate, mixing, ngram_join, quality_lines, sharding
 from tidegate.llm.common import n_words, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,6 +25,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_lines.judge(docs.select(*COLUMNS), "text", field).filter("kept").select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id; of rows that share an id one. Rows without an id stay."""
+    docs = docs.select(*COLUMNS)
+    joined, _ = ngram_join.near_duplicates(docs)
+    first = joined.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*COLUMNS).unionByName(docs.filter("doc_id is null"))
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without benchmark passages; a document that is mostly benchmark goes."""
     matched = decontaminate.contaminated_spans(docs.select(*COLUMNS), "text", table(spark, sf_dir, "benchmark"))
@@ -46,6 +55,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("mixing", mix),
     ("sharding", shard),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -218,3 +219,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select(
         "doc_id", "size", F.crc32(body).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline applied to the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
