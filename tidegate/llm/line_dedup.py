@@ -81,15 +81,17 @@ def _later_of_pairs(lines: DataFrame) -> DataFrame:
     positions = F.filter(
         F.sequence(F.lit(1), n), lambda p: (F.col("front") & (p > F.floor((n - 1) / 2))) | (F.col("back") & (p <= n - F.ceil((n - 1) / 2)))
     )
-    rest = lambda p: F.concat(F.substring(F.col("line"), F.lit(1), p - 1), F.substring(F.col("line"), p + 1, n))
-    # Kind 1: changed at the same place. Kind 2: the line itself meets longer lines that become it.
-    cut = F.transform(positions, lambda p: F.struct(F.xxhash64(rest(p)).alias("rest"), p.alias("p")))
+    # Characters of four bytes each, so that a place in the text is a place in the bytes.
+    rest = lambda p: F.xxhash64(F.concat(F.substring(F.col("wide"), F.lit(1), (p - 1) * 4), F.substring(F.col("wide"), p * 4 + 1, n * 4)))
+    wide = lines.withColumn("wide", F.encode("line", "UTF-32"))
     ids = ["h1", "h2", "first"]
-    left_out = lines.select(*ids, F.explode(cut).alias("v")).select(*ids, "v.rest", "v.p")
-    change = left_out.select(*ids, F.xxhash64(F.lit("change"), "rest", "p").alias("key"), F.lit(1).alias("side"))
-    gap = left_out.select(*ids, F.xxhash64(F.lit("gap"), "rest").alias("key"), F.lit(2).alias("side"))
-    own = lines.select(*ids, F.xxhash64(F.lit("gap"), F.xxhash64("line")).alias("key"), F.lit(3).alias("side"))
-    everything = change.unionByName(gap).unionByName(own)
+    cut = wide.select(*ids, F.explode(F.transform(positions, lambda p: F.struct(rest(p).alias("rest"), p.alias("p")))).alias("v"))
+    # Side 1: changed at the same place. Side 2: with a gap, to meet a whole line (side 3).
+    change = F.struct(F.xxhash64(F.lit("change"), "v.rest", "v.p").alias("key"), F.lit(1).alias("side"))
+    gap = F.struct(F.xxhash64(F.lit("gap"), "v.rest").alias("key"), F.lit(2).alias("side"))
+    left_out = cut.select(*ids, F.explode(F.array(change, gap)).alias("k")).select(*ids, "k.key", "k.side")
+    own = wide.select(*ids, F.xxhash64(F.lit("gap"), F.xxhash64("wide")).alias("key"), F.lit(3).alias("side"))
+    everything = left_out.unionByName(own)
     # Changed lines look for any other, shortened ones for a whole line, whole lines for a shortened one.
     first_of = lambda *sides: F.min(F.when(F.col("side").isin(*sides), F.struct("first", "h1", "h2")))
     met = everything.groupBy("key").agg(first_of(1).alias("m1"), first_of(2).alias("m2"), first_of(3).alias("m3"), F.min("first").alias("one"), F.max("first").alias("other"))
