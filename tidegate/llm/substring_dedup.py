@@ -78,17 +78,29 @@ class Tokens:
     def __init__(self) -> None:
         self.ids, self.rolling = WordIds(), Rolling()
 
-    def sums(self, text: bytes) -> np.ndarray | None:
-        words = text.split()  # on ASCII white space
+    def sums(self, text: bytes | None) -> np.ndarray | None:
+        words = text.split() if text else []  # on ASCII white space
         if len(words) < WINDOW:
             return None
         return self.rolling.sums(np.array(list(map(self.ids.__getitem__, words)), np.uint64))
 
-    def grams(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all grams, and for each window where its anchor begins."""
-        hashes = self.rolling.hashes(sums, GRAM)
+    def anchors(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of all grams, the anchor's hash of each window, and where anchors begin."""
+        grams = self.rolling.hashes(sums, GRAM)
         spread = WINDOW - GRAM + 1
-        return hashes, np.lib.stride_tricks.sliding_window_view(hashes, spread).argmin(axis=1) + np.arange(len(hashes) - spread + 1)
+        of_window = sliding(np.minimum, grams, spread)
+        rim = np.zeros(spread - 1, np.uint64)
+        # A gram is an anchor if it is as small as the smallest of some window around it.
+        return grams, of_window, np.flatnonzero(sliding(np.maximum, np.concatenate([rim, of_window, rim]), spread) == grams)
+
+
+def sliding(choose: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum or maximum of every run of ``width`` values, by doubling."""
+    size = 1
+    while size < width:
+        step = min(size, width - size)
+        values, size = choose(values[:-step], values[step:]), size + step
+    return values
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +112,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = tokens.sums(text.as_py())
             if sums is None:
                 continue
-            grams, of_window = tokens.grams(sums)
-            at = np.unique(of_window)
+            grams, _, at = tokens.anchors(sums)
             rows.append(np.full(len(at), i, np.int64))
             hashes.append(grams[at])
             starts.append(at)
@@ -130,7 +141,8 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = tokens.sums(text.as_py())
             if sums is None:
                 continue
-            at = np.flatnonzero(np.isin(tokens.grams(sums)[1], anchors.values.to_numpy()))
+            grams, of_window, _ = tokens.anchors(sums)
+            at = np.flatnonzero(np.isin(of_window, grams[anchors.values.to_numpy()]))
             if len(at):
                 block = (tokens.rolling.hashes(sums, BLOCK) >> np.uint64(32)).astype(np.uint64)
                 rows.append(np.full(len(at), i, np.int64))
@@ -218,7 +230,8 @@ def repeated_windows(documents: DataFrame, doc_id: str, text: str) -> tuple[Data
     known = rows.join(copied, F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.col("version") == F.col("c_version")), "left").select(
         "doc_id", "version", "text", F.col("is_source").isNotNull().alias("copied"), F.coalesce("is_source", F.lit(True)).alias("is_source")
     )
-    sources = known.filter("is_source and text is not null").select("doc_id", "version", "text")
+    # No filter on the text: it would be pushed below the shuffle, which would then not be the one that the result uses.
+    sources = known.filter("is_source").select("doc_id", "version", "text")
     anchors = sources.mapInArrow(_anchors, "anchor long, doc_id long, version int, start int")
     repeated = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
     # What is collected for a document is at most its own anchors.
