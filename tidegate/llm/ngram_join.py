@@ -92,14 +92,16 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler, counts = Shingler(), np.zeros((ORDERS, BUCKETS), np.int64)
     for batch in batches:
         out: list[tuple] = []
+        pending: list[np.ndarray] = []
         for text in batch.column(1):
             tokens = shingler.set_of(text.as_py())
             least = [int(mixed(tokens, seed).min().view(np.int64)) for seed in range(HUB_HASHES)] if len(tokens) else None
             digest = [int(v.view(np.int64)) for v in (mixed(tokens, 8).sum(dtype=np.uint64), np.bitwise_xor.reduce(mixed(tokens, 9)))] if len(tokens) else [0, 0]
-            for order in range(ORDERS):
-                # A set has each token once, but several may fall into a bucket.
-                np.add.at(counts[order], buckets_of(tokens, order), 1)
+            pending.append(tokens)
             out.append((len(tokens), *digest, least))
+        everything = np.concatenate(pending)
+        for order in range(ORDERS):
+            counts[order] += np.bincount(buckets_of(everything, order), minlength=BUCKETS)
         columns = list(zip(*out, strict=True))
         types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True)), pa.nulls(len(out), pa.binary())], ["doc_id", "n", "d1", "d2", "least", "counts"])
