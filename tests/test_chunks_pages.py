@@ -33,11 +33,12 @@ def test_no_chunks_for_an_empty_range(spark):
 
 def test_counts_include_empty_chunks(spark):
     start = datetime(2024, 1, 1)
-    table = chunks.plan_chunks(spark, start, datetime(2024, 1, 4), 24)
-    events = spark.createDataFrame([("2024-01-01 05:00:00",), ("2024-01-03 00:00:00",)], "t STRING").select(
+    end = datetime(2024, 1, 3, 12)
+    table = chunks.plan_chunks(spark, start, end, 24)
+    events = spark.createDataFrame([("2024-01-01 05:00:00",), ("2024-01-03 00:00:00",), ("2024-01-03 20:00:00",), ("2023-12-31 23:00:00",)], "t STRING").select(
         F.col("t").cast("timestamp").alias("ts")
     )
-    got = chunks.chunk_counts(events, "ts", table, start)
+    got = chunks.chunk_counts(events, "ts", table, start, end)
     assert [r.records for r in got.orderBy("chunk_no").collect()] == [1, 0, 1]
     assert [r.chunk_no for r in chunks.missing_chunks(table, got.where("records > 0")).collect()] == [1]
 
@@ -46,7 +47,7 @@ def test_balanced_chunks_cover_the_range_and_meet_the_target(spark):
     start, hours = datetime(2024, 1, 1), [0, 3, 100, 2, 2, 0, 7, 41, 1, 0]
     table = chunks.plan_chunks(spark, start, start + timedelta(hours=len(hours)), 1)
     loads = spark.createDataFrame(list(enumerate(hours)), "chunk_no BIGINT, records BIGINT")
-    got = chunks.balance_chunks(table.join(loads, "chunk_no"), 10).orderBy("chunk_no")
+    got = chunks.balance_chunks(table.join(loads, "chunk_no"), 10).orderBy("group_no")
     cut = got.select(F.unix_micros("start_ts"), F.unix_micros("end_ts"), "expected").collect()
     assert cut[0][0] == 1704067200_000000 and cut[-1][1] == 1704067200_000000 + len(hours) * 3600_000000
     assert all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
@@ -117,8 +118,11 @@ def test_typed_ingest_drops_unknown_keys_and_fails_on_a_missing_key(spark):
     assert got.columns == CHARGE_COLUMNS
     assert (got.first().id, got.first().amount, got.first().currency) == ("a", 5, None)
     bad = spark.createDataFrame([('{"amount":5}',)], "value STRING")
-    with pytest.raises(Exception, match="record without id"):
+    with pytest.raises(Exception, match="missing:id"):
         validate.typed_ingest(bad).collect()
+    for text in ('{"id":"a","amount":"5"}', '{"id":"a","amount":"many"}', '{"id":5}', '{"id":"a","amo', '[1]'):
+        with pytest.raises(Exception, match="type:|malformed"):
+            validate.typed_ingest(spark.createDataFrame([(text,)], "value STRING")).collect()
 
 
 def test_reject_reasons(spark):
@@ -128,6 +132,9 @@ def test_reject_reasons(spark):
         '{"amount":null}',
         '{"id":"a","amo',
         '{"id":"a","amount":1.5}',
+        '{"id":"a","amount":"5"}',
+        '{"id":{"x":1},"currency":7}',
+        None,
     ]
     checked = validate.validate_schema(spark.createDataFrame([(t,) for t in texts], "value STRING"))
     got = {r.raw: r.reasons for r in checked.collect()}
@@ -137,6 +144,9 @@ def test_reject_reasons(spark):
         ["missing:id"],
         ["malformed"],
         ["type:amount"],
+        ["type:amount"],
+        ["type:id", "type:currency"],
+        ["malformed"],
     ]
     assert validate.valid_rows(checked).columns == CHARGE_COLUMNS
     assert validate.valid_rows(checked).count() + validate.rejected_rows(checked).count() == len(texts)

@@ -1,14 +1,18 @@
 """The whole job against pages that Spark landed from a small charge table."""
 
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
+import landed
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidegate.operators.checkpoints import fold_checkpoints, resume_point, resume_points, safe_high_water_mark
-from tidegate.plans.extract import ExtractConfig, current_charges, read_checkpoints, run_extract
+from tidegate.plans.extract import ExtractConfig, current_charges, read_checkpoints, reset_checkpoint, run_extract
 from tidegate.schema import RUN_SCHEMA
+from tidegate.sources import paged
 
 DAY = 86400
 START = 1704067200  # 2024-01-01
@@ -33,14 +37,20 @@ def land(spark, path, days, customers=True, version=0):
 
 
 @pytest.fixture()
-def config(tmp_path):
-    return ExtractConfig(
+def config(tmp_path, monkeypatch):
+    monkeypatch.setitem(paged.TRANSPORTS, "landed", landed.LandedPages)
+    cloudpickle.register_pickle_by_value(landed)
+    yield from _config(tmp_path)
+    cloudpickle.unregister_pickle_by_value(landed)
+
+
+def _config(tmp_path):
+    yield ExtractConfig(
         root=str(tmp_path / "lake"),
         checkpoint_key=KEY,
         source={"transport": "landed", "transport.path": f"file://{tmp_path / 'pages'}"},
         as_of=datetime(2024, 1, 8),
         default_days=7,
-        buffer_minutes=0,
     )
 
 
@@ -57,9 +67,18 @@ def test_first_run_then_nothing_new(spark, tmp_path, config):
     assert mark(spark, config).at == START + 7 * DAY
     assert current_charges(spark, config.root).count() == 14
     assert run_extract(spark, config).reason == "nothing to extract"
-    later = ExtractConfig(**(vars(config) | {"as_of": config.as_of + timedelta(days=1)}))
-    assert run_extract(spark, later).reason == "no records"
-    assert mark(spark, config).at == START + 7 * DAY, "no records, no move"
+    land(spark, str(tmp_path / "pages"), 9)
+    later = ExtractConfig(**(vars(config) | {"as_of": config.as_of + timedelta(days=2)}))
+    result = run_extract(spark, later)
+    assert (result.reason, result.records) == ("committed", 4), "the buffer reads a day again and counts none of it"
+    assert mark(spark, config).at == START + 9 * DAY
+    assert (current_charges(spark, config.root).count(), mark(spark, config).records_extracted) == (18, 18)
+
+
+def test_the_landed_set_is_read_in_few_passes(spark, tmp_path, config):
+    land(spark, str(tmp_path / "pages"), 7)
+    result = run_extract(spark, config)
+    assert result.records == result.report["total_records"] == 14
 
 
 def test_checkpoint_stops_at_a_failed_chunk(spark, tmp_path, config):
@@ -72,7 +91,7 @@ def test_checkpoint_stops_at_a_failed_chunk(spark, tmp_path, config):
     assert run_extract(spark, config).exit_code == 0
     assert mark(spark, config).at == START + 7 * DAY
     assert current_charges(spark, config.root).count() == 14
-    assert mark(spark, config).records_extracted == read_checkpoints(spark, config.root).first().records_extracted
+    assert mark(spark, config).records_extracted == 14, "a repeated chunk counts once"
 
 
 def test_everything_failed(spark, tmp_path, config):
@@ -95,12 +114,48 @@ def test_quality_gate_leaves_the_run_uncommitted(spark, tmp_path, config):
     assert run_extract(spark, config).exit_code == 0
 
 
-def test_dry_run_writes_no_data(spark, tmp_path, config):
+def test_dry_run_writes_nothing(spark, tmp_path, config):
     land(spark, str(tmp_path / "pages"), 7)
     config.dry_run = True
     result = run_extract(spark, config)
     assert (result.exit_code, result.records) == (0, 14)
+    assert not os.path.exists(config.root)
+
+
+def test_mistyped_records_are_set_aside_and_stop_nothing(spark, tmp_path, config):
+    day = [{"id": "a", "amount": "5", "created": START}, {"id": " ", "created": START}, {"id": "b", "amount": 5, "currency": "usd", "status": "s", "customer": "c", "created": START + 1}, "text"]
+    page = [(START, 0, None, json.dumps({"data": day, "has_more": False}))]
+    df = spark.createDataFrame(page, "chain_id BIGINT, page_no BIGINT, starting_after STRING, body STRING")
+    df.coalesce(1).write.partitionBy("chain_id").parquet(str(tmp_path / "pages"))
+    config.as_of, config.default_days = datetime(2024, 1, 2), 1
+    result = run_extract(spark, config)
+    assert (result.exit_code, result.records, result.rejected, result.failed_chunks) == (0, 1, 3, 0)
+    assert mark(spark, config).at == START + DAY
+    rejects = spark.read.parquet(f"{config.root}/rejects").collect()
+    assert sorted(r._reasons for r in rejects) == ["malformed", "missing:id", "type:amount"]
+    assert json.loads(next(r._reject for r in rejects if r._reasons == "type:amount"))["amount"] == "5"
+
+
+def test_reset_starts_over_and_stays_in_the_history(spark, tmp_path, config):
+    land(spark, str(tmp_path / "pages"), 7)
+    run_extract(spark, config)
+    reset_checkpoint(spark, config.root, KEY, "bad data", config.as_of + timedelta(hours=1))
     assert mark(spark, config) is None
+    config.as_of += timedelta(hours=2)
+    config.source["transport.fail_chain"] = str(START + 7 * DAY)
+    result = run_extract(spark, config)
+    assert (result.exit_code, result.reason, result.records) == (0, "no new records", 0)
+    assert mark(spark, config).at == START + 7 * DAY
+    history = spark.read.parquet(f"{config.root}/runs")
+    assert history.where("is_reset").count() == 1 and history.count() == 3
+
+
+def test_a_named_range_leaves_the_checkpoint_alone(spark, tmp_path, config):
+    land(spark, str(tmp_path / "pages"), 7)
+    config.start, config.end = datetime(2024, 1, 2), datetime(2024, 1, 4)
+    result = run_extract(spark, config)
+    assert (result.exit_code, result.records) == (0, 5)
+    assert mark(spark, config) is None and current_charges(spark, config.root).count() == 5
 
 
 def test_later_version_wins(spark, tmp_path, config):
@@ -116,7 +171,7 @@ def test_later_version_wins(spark, tmp_path, config):
 
 def runs(spark, marks):
     return spark.createDataFrame(
-        [(KEY, f"run-{i}", m, 10, None, datetime(2024, 1, 1, i), None) for i, m in enumerate(marks)], RUN_SCHEMA
+        [(KEY, f"run-{i}", m, 10, None, datetime(2024, 1, 1, i), None, None) for i, m in enumerate(marks)], RUN_SCHEMA
     )
 
 

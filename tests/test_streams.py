@@ -47,8 +47,9 @@ def test_sink_is_idempotent_per_batch(spark, tmp_path):
     jobs.run_to_batches(stream, root, state, ["id"])
     stage(spark, source, [("c", 2, "x"), (None, 3, "x")])
     got = jobs.run_to_batches(stream, root, state, ["id"])
-    assert sorted(r.id for r in got.collect()) == ["a", "b"], "the batch with a NULL key stays out"
-    batch = spark.read.parquet(f"{root}/data/batch_id=0")
+    assert sorted(r.id for r in got.collect()) == ["a", "b", "c"], "a NULL key costs its own row only"
+    assert [r.id for r in jobs.rejected_rows(spark, root, schema).collect()] == [None]
+    batch = spark.read.parquet(f"{root}/data/batch_id=0").drop("rejected")
     for _ in range(2):
         jobs._write_batch(root, ["id"])(batch, 7)
     assert rows(spark.read.parquet(f"{root}/audit/batch_id=7")) == [(2, 0)]

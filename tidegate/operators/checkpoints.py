@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,13 @@ def fold_checkpoints(runs: DataFrame) -> DataFrame:
     """Current checkpoint per key from its finished runs (``RUN_SCHEMA``).
 
     The high-water mark is a maximum, so it never moves back; totals add up;
-    cursor, metadata and last count come from the latest update.
+    cursor, metadata and last count come from the latest update. A reset
+    (``is_reset``, if the column is there) voids the rows up to its time.
     """
+    if "is_reset" in runs.columns:
+        resets = runs.where("is_reset").groupBy(F.col("checkpoint_key").alias("reset_key")).agg(F.max("updated_at").alias("reset_at"))
+        valid = runs.join(resets, F.col("checkpoint_key") == F.col("reset_key"), "left")
+        runs = valid.where(~F.coalesce("is_reset", F.lit(False)) & (F.col("reset_at").isNull() | (F.col("updated_at") > F.col("reset_at"))))
     latest = F.struct("updated_at", "run_id")
     return runs.groupBy("checkpoint_key").agg(
         F.max("high_water_mark").alias("last_extracted_timestamp"),
@@ -79,12 +85,17 @@ def incremental_batch(
     """New rows of a window that overlaps what is stored already.
 
     Copies inside the batch are reduced before the anti-join, so its left side
-    has one row per key and a hot key cannot skew it.
+    has one row per key and a hot key cannot skew it. A record keeps its ``created``,
+    so of what is stored only the window's rows are read: pass ``stored`` with a
+    filter on its partitions to skip the others. NULL keys are a value of their own.
     """
     from tidegate.operators.dedup import keep_latest
 
-    window = source.where((F.col("created") >= start_epoch) & (F.col("created") <= end_epoch))
-    return keep_latest(window, keys, order).join(stored.select(*keys).distinct(), keys, "left_anti")
+    inside = (F.col("created") >= start_epoch) & (F.col("created") <= end_epoch)
+    batch = keep_latest(source.where(inside), keys, order)
+    known = stored.where(inside).select(*[F.col(k).alias(f"_stored_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in keys])
+    return batch.join(known, same, "left_anti")
 
 
 def checkpoint_lag(

@@ -33,15 +33,17 @@ def in_range(epoch: Column, start_epoch, end_epoch) -> Column:
     return (epoch >= start_epoch) & (epoch < end_epoch)
 
 
-def chunk_counts(rows: DataFrame, ts: str, plan: DataFrame, start, hours: int = 24) -> DataFrame:
-    """Records per planned chunk, zero for empty ones.
+def chunk_counts(rows: DataFrame, ts: str, plan: DataFrame, start, end, hours: int = 24) -> DataFrame:
+    """Records of ``[start, end)`` per planned chunk, zero for empty ones.
 
-    The chunk number is computed from the timestamp, which turns the range join
-    into an equi-join against counts that are already aggregated.
+    ``start`` and ``end`` are those of the plan. The chunk number is computed from
+    the timestamp, which turns the range join into an equi-join against counts
+    that are already aggregated.
     """
+    inside = rows.where((F.col(ts) >= as_timestamp(start)) & (F.col(ts) < as_timestamp(end)))
     micros = F.unix_micros(F.col(ts)) - F.unix_micros(as_timestamp(start))
     number = F.floor(micros / (hours * 3600 * 1_000_000)).alias("chunk_no")
-    counts = rows.groupBy(number).agg(F.count("*").alias("records"))
+    counts = inside.groupBy(number).agg(F.count("*").alias("records"))
     return plan.join(counts, "chunk_no", "left").withColumn("records", F.coalesce("records", F.lit(0)))
 
 
@@ -50,32 +52,24 @@ def balance_chunks(counts: DataFrame, target: int) -> DataFrame:
 
     A fine chunk above the target is cut into equal time slices, small ones are
     merged. Takes one row per fine chunk, however many records those hold.
+    ``group_no`` grows with time; groups that a large slice skips have no number.
     """
-    slices = F.greatest(F.lit(1), F.ceil(F.col("records") / target))
+    slices = F.greatest(F.lit(1), F.ceil(F.col("records") / target)).cast("bigint")
     lo, width = F.unix_micros("start_ts"), F.unix_micros("end_ts") - F.unix_micros("start_ts")
     i, k = F.col("i"), F.col("k")
-    cut = (
-        counts.withColumn("k", slices)
-        .withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1)))
-        .select(
-            "chunk_no",
-            "i",
-            (lo + F.floor(width * i / k)).alias("lo"),
-            (lo + F.floor(width * (i + 1) / k)).alias("hi"),
-            (F.col("records") / k).alias("weight"),
-        )
-    )
-    before = Window.orderBy("chunk_no", "i").rowsBetween(Window.unboundedPreceding, -1)
-    filled = F.coalesce(F.sum("weight").over(before), F.lit(0.0)) / target
-    # The small addend keeps a rounding error from splitting off a full chunk's last slice.
-    grouped = cut.withColumn("g", F.floor(filled + 1e-9)).groupBy("g").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("weight").alias("expected")
+    # One row per fine chunk goes through the window; its slices follow by arithmetic.
+    before = Window.orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("k", slices).withColumn("before", F.coalesce(F.sum("records").over(before), F.lit(0)))
+    cut = placed.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1))).select(
+        (lo + F.floor(width * i / k)).alias("lo"),
+        (lo + F.floor(width * (i + 1) / k)).alias("hi"),
+        (F.col("records") / k).alias("weight"),
+        # The small addend keeps a rounding error from splitting off a full chunk's last slice.
+        F.floor((F.col("before") + F.col("records") * i / k) / target + 1e-9).alias("g"),
     )
+    grouped = cut.groupBy("g").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("weight").alias("expected"))
     return grouped.select(
-        (F.row_number().over(Window.orderBy("g")) - 1).cast("bigint").alias("chunk_no"),
-        F.timestamp_micros("lo").alias("start_ts"),
-        F.timestamp_micros("hi").alias("end_ts"),
-        "expected",
+        F.col("g").alias("group_no"), F.timestamp_micros("lo").alias("start_ts"), F.timestamp_micros("hi").alias("end_ts"), "expected"
     )
 
 

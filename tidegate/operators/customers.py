@@ -29,12 +29,13 @@ def flag_new_customers(df: DataFrame) -> DataFrame:
     return joined.select(*df.columns, F.coalesce("is_new_customer", F.lit(False)).alias("is_new_customer"))
 
 
-def flag_refund_risk(df: DataFrame, failures: int = 2) -> DataFrame:
+def flag_refund_risk(df: DataFrame, failures: int = 2, salts: int = 64) -> DataFrame:
     """``is_refund_risk``: at least ``failures`` failed payments up to and including the row.
 
     That is the case from the customer's n-th failed payment on. The rank filter
-    keeps at most n rows per customer before anything is shuffled; the join that
-    follows is split by adaptive execution where a customer is hot.
+    keeps at most n rows per customer before anything is shuffled. The rows of a
+    customer are dealt over ``salts`` groups by their id, each with a copy of that
+    one fact, and rows without a customer have no fact and spread likewise.
     """
     place = Window.partitionBy("customer").orderBy(*_PLACE)
     nth = (
@@ -43,8 +44,13 @@ def flag_refund_risk(df: DataFrame, failures: int = 2) -> DataFrame:
         .withColumn("n", F.row_number().over(place))
         .where(F.col("n") <= failures)
         .where(F.col("n") == failures)
-        .select("customer", F.struct(*_PLACE).alias("from"))
+        .select(
+            F.col("customer").alias("of"),
+            F.struct(*_PLACE).alias("from"),
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        )
     )
-    joined = df.join(nth, "customer", "left")
+    dealt = df.withColumn("_salt", F.pmod(F.xxhash64("id", "created"), F.lit(salts)).cast("int"))
+    joined = dealt.join(nth, (F.col("customer") == F.col("of")) & (F.col("_salt") == F.col("salt")), "left")
     risk = F.coalesce(F.struct(*_PLACE) >= F.col("from"), F.lit(False))
     return joined.select(*df.columns, risk.alias("is_refund_risk"))

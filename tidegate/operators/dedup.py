@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, TimestampType
 
+from tidegate.session import scratch_path
+
 # Newest first, then a fixed order of the other columns so that ties never depend on the plan.
 CHARGE_ORDER = [
     "-created",
@@ -65,27 +67,22 @@ def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).dropDuplicates(keys)
 
 
-def flag_duplicates(df: DataFrame, keys: list[str], order: list[str], slice_rows: int = 65536) -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep every row and add ``is_duplicate``: false for exactly one row of each key.
 
-    (Specified here.) Exact copies are indistinguishable, so they travel as one
-    row with a count, cut into slices that spread over the tasks of a join on
-    *all* columns with their key's survivor. Neither a hot key nor a hot group
-    of copies meets in one task; only the last step unfolds the copies again.
+    (Specified here.) The survivor of a key is the first row in ``order``; all columns
+    and then a row number break ties, so exact copies are told apart. Keys are reduced
+    by a pre-aggregated minimum, and the rows join their survivor on that number, so
+    neither a hot key nor a hot group of copies meets in one task.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
-    last_slice = F.floor((F.col("_n") - 1) / slice_rows)
-    slices = counted.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_slice)).alias("_slice"))
-    survivor = keep_latest(counted.drop("_n"), keys, order).select(
-        *[F.col(c).alias(f"s_{c}") for c in columns], F.lit(0).cast("bigint").alias("s_slice")
-    )
-    same_row = [slices[c].eqNullSafe(survivor[f"s_{c}"]) for c in columns]
-    matched = slices.join(survivor.hint("merge"), [slices["_slice"] == survivor["s_slice"], *same_row], "left")
-    size = F.least(F.col("_n") - F.col("_slice") * slice_rows, F.lit(slice_rows)).cast("int")
-    unfolded = matched.select(*columns, "s_slice", F.explode(F.sequence(F.lit(1), size)).alias("_copy"))
-    first = F.col("s_slice").isNotNull() & (F.col("_copy") == 1)
-    return unfolded.select(*columns, (~first).alias("is_duplicate"))
+    # Written once: the number that tells exact copies apart must not change between its two uses.
+    numbered = df.withColumn("_n", F.monotonically_increasing_id())
+    path = scratch_path(df.sparkSession, "flagged")
+    numbered.write.parquet(path)
+    stored = df.sparkSession.read.schema(numbered.schema).parquet(path)
+    survivor = keep_latest(stored, keys, order).select("_n", F.lit(False).alias("_is_duplicate"))
+    return stored.join(survivor, "_n", "left").select(*columns, F.coalesce("_is_duplicate", F.lit(True)).alias("is_duplicate"))
 
 
 def duplicate_stats(df: DataFrame, keys: list[str]) -> DataFrame:

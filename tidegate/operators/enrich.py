@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import flags, money, scores, text, times
 from tidegate.operators.dedup import CHARGE_ORDER, keep_latest
+from tidegate.operators.validate import keyed
 
 
 def enrich(df: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -34,12 +35,17 @@ def enrich(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-def enrich_charges(df: DataFrame, as_of: Column | None = None, order: list[str] | None = None) -> DataFrame:
+def enrich_charges(
+    df: DataFrame, as_of: Column | None = None, order: list[str] | None = None, keep_blank: bool = False
+) -> DataFrame:
     """One enriched row per id.
 
+    Rows without an id (NULL or blank) cannot be told apart, so they are left out; see
+    ``validate.keyed`` for them. ``keep_blank`` keeps them as one row per blank value instead.
     Every derived column depends on its own row alone, so the copies are removed
     first: only the narrow source columns are shuffled.
     """
+    df = df if keep_blank else keyed(df, "id")
     return enrich(keep_latest(df, ["id"], CHARGE_ORDER if order is None else order), as_of)
 
 
@@ -69,16 +75,16 @@ def convert_currency(
 ) -> DataFrame:
     """Add ``rate``, ``<amount>_converted`` (NULL without a rate) and ``unknown_currency``.
 
-    (Specified here.) A dict of rates is part of the driver's program, bounded
-    by its length and broadcast up to 10,000 entries. For a rates table no hint
-    is given: Spark broadcasts it when its measured size allows and otherwise
-    joins by shuffle, where adaptive execution splits a dominant currency.
+    (Specified here.) No hint is given: Spark broadcasts the rates when their
+    measured size allows and otherwise joins by shuffle, where adaptive execution
+    splits a dominant currency. Of several rates of a code the largest counts, so
+    that no row is multiplied; pass the valid ones only.
     """
     if isinstance(rates, dict):
         table = df.sparkSession.createDataFrame(list(rates.items()), "code STRING, rate DOUBLE")
-        table = F.broadcast(table) if len(rates) <= 10_000 else table
     else:
         table = rates.select(F.col(currency_col).alias("code"), F.col("rate").cast("double").alias("rate"))
+    table = table.groupBy("code").agg(F.max("rate").alias("rate"))
     joined = df.join(table, df[currency_col] == table["code"], "left").drop("code")
     return joined.select(
         "*",

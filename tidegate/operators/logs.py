@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidegate.operators.ordered import ordinal, running, time_buckets
+from tidegate.operators.ordered import ordinal
 from tidegate.operators.validate import parsed_once
 from tidegate.schema import LOG_SCHEMA
 
@@ -74,36 +74,35 @@ def silences(log: DataFrame, ts: str = "ts", by: list[str] | None = None, minute
 def sample_every(log: DataFrame, n: int = 100, by: str = "operation", order: list[str] | None = None) -> DataFrame:
     """(Specified here.) Every n-th line of each operation in time order."""
     order = order or ["ts"]
-    buckets = time_buckets(F.unix_seconds(order[0]))
-    return ordinal(log, [by], buckets, order).where(F.col("ordinal") % n == 0).drop("ordinal")
+    return ordinal(log, [by], order).where(F.col("ordinal") % n == 0).drop("ordinal")
 
 
 def operation_times(log: DataFrame, order: list[str]) -> DataFrame:
-    """Pair 'Starting' lines with the 'Completed' or 'Failed' line that follows.
+    """Pair 'Starting' lines with the 'Completed' or 'Failed' line that follows in the same run.
 
-    Takes ``job_id``, ``ts``, ``message`` and the columns of ``order``, which starts with ``ts``. Numbering the starts of an operation
-    turns the pairing into an aggregate; a start without an end stays 'open'.
+    Takes ``job_id``, ``run_id``, ``ts``, ``message`` and the columns of ``order``, which starts with ``ts``.
+    Numbering the starts of an operation within its run turns the pairing into an aggregate, so runs of a job
+    that overlap do not mix; a start without an end stays 'open'. A NULL job or run is a value of its own.
     """
-    message = F.col("message")
+    message, run = F.col("message"), ["job_id", "run_id", "operation"]
     lines = log.select(
         "job_id",
-        *[c for c in order if c != "job_id"],
+        "run_id",
+        *[c for c in order if c not in ("job_id", "run_id")],
         F.regexp_extract(message, r"^(?:Starting|Completed|Failed): (.*)$", 1).alias("operation"),
         message.startswith("Starting: ").alias("starts"),
         message.startswith("Failed: ").alias("fails"),
     ).where(F.col("operation") != "")
-    starts = F.col("starts").cast("bigint")
-    numbered = running(
-        lines, ["job_id", "operation"], time_buckets(F.unix_seconds("ts")), order, {"attempt": ("sum", starts)}
-    )
-    paired = numbered.groupBy("job_id", "operation", "attempt").agg(
+    # A run's lines of one operation are few, so a plain window serves.
+    place = Window.partitionBy(*run).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = lines.withColumn("attempt", F.sum(F.col("starts").cast("bigint")).over(place))
+    paired = numbered.groupBy(*run, "attempt").agg(
         F.min(F.when(F.col("starts"), F.col("ts"))).alias("started_at"),
         F.max(F.when(~F.col("starts"), F.col("ts"))).alias("ended_at"),
         F.bool_or("fails").alias("failed"),
     )
     return paired.select(
-        "job_id",
-        "operation",
+        *run,
         "attempt",
         "started_at",
         "ended_at",

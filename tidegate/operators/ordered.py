@@ -1,83 +1,61 @@
 """Running and trailing computations that do not put a whole key into one task.
 
 A plain ``Window.partitionBy(job)`` sends all rows of a job to one task. Here
-the rows of a key are cut into consecutive pieces, each piece is handled by its
-own task, and what a piece needs from its predecessors is carried over:
+the rows are cut into sampled ranges of equal size by (keys, order), each range
+is handled by its own task, and what a range needs from its predecessors is
+carried over:
 
-* :func:`running` carries one summary row per (key, piece),
+* :func:`running` carries one summary row per (key, range),
 * :func:`blocked` copies the last ``lookback`` rows of each block into the next.
 
-Pieces are days as long as none of them is too large, which a count decides, else
-minutes; past that they are sampled ranges of equal size, which no distribution
-of the data can upset.
+NULL keys are a group of their own and NULLs in the order come first.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.session import scratch_path
 
-# A piece larger than this is cut by range.
-MAX_PIECE_ROWS = 10_000_000
-
 _COMBINE = {
     "sum": (F.sum, lambda carried, own: F.coalesce(carried, F.lit(0)) + F.coalesce(own, F.lit(0))),
     "max": (F.max, lambda carried, own: F.greatest(carried, own)),
 }
 
 
-def _ranges(df: DataFrame, keys: list[str], order: list[str], pieces: int) -> DataFrame:
+def _ranges(df: DataFrame, keys: list[str], order: list[str], pieces: int | None = None) -> DataFrame:
     """``_bucket`` from a range partitioning by (keys, order).
 
     Range bounds are sampled anew in every job, so the result is written once
-    and read back: all later uses see the same pieces, also after a task is lost.
+    and read back: all later uses see the same ranges, also after a task is lost.
     """
-    cut = df.repartitionByRange(pieces, *keys, *order).withColumn("_bucket", F.spark_partition_id())
+    wanted = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(wanted, *keys, *order).withColumn("_bucket", F.spark_partition_id())
     path = scratch_path(df.sparkSession, "ranges")
     cut.write.parquet(path)
     return df.sparkSession.read.schema(cut.schema).parquet(path)
 
 
-def time_buckets(epoch_seconds: Column) -> list[Column]:
-    """Day and minute of a time, coarse to fine."""
-    return [F.floor(epoch_seconds / 86400), F.floor(epoch_seconds / 60)]
-
-
-def _cut(df: DataFrame, keys: list[str], buckets: list[Column], order: list[str], max_rows: int) -> DataFrame:
-    total = 0
-    for bucket in buckets:
-        bucketed = df.withColumn("_bucket", bucket)
-        sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count("*").alias("n"))
-        total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-        if largest is None or largest <= max_rows:
-            return bucketed
-    wanted = -(-2 * total // max_rows)
-    return _ranges(df, keys, order, max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-
-
 def running(
     df: DataFrame,
     keys: list[str],
-    buckets: list[Column],
     order: list[str],
     values: dict[str, tuple[str, Column]],
     inclusive: bool = True,
-    max_rows: int = MAX_PIECE_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add running ``sum``/``max`` columns per key in ``order``.
 
-    Each of ``buckets`` must grow with ``order`` (for example the day and the
-    minute of the leading timestamp). A bucket is the unit of parallelism, and one
-    summary row per key and bucket is all that the second, small window sees. A
-    job counts rows per bucket: the first granularity without a bucket above
-    ``max_rows`` is used, and ranges when there is none. ``order`` must be total
-    for sums to be repeatable; keys must not be NULL.
+    A range is the unit of parallelism, and one summary row per key and range is
+    all that the second, small window sees. ``order`` must be total for sums to
+    be repeatable. ``pieces`` is the number of ranges, by default that of the
+    session's shuffle partitions.
     """
-    cut = _cut(df, keys, buckets, order, max_rows)
     inputs = {name: F.col(f"_in_{name}") for name in values}
-    cut = cut.select("*", *[column.alias(f"_in_{name}") for name, (_, column) in values.items()])
+    cut = _ranges(df.select("*", *[column.alias(f"_in_{name}") for name, (_, column) in values.items()]), keys, order, pieces)
     last = Window.currentRow if inclusive else -1
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -85,8 +63,8 @@ def running(
         *[_COMBINE[kind][0](inputs[name]).alias(f"_total_{name}") for name, (kind, _) in values.items()]
     )
     carried = totals.select(
-        *keys,
-        "_bucket",
+        *[F.col(key).alias(f"_of_{key}") for key in keys],
+        F.col("_bucket").alias("_of_bucket"),
         *[
             _COMBINE[kind][0](f"_total_{name}").over(before).alias(f"_carried_{name}")
             for name, (kind, _) in values.items()
@@ -96,7 +74,8 @@ def running(
         "*",
         *[_COMBINE[kind][0](inputs[name]).over(inside).alias(f"_own_{name}") for name, (kind, _) in values.items()],
     )
-    return local.join(carried, [*keys, "_bucket"]).select(
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys], F.col("_bucket") == F.col("_of_bucket"))
+    return local.join(carried, same).select(
         *df.columns,
         *[
             _COMBINE[kind][1](F.col(f"_carried_{name}"), F.col(f"_own_{name}")).alias(name)
@@ -105,11 +84,9 @@ def running(
     )
 
 
-def ordinal(
-    df: DataFrame, keys: list[str], buckets: list[Column], order: list[str], name: str = "ordinal"
-) -> DataFrame:
+def ordinal(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal") -> DataFrame:
     """Add a dense 1-based position per key, the skew-safe ``row_number``."""
-    return running(df, keys, buckets, order, {name: ("sum", F.lit(1).cast("bigint"))})
+    return running(df, keys, order, {name: ("sum", F.lit(1).cast("bigint"))})
 
 
 def blocked(df: DataFrame, position: Column, lookback: int, block: int = 65536) -> DataFrame:
@@ -117,9 +94,9 @@ def blocked(df: DataFrame, position: Column, lookback: int, block: int = 65536)
 
     Adds ``_block`` and ``_own``. Evaluate a window over (keys, ``_block``) that
     looks back at most ``lookback`` rows, then keep the rows where ``_own``.
+    Blocks are at least as long as the lookback.
     """
-    if lookback > block:
-        raise ValueError("lookback must not exceed the block size")
+    block = max(block, lookback)
     home = F.floor(position / block)
     near_end = F.pmod(position, F.lit(block)) >= block - lookback
     return (

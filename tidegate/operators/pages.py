@@ -78,8 +78,7 @@ def page_totals(pages: DataFrame, chain: str = "chain_id") -> DataFrame:
     )
 
 
-def page_progress(pages: DataFrame, chain: str = "chain_id", bucket_pages: int = 4096) -> DataFrame:
+def page_progress(pages: DataFrame, chain: str = "chain_id") -> DataFrame:
     """Records in each page and the running total of its chain."""
     sized = pages.select(chain, "page_no", F.size("data").cast("bigint").alias("records_in_page"))
-    buckets = [F.floor(F.col("page_no") / bucket_pages)]
-    return running(sized, [chain], buckets, ["page_no"], {"total_records": ("sum", F.col("records_in_page"))})
+    return running(sized, [chain], ["page_no"], {"total_records": ("sum", F.col("records_in_page"))})

@@ -10,18 +10,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.times import as_timestamp
-from tidegate.operators.ordered import blocked, ordinal, running, time_buckets
+from tidegate.operators.ordered import blocked, ordinal, running
 
 _ORDER = ["start_time", "run_no"]
 
 
-def _buckets():
-    return time_buckets(F.unix_seconds("start_time"))
-
-
 def latest_run_state(updates: DataFrame) -> DataFrame:
-    """Current row per (job_id, run_no) from an append-only log of state changes."""
-    latest = F.max_by(F.struct(*[c for c in updates.columns if c not in ("job_id", "run_no")]), "updated_at")
+    """Current row per (job_id, run_no) from an append-only log of state changes.
+
+    Of updates at the same time an end state counts before ``running``, then the largest row.
+    """
+    state = F.struct(*[c for c in updates.columns if c not in ("job_id", "run_no")])
+    latest = F.max_by(state, F.struct("updated_at", (F.col("status") != "running").alias("ended"), state))
     return updates.groupBy("job_id", "run_no").agg(latest.alias("state")).select("job_id", "run_no", "state.*")
 
 
@@ -51,7 +51,7 @@ def duration_regressions(runs: DataFrame, trailing: int = 7, factor: float = 2.0
     """Runs that took more than ``factor`` times the mean of the job's ``trailing`` runs before."""
     seconds = F.unix_seconds("end_time") - F.unix_seconds("start_time")
     timed = runs.select("job_id", *_ORDER, seconds.alias("duration_s"))
-    placed = blocked(ordinal(timed, ["job_id"], _buckets(), _ORDER), F.col("ordinal"), trailing)
+    placed = blocked(ordinal(timed, ["job_id"], _ORDER), F.col("ordinal"), trailing)
     window = Window.partitionBy("job_id", "_block").orderBy("ordinal").rowsBetween(-trailing, -1)
     marked = placed.withColumn("baseline_s", F.avg("duration_s").over(window)).where("_own")
     slow = F.coalesce(F.col("duration_s") > factor * F.col("baseline_s"), F.lit(False))
@@ -66,7 +66,7 @@ def failure_streaks(runs: DataFrame, at_least: int = 3) -> DataFrame:
     """
     finished = runs.where(F.col("status") != "running")
     broken = (F.col("status") != "failed").cast("bigint")
-    counted = running(finished, ["job_id"], _buckets(), _ORDER, {"series": ("sum", broken)})
+    counted = running(finished, ["job_id"], _ORDER, {"series": ("sum", broken)})
     streaks = counted.where(F.col("status") == "failed").groupBy("job_id", "series").agg(
         F.count("*").alias("failures"),
         F.min("start_time").alias("first_start"),
@@ -77,7 +77,5 @@ def failure_streaks(runs: DataFrame, at_least: int = 3) -> DataFrame:
 
 def overlapping_runs(runs: DataFrame) -> DataFrame:
     """Runs that started before an earlier run of the same job had ended."""
-    ended = running(
-        runs, ["job_id"], _buckets(), _ORDER, {"busy_until": ("max", F.col("end_time"))}, inclusive=False
-    )
+    ended = running(runs, ["job_id"], _ORDER, {"busy_until": ("max", F.col("end_time"))}, inclusive=False)
     return ended.where(F.col("start_time") < F.col("busy_until"))

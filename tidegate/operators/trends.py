@@ -26,22 +26,33 @@ def volume_rollup(df: DataFrame, amount: str = "amount") -> DataFrame:
     )
 
 
+def calendar(daily: DataFrame, day: str, value: str, fill=None) -> DataFrame:
+    """Every day from the first to the last one; a day without a row gets ``fill`` as ``value``.
+
+    Days are at most one row each, so everything here is bounded by the calendar.
+    """
+    bounds = daily.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).where(F.col("lo").isNotNull())
+    days = bounds.select(F.explode(F.sequence("lo", "hi")).alias(day))
+    return days.join(daily, day, "left").withColumn(value, F.coalesce(F.col(value), F.lit(fill)))
+
+
 def volume_drops(daily: DataFrame, day: str = "dt", value: str = "records", drop: float = 0.5) -> DataFrame:
-    """(Specified here.) Days whose volume fell by more than ``drop`` against the previous day seen."""
+    """(Specified here.) Days whose volume fell by more than ``drop`` against the day before; a day without rows is one of zero."""
+    filled = calendar(daily, day, value, 0)
     previous = F.lag(value).over(Window.orderBy(day))
-    marked = daily.withColumn("previous", previous)
+    marked = filled.withColumn("previous", previous)
     return marked.withColumn("alert", F.coalesce(F.col(value) < (1 - drop) * F.col("previous"), F.lit(False)))
 
 
 def metric_anomalies(
     daily: DataFrame, day: str = "dt", value: str = "value", days: int = 7, limit: float = 3.0
 ) -> DataFrame:
-    """(Specified here.) z-score against the preceding ``days`` rows.
+    """(Specified here.) z-score against the preceding ``days`` days; a day without rows has no value and no part in it.
 
-    NULL until two preceding rows exist or when they do not vary.
+    NULL until two values lie in those days or when they do not vary.
     """
     trailing = Window.orderBy(day).rowsBetween(-days, -1)
-    scored = daily.withColumns(
+    scored = calendar(daily, day, value).withColumns(
         {"trailing_mean": F.avg(value).over(trailing), "trailing_stddev": F.stddev_samp(value).over(trailing)}
     )
     z = (F.col(value) - F.col("trailing_mean")) / F.nullif(F.col("trailing_stddev"), F.lit(0.0))

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 from tidegate.schema import CHARGE_SCHEMA
 
-_CORRUPT = "_corrupt_record"
-
 
 def parsed_once(struct: Column) -> Column:
     """The fields of a parsed struct as columns.
@@ -20,45 +18,65 @@ def parsed_once(struct: Column) -> Column:
     return F.inline(F.array(struct))
 
 
+# JSON types that a column of each type accepts, as named by ``schema_of_variant``.
+_ACCEPTED = {"string": "STRING", "bigint": "BIGINT", "boolean": "BOOLEAN"}
+
+
 def typed_ingest(df: DataFrame, text: str = "value", schema: StructType = CHARGE_SCHEMA) -> DataFrame:
     """Records under a fixed schema: unknown keys are dropped, missing ones are NULL.
 
-    A missing value in a column that must not be NULL fails the job.
+    Broken JSON, a value of another type and a NULL in a column that must not have one fail the
+    job; the reading is that of :func:`validate_schema`, which reports such records instead.
     """
-    parsed = df.select(parsed_once(F.from_json(text, schema)))
-    required = [f.name for f in schema if not f.nullable]
-    return parsed.withColumns(
-        {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"record without {c}")).cast(schema[c].dataType)) for c in required}
-    )
+    checked = validate_schema(df, text, schema)
+    required = [F.when(F.col(f.name).isNull(), F.lit(f"missing:{f.name}")) for f in schema if not f.nullable]
+    wrong = F.filter("reasons", lambda reason: ~reason.startswith("missing:"))
+    problems = F.concat(wrong, F.array_compact(F.array(*required)))
+    failed = F.raise_error(F.concat(F.lit("record without a valid reading: "), F.array_join(problems, ",")))
+    first = schema[0]
+    guarded = F.when(F.size(problems) > 0, failed.cast(first.dataType)).otherwise(F.col(first.name))
+    return checked.select(guarded.alias(first.name), *[f.name for f in schema if f.name != first.name])
 
 
 def validate_schema(df: DataFrame, text: str = "value", schema: StructType = CHARGE_SCHEMA) -> DataFrame:
     """(Specified here.) Typed records, the raw text and ``reasons`` (empty when valid).
 
-    Reasons: ``malformed`` for broken JSON, ``missing:<column>`` for a required
-    column that is NULL or blank, ``type:<column>`` for a value of another type.
-    Values are read as text first, so that one bad field does not hide the rest.
+    Reasons: ``malformed`` for broken JSON or text that is no object, ``missing:<column>`` for a
+    required column that is NULL or blank, ``type:<column>`` for a value of another JSON type: a
+    quoted number is no number, a number no text.
     """
-    loose = StructType()
+    record = F.try_parse_json(text)
+    parsed = df.select(F.col(text).alias("raw"), parsed_once(F.struct(record.alias("_v"))))
+    broken = F.coalesce(~F.schema_of_variant("_v").startswith("OBJECT"), F.lit(True))
+    reasons, columns = [F.when(broken, F.lit("malformed"))], []
     for field in schema:
-        loose = loose.add(field.name, StringType())
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    record = F.from_json(text, loose.add(_CORRUPT, StringType()), options)
-    parsed = df.select(F.col(text).alias("raw"), parsed_once(record))
-    corrupt = F.col(_CORRUPT).isNotNull()
-    reasons, columns = [F.when(corrupt, F.lit("malformed"))], []
-    for field in schema:
-        raw = F.col(field.name)
-        value = raw if isinstance(field.dataType, StringType) else raw.try_cast(field.dataType)
-        columns.append(value.alias(field.name))
+        path = f"$.{field.name}"
+        kind = F.schema_of_variant(F.try_variant_get("_v", path, "variant"))
+        value = F.try_variant_get("_v", path, field.dataType.simpleString())
+        fits = kind == _ACCEPTED[field.dataType.simpleString()]
+        columns.append(F.when(fits, value).alias(field.name))
+        given = F.coalesce(kind != "VOID", F.lit(False))
         if not field.nullable:
-            empty = raw.isNull() | (F.trim(raw) == "")
-            reasons.append(F.when(~corrupt & empty, F.lit(f"missing:{field.name}")))
-        if not isinstance(field.dataType, StringType):
-            reasons.append(F.when(~corrupt & raw.isNotNull() & value.isNull(), F.lit(f"type:{field.name}")))
+            empty = ~given | F.coalesce(F.trim(value.cast("string")) == "", F.lit(False))
+            reasons.append(F.when(~broken & empty, F.lit(f"missing:{field.name}")))
+        reasons.append(F.when(~broken & given & ~fits, F.lit(f"type:{field.name}")))
     return parsed.select(*columns, "raw", F.array_compact(F.array(*reasons)).alias("reasons"))
 
 
+def blank(key: Column) -> Column:
+    return key.isNull() | (F.trim(key) == "")
+
+
+def keyed(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is neither NULL nor blank."""
+    return df.where(~blank(F.col(key)))
+
+
+def unkeyed(df: DataFrame, key: str) -> DataFrame:
+    """The rows that :func:`keyed` leaves out."""
+    return df.where(blank(F.col(key)))
+
+
 def valid_rows(validated: DataFrame) -> DataFrame:
     return validated.where(F.size("reasons") == 0).drop("raw", "reasons")
 

@@ -26,7 +26,8 @@ def present(df: DataFrame) -> DataFrame:
     for field in df.schema:
         column = F.col(field.name)
         if isinstance(field.dataType, DoubleType):
-            column = F.when(F.abs(column) < 1e9, F.floor(column * 1e6 + 0.5) / 1e6).otherwise(column)
+            shifted = column * 1e6 + 0.5
+            column = (shifted - F.pmod(shifted, F.lit(1.0))) / 1e6
         elif isinstance(field.dataType, DateType):
             column = column.cast("string")
         elif isinstance(field.dataType, TimestampType):

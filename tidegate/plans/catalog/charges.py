@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidegate.functions import scores, text, times
-from tidegate.operators import customers, dedup, enrich, filters, quality, trends
+from tidegate.operators import customers, dedup, enrich, filters, quality, trends, validate
 from tidegate.plans import tables
 from tidegate.plans.catalog import query
 from tidegate.plans.oracle import (
@@ -310,6 +310,7 @@ def enrich_composed(spark, sf):
     """Several operators chained into one."""
     steps = enrich.compose(
         filters.drop_test_rows,
+        lambda df: validate.keyed(df, "id"),
         lambda df: dedup.keep_latest(df, ["id"], dedup.CHARGE_ORDER),
         lambda df: df.withColumn("created_timestamp", times.created_timestamp(F.col("created"))),
         enrich.add_date_partitions,
@@ -344,6 +345,12 @@ def quality_verdict(spark, sf):
     return quality.quality_report(enriched_latest(spark, sf))
 
 
+@query("quality_empty_input", _LATEST + f"SELECT {_METRICS}, {_RATE.replace('/ count(*)', '/ nullif(count(*), 0)')}, {_VERDICT} FROM enriched WHERE created < 0")
+def quality_empty_input(spark, sf):
+    """The report over no rows: one row, and the verdict stops the run."""
+    return quality.quality_report(enriched_latest(spark, sf).where("created < 0"))
+
+
 DAILY_QUALITY_SQL = (
     _LATEST + f"SELECT {day_text('dt')} AS dt, {_METRICS}, {_RATE}, {_VERDICT} FROM enriched GROUP BY dt"
 )
@@ -447,10 +454,15 @@ def volume_rollup(spark, sf):
     "volume_drop_alert",
     _LATEST
     + f"""SELECT {day_text('dt')} AS dt, records, previous, coalesce(records < 0.5 * previous, FALSE) AS alert
-    FROM (SELECT dt, count(*) AS records, lag(count(*)) OVER (ORDER BY dt) AS previous FROM enriched GROUP BY dt)""",
+    FROM (SELECT dt, coalesce(n, 0) AS records, lag(coalesce(n, 0)) OVER (ORDER BY dt) AS previous
+      FROM (SELECT CAST(unnest(generate_series(min(dt)::TIMESTAMP, max(dt)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS dt
+            FROM enriched WHERE day(dt) <> 13)
+      LEFT JOIN (SELECT dt, count(*) AS n FROM enriched WHERE day(dt) <> 13 GROUP BY dt) USING (dt))""",
 )
 def volume_drop_alert(spark, sf):
-    daily = enriched_latest(spark, sf).groupBy("dt").agg(F.count("*").alias("records"))
+    """The thirteenth of each month is silent."""
+    rows = enriched_latest(spark, sf).where(F.dayofmonth("dt") != 13)
+    daily = rows.groupBy("dt").agg(F.count("*").alias("records"))
     return trends.volume_drops(daily)
 
 
@@ -513,11 +525,15 @@ def quality_alert(spark, sf):
     f"""SELECT {day_text('dt')} AS dt, round(value, 6) AS value, round(m, 6) AS trailing_mean, round(sd, 6) AS trailing_stddev,
     round((value - m) / nullif(sd, 0), 6) AS z_score, coalesce(abs((value - m) / nullif(sd, 0)) > 2, FALSE) AS anomaly
     FROM (SELECT dt, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS sd
-          FROM (SELECT CAST(ts AS DATE) AS dt, count(*)::DOUBLE AS value FROM events GROUP BY 1)
+          FROM (SELECT CAST(unnest(generate_series(min(ts)::DATE::TIMESTAMP, max(ts)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS dt
+                FROM events WHERE day(ts) <> 13)
+          LEFT JOIN (SELECT CAST(ts AS DATE) AS dt, count(*)::DOUBLE AS value FROM events WHERE day(ts) <> 13 GROUP BY 1) USING (dt)
           WINDOW w AS (ORDER BY dt ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""",
 )
 def metric_anomalies(spark, sf):
-    daily = tables.load(spark, sf, "events").groupBy(F.to_date("ts").alias("dt")).agg(
+    """The thirteenth is silent."""
+    rows = tables.load(spark, sf, "events").where(F.dayofmonth("ts") != 13)
+    daily = rows.groupBy(F.to_date("ts").alias("dt")).agg(
         F.count("*").cast("double").alias("value")
     )
     return trends.metric_anomalies(daily, limit=2.0)

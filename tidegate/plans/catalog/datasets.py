@@ -77,14 +77,21 @@ def latest_partition(spark, sf):
     return layout.latest_partition(layout.data_files(spark, write_events(spark, sf)))
 
 
-@query("file_inventory")
+@query(
+    "file_inventory",
+    f"SELECT {day_text('ts')} AS dt, TRUE AS has_files, TRUE AS has_bytes FROM events GROUP BY 1",
+)
 def file_inventory(spark, sf):
-    return layout.file_inventory(layout.data_files(spark, write_events(spark, sf)), ["dt"])
+    """The days that have files; how many and how large is up to the writer."""
+    files = layout.file_inventory(layout.data_files(spark, write_events(spark, sf)), ["dt"])
+    return files.select(F.col("dt").cast("string").alias("dt"), (F.col("files") >= 1).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
-@query("small_file_report")
+@query("small_file_report", f"SELECT {day_text('ts')} AS dt, 1::BIGINT AS target_files, TRUE AS below_target FROM events GROUP BY 1")
 def small_file_report(spark, sf):
-    return layout.small_file_report(layout.data_files(spark, write_events(spark, sf)), ["dt"])
+    """Days whose files are smaller than the target; here each day would fit into one."""
+    report = layout.small_file_report(layout.data_files(spark, write_events(spark, sf)), ["dt"])
+    return report.select(F.col("dt").cast("string").alias("dt"), F.col("target_files").cast("bigint").alias("target_files"), (F.col("avg_bytes") < layout.TARGET_BYTES).alias("below_target"))
 
 
 @query(
@@ -204,7 +211,11 @@ def reconcile_ids(spark, sf):
     return layout.reconcile_ids(source, dedup.distinct_keys(source, ["id"]), ["id"])
 
 
-@query("preflight")
+@query(
+    "preflight",
+    """SELECT * FROM (VALUES ('sink_usable', TRUE, '1 row written and read'), ('checkpoints_readable', TRUE, '0 run read')) v("check", passed, detail)
+    UNION ALL SELECT 'source_readable', TRUE, count(*) || ' row read' FROM (SELECT 1 FROM orders LIMIT 1)""",
+)
 def preflight(spark, sf):
     return run_preflight(
         spark,

@@ -137,7 +137,8 @@ STORED_UNTIL = 915148800
 @query(
     "incremental_batch",
     with_(CHARGES, LATEST.replace("FROM charges)", f"FROM charges WHERE created >= {STORED_UNTIL} - 300)"))
-    + f"SELECT * FROM latest WHERE id NOT IN (SELECT id FROM charges WHERE created <= {STORED_UNTIL})",
+    + f"""SELECT * FROM latest WHERE id NOT IN
+      (SELECT id FROM charges WHERE created <= {STORED_UNTIL} AND created >= {STORED_UNTIL} - 300)""",
 )
 def incremental_batch(spark, sf):
     source = tables.charges(spark, sf)

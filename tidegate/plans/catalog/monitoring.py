@@ -216,7 +216,7 @@ def timing_lines(spark, sf):
         F.col("status") == "failed", F.array(line(4, F.col("end_time"), "Failed: write"))
     ).otherwise(F.array().cast("array<struct<seq:int,ts:timestamp,message:string>>"))
     lines = F.concat(F.array(*first, line(3, half, "Starting: write")), second)
-    return history.select("job_id", "run_no", F.explode(lines).alias("l")).select("job_id", "run_no", "l.*")
+    return history.select("job_id", F.col("run_no").cast("string").alias("run_id"), F.explode(lines).alias("l")).select("job_id", "run_id", "l.*")
 
 
 @query(
@@ -234,13 +234,13 @@ lines AS (
   UNION ALL SELECT job_id, run_no, 4, end_time, 'write', CASE status WHEN 'failed' THEN 'failed' ELSE 'completed' END
     FROM halved WHERE status <> 'running'),
 numbered AS (
-  SELECT *, count(*) FILTER (outcome IS NULL) OVER (PARTITION BY job_id, operation ORDER BY ts, run_no, seq
+  SELECT *, count(*) FILTER (outcome IS NULL) OVER (PARTITION BY job_id, run_no, operation ORDER BY ts, seq
     ROWS UNBOUNDED PRECEDING) AS attempt FROM lines)""",
     )
-    + f"""SELECT job_id, operation, attempt, {ts_text('min(ts) FILTER (outcome IS NULL)')} AS started_at,
+    + f"""SELECT job_id, run_no::VARCHAR AS run_id, operation, attempt, {ts_text('min(ts) FILTER (outcome IS NULL)')} AS started_at,
     {ts_text('max(ts) FILTER (outcome IS NOT NULL)')} AS ended_at, coalesce(max(outcome), 'open') AS outcome,
     (epoch_us(max(ts) FILTER (outcome IS NOT NULL)) - epoch_us(min(ts) FILTER (outcome IS NULL))) // 1000 AS duration_ms
-    FROM numbered GROUP BY job_id, operation, attempt""",
+    FROM numbered GROUP BY job_id, run_no, operation, attempt""",
 )
 def log_durations(spark, sf):
-    return logs.operation_times(timing_lines(spark, sf), ["ts", "run_no", "seq"])
+    return logs.operation_times(timing_lines(spark, sf), ["ts", "seq"])

@@ -6,8 +6,6 @@ from tidegate.operators import chunks, pages, validate
 from tidegate.plans import tables
 from tidegate.plans.catalog import query
 from tidegate.plans.oracle import CHARGES, PAGES, day_text, ts_text, with_
-from tidegate.session import scratch_path
-from tidegate.sources.paged import register
 
 _RECORD = "id, amount, currency, customer, status, created, paid"
 
@@ -81,22 +79,23 @@ def src_page_chain_check(spark, sf):
 
 
 def _event_bounds(spark, sf):
-    """First and last event as scalar subqueries; nothing is collected."""
+    """First event and the end of the range, three hours before the last one, as scalar subqueries; nothing is collected."""
     ts = tables.load(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
-    return ts, ts.select(F.min("ts")).scalar(), ts.select(F.max("ts")).scalar()
+    end = F.max("ts") - F.make_dt_interval(hours=F.lit(3))
+    return ts, ts.select(F.min("ts")).scalar(), ts.select(end).scalar()
 
 
 CHUNKS = """
 chunks AS (
   SELECT row_number() OVER (ORDER BY s) - 1 AS chunk_no, s AS start_ts, least(s + INTERVAL {h} HOUR, hi) AS end_ts
   FROM (SELECT unnest(generate_series(lo, hi, INTERVAL {h} HOUR)) AS s, hi
-        FROM (SELECT min(ts) AS lo, max(ts) AS hi FROM events)) WHERE s < hi)"""
+        FROM (SELECT min(ts) AS lo, max(ts) - INTERVAL 3 HOUR AS hi FROM events)) WHERE s < hi)"""
 CHUNKS_DAY, CHUNKS_HOUR = CHUNKS.format(h=24), CHUNKS.format(h=1)
 COUNTED = """
 counted AS (
   SELECT c.*, coalesce(n, 0) AS records FROM chunks c LEFT JOIN (
     SELECT (epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) // ({h} * 3600000000) AS chunk_no, count(*) AS n
-    FROM events GROUP BY 1) USING (chunk_no))"""
+    FROM events WHERE ts < (SELECT max(ts) - INTERVAL 3 HOUR FROM events) GROUP BY 1) USING (chunk_no))"""
 COUNTED_DAY, COUNTED_HOUR = COUNTED.format(h=24), COUNTED.format(h=1)
 
 
@@ -104,7 +103,7 @@ def event_chunks(spark, sf, hours=24):
     """Counted chunks over the whole event range."""
     ts, lo, hi = _event_bounds(spark, sf)
     plan = chunks.plan_chunks(spark, lo, hi, hours)
-    return chunks.chunk_counts(ts, "ts", plan, lo, hours)
+    return chunks.chunk_counts(ts, "ts", plan, lo, hi, hours)
 
 
 @query(
@@ -133,7 +132,7 @@ grouped AS (
   SELECT *, CAST(floor(coalesce(sum(weight) OVER (ORDER BY chunk_no, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     / 12 + 1e-9) AS BIGINT) AS g FROM cut)""",
     )
-    + f"""SELECT row_number() OVER (ORDER BY g) - 1 AS chunk_no, {ts_text('make_timestamp(min(lo))')} AS start_ts,
+    + f"""SELECT g AS group_no, {ts_text('make_timestamp(min(lo))')} AS start_ts,
     {ts_text('make_timestamp(max(hi))')} AS end_ts, round(sum(weight), 6) AS expected FROM grouped GROUP BY g""",
 )
 def chunk_plan_balanced(spark, sf):
@@ -183,11 +182,12 @@ def src_typed_ingest(spark, sf):
 
 
 def damaged_json(spark, sf):
-    """Charge JSON where some texts are cut short and some amounts are words."""
+    """Charge JSON where some texts are cut short and some amounts are words or quoted numbers."""
     n = F.col("created")
     return charge_json(spark, sf).withColumn("created", F.get_json_object("value", "$.created").cast("bigint")).select(
         F.when(n % 101 == 0, F.substring("value", 1, 40))
         .when(n % 103 == 0, F.regexp_replace("value", '"amount":-?\\d+', '"amount":"many"'))
+        .when(n % 107 == 0, F.regexp_replace("value", '"amount":(-?\\d+)', '"amount":"$1"'))
         .otherwise(F.col("value"))
         .alias("value")
     )
@@ -195,7 +195,7 @@ def damaged_json(spark, sf):
 
 _DAMAGED = """
 damaged AS (
-  SELECT *, created % 101 = 0 AS cut, created % 101 <> 0 AND created % 103 = 0 AND amount IS NOT NULL AS word
+  SELECT *, created % 101 = 0 AS cut, created % 101 <> 0 AND (created % 103 = 0 OR created % 107 = 0) AND amount IS NOT NULL AS word
   FROM charges)"""
 
 
@@ -244,41 +244,3 @@ def multi_source_union(spark, sf):
         "events",
     )
     return validate.union_sources(charges, events)
-
-
-CHAIN_SECONDS = 90 * 86400
-
-
-def land_pages(spark, sf):
-    """Write the charges as pages, one cursor chain per 90 days, and return the source options.
-
-    The cursor is an id, so the blank ids of the mapping get a name here.
-    Files are cut by (chain, page) ranges, so a long chain spans several files.
-    """
-    origin = tables.charges(spark, sf).agg(F.min("created"), F.max("created")).first()
-    start, end = origin[0], origin[1] + 1
-    chain = F.floor((F.col("created") - start) / CHAIN_SECONDS) * CHAIN_SECONDS + start
-    path = scratch_path(spark, "pages")
-    laid = tables.charge_pages(spark, sf, chain=chain, unnamed="unnamed").repartitionByRange("chain_id", "page_no")
-    laid.sortWithinPartitions("chain_id", "page_no").write.partitionBy("chain_id").parquet(path)
-    return {
-        "transport": "landed",
-        "transport.path": path,
-        "chunk_seconds": str(CHAIN_SECONDS),
-        "start": str(start),
-        "end": str(end),
-    }
-
-
-_EXTRACTED = with_(CHARGES) + f"""SELECT coalesce(nullif(id, ''), 'unnamed') AS id, amount, currency, customer, status, created, paid,
-  (created - lo) // {CHAIN_SECONDS} * {CHAIN_SECONDS} + lo AS chunk_start
-  FROM charges, (SELECT min(created) AS lo FROM charges)"""
-
-
-def extracted(rows):
-    return rows.select(*_RECORD.split(", "), F.col("_chunk_start").alias("chunk_start"))
-
-
-@query("src_paged_extract", _EXTRACTED)
-def src_paged_extract(spark, sf):
-    return extracted(register(spark).read.format("paged").options(**land_pages(spark, sf)).load())

@@ -4,11 +4,9 @@ from pyspark.sql import functions as F
 
 from tidegate.plans import tables
 from tidegate.plans.catalog import query
-from tidegate.plans.catalog.pages import _EXTRACTED, extracted, land_pages
 from tidegate.plans.oracle import ts_text
 from tidegate.session import scratch_path
 from tidegate.sinks.datasets import balanced
-from tidegate.sources.paged import register
 from tidegate.streaming import jobs
 
 
@@ -24,16 +22,6 @@ def _stage(df, name):
     return path
 
 
-@query("stream_incremental", _EXTRACTED)
-def stream_incremental(spark, sf):
-    """The paged source as a stream; the second run finds nothing new."""
-    options, path, state = land_pages(spark, sf), scratch_path(spark, "landed"), scratch_path(spark, "state")
-    for _ in range(2):
-        stream = register(spark).readStream.format("paged").options(**options).load()
-        landed = jobs.run_to_parquet(stream, path, state)
-    return extracted(landed)
-
-
 @query("stream_dedup", f"SELECT event_id, {ts_text('ts')} AS ts, event_type FROM events")
 def stream_dedup(spark, sf):
     """Every event arrives twice."""

@@ -6,7 +6,8 @@ import json
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import new_run_id
@@ -25,7 +26,10 @@ EXIT_OK, EXIT_QUALITY, EXIT_ERROR = 0, 1, 2
 
 @dataclass
 class ExtractConfig:
-    """``source`` holds the options of the ``paged`` source except the range."""
+    """``source`` holds the options of the ``paged`` source except the range.
+
+    ``start`` and ``end`` name a range to read anew; such a run leaves the checkpoint alone.
+    """
 
     root: str
     checkpoint_key: str
@@ -36,10 +40,14 @@ class ExtractConfig:
     chunk_hours: int = 24
     dev: bool = False
     dry_run: bool = False
+    start: datetime | None = None
+    end: datetime | None = None
 
 
 @dataclass
 class ExtractResult:
+    """``records`` counts charges that were not stored before, ``rejected`` records that do not fit the schema."""
+
     exit_code: int
     run_id: str
     reason: str
@@ -47,6 +55,7 @@ class ExtractResult:
     report: dict = field(default_factory=dict)
     high_water_mark: int | None = None
     failed_chunks: int = 0
+    rejected: int = 0
 
 
 def read_checkpoints(spark: SparkSession, root: str) -> DataFrame:
@@ -62,71 +71,127 @@ def current_charges(spark: SparkSession, root: str) -> DataFrame:
     return keep_latest(rows, ["id"], ["-processed_at", *CHARGE_ORDER])
 
 
-def _resume_at(spark: SparkSession, config: ExtractConfig, now: int) -> int:
-    """Epoch second to continue from; times cross to the driver as numbers, free of the host's zone."""
-    mark = F.unix_seconds("last_extracted_timestamp").alias("mark")
-    row = checkpoint_row(read_checkpoints(spark, config.root), config.checkpoint_key).select(mark).first()
-    if row is None or row["mark"] is None:
-        return now - config.default_days * 86400
-    return row["mark"] - config.buffer_minutes * 60
+def reset_checkpoint(spark: SparkSession, root: str, key: str, reason: str, at: datetime | None = None) -> None:
+    """Voids a checkpoint for good: the next run starts as the first one did. The reset stays in ``runs`` with its reason."""
+    use_utc(spark)
+    _append_run(spark, root, key, new_run_id(datetime.now(timezone.utc)), None, None, at or datetime.now(timezone.utc), json.dumps({"reset": reason}), True)
 
 
-def _land(spark: SparkSession, config: ExtractConfig, path: str, start: int, end: int) -> DataFrame:
-    """Page through the source once and keep the answer; every later step reads Parquet."""
+def _append_run(spark, root, key, run_id, mark, records, at, metadata, is_reset=False) -> None:
+    spark.range(1, numPartitions=1).select(
+        F.lit(key).alias("checkpoint_key"),
+        F.lit(run_id).alias("run_id"),
+        F.timestamp_seconds(F.lit(mark).cast("bigint")).alias("high_water_mark"),
+        F.lit(records).cast("bigint").alias("records"),
+        F.lit(None).cast("string").alias("cursor"),
+        as_timestamp(at).alias("updated_at"),
+        F.lit(metadata).alias("metadata"),
+        F.lit(is_reset).alias("is_reset"),
+    ).write.mode("append").parquet(f"{root}/runs")
+
+
+def _range(spark: SparkSession, config: ExtractConfig, now: int) -> tuple[int, int]:
+    """Epoch seconds to read, from the start of a chunk on; times cross to the driver as numbers, free of the host's zone."""
+    end = now if config.end is None else epoch_micros(config.end) // 1_000_000
+    if config.start is not None:
+        start = epoch_micros(config.start) // 1_000_000
+    else:
+        mark = F.unix_seconds("last_extracted_timestamp").alias("mark")
+        row = checkpoint_row(read_checkpoints(spark, config.root), config.checkpoint_key).select(mark).first()
+        known = row is not None and row["mark"] is not None
+        if known and row["mark"] >= end:
+            return end, end
+        start = row["mark"] - config.buffer_minutes * 60 if known else now - config.default_days * 86400
+    width = config.chunk_hours * 3600
+    return start - start % width, end
+
+
+def _pages(spark: SparkSession, config: ExtractConfig, start: int, end: int) -> DataFrame:
     options = {"chunk_seconds": str(config.chunk_hours * 3600), "on_error": "record"} | config.source
-    register(spark).read.format("paged").options(**options, start=str(start), end=str(end)).load().write.mode(
-        "overwrite"
-    ).parquet(path)
-    return spark.read.parquet(path)
+    return register(spark).read.format("paged").options(**options, start=str(start), end=str(end)).load()
+
+
+def _fresh(spark: SparkSession, root: str, charges: DataFrame, start: int, end: int) -> DataFrame:
+    """Charges that are not stored in this form, with ``_is_new`` where the id is not stored at all.
+
+    A charge keeps its ``created``, so only the committed partitions of the range are read.
+    """
+    form = F.xxhash64(*CHARGE_COLUMNS)
+    try:
+        committed = datasets.read_committed(spark, root)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return charges.withColumn("_is_new", F.lit(True))
+    day = lambda second: F.lit(datetime.fromtimestamp(second, timezone.utc).date())
+    stored = committed.where((F.col("dt") >= day(start)) & (F.col("dt") <= day(end))).select(
+        F.col("id").alias("_id"), form.alias("_form")
+    )
+    per_id = stored.groupBy("_id").agg(F.collect_set("_form").alias("_forms"))
+    joined = charges.join(per_id, F.col("id") == F.col("_id"), "left")
+    return joined.where(F.col("_id").isNull() | ~F.array_contains("_forms", form)).withColumn("_is_new", F.col("_id").isNull()).drop("_id", "_forms")
 
 
 def run_extract(spark: SparkSession, config: ExtractConfig) -> ExtractResult:
     """One run. The checkpoint moves only after the commit, and never past a failed chunk.
 
+    Records that do not fit the schema go to ``rejects/`` with their reasons and stop nothing. What the
+    overlap with earlier runs repeats is neither written nor counted again; a changed charge is
+    written as a new version. A dry run reports and writes nothing.
     Exit codes: 0 done (also without new records), 1 quality gate, 2 nothing usable arrived.
     """
     use_utc(spark)
     now = config.as_of or datetime.now(timezone.utc)
     run_id = new_run_id(datetime.now(timezone.utc))
-    end = epoch_micros(now) // 1_000_000
-    start = _resume_at(spark, config, end)
+    start, end = _range(spark, config, epoch_micros(now) // 1_000_000)
     if start >= end:
         return ExtractResult(EXIT_OK, run_id, "nothing to extract")
-
-    landed = _land(spark, config, f"{config.root}/raw/run_id={run_id}", start, end)
-    failed = landed.where("_error IS NOT NULL").agg(
-        F.count_distinct("_chunk_start").alias("chunks"), F.min("_chunk_start").alias("first")
-    ).first()
-    mark = end if failed["first"] is None else failed["first"]
-    rows = landed.where("_error IS NULL").select(*CHARGE_COLUMNS)
-    if rows.isEmpty():
-        code = EXIT_ERROR if failed["chunks"] else EXIT_OK
-        return ExtractResult(code, run_id, "no records", failed_chunks=failed["chunks"])
-
-    enriched = enrich_charges(rows, as_timestamp(now))
+    usable = "_error IS NULL AND _reasons IS NULL"
     if config.dry_run:
-        report = quality_report(enriched, config.dev).first().asDict()
+        rows = _pages(spark, config, start, end).where(usable).select(*CHARGE_COLUMNS)
+        report = quality_report(enrich_charges(rows, as_timestamp(now)), config.dev).first().asDict()
         return ExtractResult(EXIT_OK, run_id, "dry run", report["total_records"], report)
 
-    written = datasets.write_run(enriched, config.root, run_id)
-    report = quality_report(written, config.dev).first().asDict()
-    expected = rows.select("id").distinct().count()
-    check = F.lit(report["quality_check"])
-    audit = {row["check"]: row for row in datasets.audit_run(written, expected, ["id"], check).collect()}
-    broken = [name for name, row in audit.items() if not row["passed"]]
-    if broken:
-        code = EXIT_QUALITY if broken == ["quality"] else EXIT_ERROR
-        return ExtractResult(code, run_id, f"audit failed: {', '.join(broken)}", expected, report)
-
-    datasets.commit_run(spark, config.root, run_id, expected, now)
-    metadata = json.dumps({"quality_metrics": report, "output_path": datasets.run_path(config.root, run_id)})
-    spark.range(1, numPartitions=1).select(
-        F.lit(config.checkpoint_key).alias("checkpoint_key"),
-        F.lit(run_id).alias("run_id"),
-        F.timestamp_seconds(F.lit(mark)).alias("high_water_mark"),
-        F.lit(expected).cast("bigint").alias("records"),
-        F.lit(None).cast("string").alias("cursor"),
-        as_timestamp(now).alias("updated_at"),
-        F.lit(metadata).alias("metadata"),
-    ).write.mode("append").parquet(f"{config.root}/runs")
-    return ExtractResult(EXIT_OK, run_id, "committed", expected, report, mark, failed["chunks"])
+    # The source is paged once; what arrived is counted while it is written.
+    arrived, path = Observation(), f"{config.root}/raw/run_id={run_id}"
+    failed_at = F.when(F.col("_error").isNotNull(), F.col("_chunk_start"))
+    pages = _pages(spark, config, start, end)
+    counted = pages.observe(
+        arrived,
+        F.count_if(F.expr(usable)).alias("usable"),
+        F.count_if(F.col("_reasons").isNotNull()).alias("rejected"),
+        F.count_if(F.col("_error").isNotNull()).alias("failed"),
+        F.min(failed_at).alias("first_failed"),
+    )
+    counted.write.mode("overwrite").parquet(path)
+    landed = spark.read.schema(pages.schema).parquet(path)
+    facts = {"usable": 0, "rejected": 0, "failed": 0} if landed.isEmpty() else arrived.get
+    failed, rejected = facts["failed"], facts["rejected"]
+    if rejected:
+        rejects = landed.where("_reasons IS NOT NULL").select("_chunk_start", "_page", "_reject", "_reasons")
+        rejects.write.mode("overwrite").parquet(f"{config.root}/rejects/run_id={run_id}")
+    mark = facts["first_failed"] if failed else end
+    if not facts["usable"]:
+        return ExtractResult(EXIT_ERROR if failed else EXIT_OK, run_id, "no records", failed_chunks=failed, rejected=rejected)
+
+    charges = enrich_charges(landed.where(usable).select(*CHARGE_COLUMNS), as_timestamp(now))
+    fresh, wrote = _fresh(spark, config.root, charges, start, end), Observation()
+    watched = fresh.observe(wrote, F.count(F.lit(1)).alias("rows"), F.count_if("_is_new").alias("new")).drop("_is_new")
+    written = datasets.write_run(watched, config.root, run_id)
+    # Of an input that turns out empty, the optimizer drops the observation with the plan.
+    counts = {"rows": 0, "new": 0} if written.isEmpty() else wrote.get
+    expected, new = counts["rows"], counts["new"]
+    report: dict = {}
+    if expected:
+        report = quality_report(written, config.dev).first().asDict()
+        check = F.lit(report["quality_check"])
+        audit = {row["check"]: row for row in datasets.audit_run(written, expected, ["id"], check).collect()}
+        broken = [name for name, row in audit.items() if not row["passed"]]
+        if broken:
+            code = EXIT_QUALITY if broken == ["quality"] else EXIT_ERROR
+            return ExtractResult(code, run_id, f"audit failed: {', '.join(broken)}", new, report, rejected=rejected)
+        datasets.commit_run(spark, config.root, run_id, expected, now)
+    if config.start is None and config.end is None:
+        metadata = json.dumps({"quality_metrics": report, "output_path": datasets.run_path(config.root, run_id), "rejected": rejected})
+        _append_run(spark, config.root, config.checkpoint_key, run_id, mark, new, now, metadata)
+    return ExtractResult(EXIT_OK, run_id, "committed" if expected else "no new records", new, report, mark, failed, rejected)

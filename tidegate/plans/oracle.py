@@ -61,7 +61,7 @@ _ENRICHED = f"""
   FROM """
 
 ENRICHED = f"""
-enriched AS ({_ENRICHED} latest)"""
+enriched AS ({_ENRICHED} latest WHERE trim(id) <> '')"""
 
 ENRICHED_ALL = f"""
 enriched AS ({_ENRICHED} charges)"""
@@ -91,7 +91,7 @@ request_log AS (
 
 RUNS = """
 job_runs AS (
-  SELECT 'job_' || (k % 5) AS job_id, k AS run_no, make_timestamp(created * 1000000) AS start_time,
+  SELECT CASE WHEN k % 67 <> 0 THEN 'job_' || (k % 5) END AS job_id, k AS run_no, make_timestamp(created * 1000000) AS start_time,
          make_timestamp((created + 60 + (k * 31) % 3600) * 1000000) AS end_time,
          CASE o_orderstatus WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'running' ELSE 'failed' END AS status,
          (k * 53) % 10007 AS records,
@@ -102,7 +102,7 @@ job_runs AS (
 LOG = """
 log AS (
   SELECT event_id, ts, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
-         event_type AS operation, CAST(round(value * 10) AS BIGINT) AS duration_ms, user_id % 8 AS partition_id
+         CASE WHEN event_id % 71 <> 0 THEN event_type END AS operation, CAST(round(value * 10) AS BIGINT) AS duration_ms, user_id % 8 AS partition_id
   FROM events)"""
 
 CHECKPOINTS = """

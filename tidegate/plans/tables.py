@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.operators.ordered import ordinal, time_buckets
+from tidegate.operators.ordered import ordinal
 from tidegate.schema import CHARGE_COLUMNS
 from tidegate.session import use_utc
 
@@ -75,7 +75,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").selectExpr(
-        "'job_' || (o_orderkey % 5) AS job_id",
+        "CASE WHEN o_orderkey % 67 <> 0 THEN 'job_' || (o_orderkey % 5) END AS job_id",
         "o_orderkey AS run_no",
         f"timestamp_seconds({_CREATED}) AS start_time",
         f"timestamp_seconds({_CREATED} + 60 + (o_orderkey * 31) % 3600) AS end_time",
@@ -99,7 +99,7 @@ def charge_pages(
         {"id": named, "chain_id": F.col("created") % 20 if chain is None else chain}
     )
     order = ["created", "id", "amount", "status"]
-    placed = ordinal(rows, ["chain_id"], time_buckets(F.col("created")), order)
+    placed = ordinal(rows, ["chain_id"], order)
     place, page = F.col("ordinal") % page_size, F.floor((F.col("ordinal") - 1) / page_size)
     # The last row of a page is also the cursor of the next, its first row tells the page before of more.
     roles = F.array_compact(
@@ -129,7 +129,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"),
-        F.col("event_type").alias("operation"),
+        F.when(F.col("event_id") % 71 != 0, F.col("event_type")).alias("operation"),
         F.round(F.col("value") * 10).cast("bigint").alias("duration_ms"),
         (F.col("user_id") % 8).alias("partition_id"),
     )

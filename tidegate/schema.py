@@ -49,7 +49,7 @@ LOG_SCHEMA = _schema(
     operation="string",
 )
 
-# One run of a job; the checkpoint is a fold over these rows.
+# One run of a job; the checkpoint is a fold over these rows. A reset row voids those before it.
 RUN_SCHEMA = _schema(
     checkpoint_key="string!",
     run_id="string!",
@@ -58,4 +58,5 @@ RUN_SCHEMA = _schema(
     cursor="string",
     updated_at="timestamp",
     metadata="string",
+    is_reset="boolean",
 )

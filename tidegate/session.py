@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -16,20 +18,27 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Temporary folders of local sessions that name none, by application; gone with the process.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, read from the session.
 
-    Only a local session may fall back to a temporary folder; on a cluster a
-    machine-local path would lose data with the machine, so that is an error.
+    Only a local session may leave it unset and gets a temporary folder that is deleted
+    at exit; on a cluster a machine-local path would lose data with the machine, so
+    that is an error. The session's settings stay as they are.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tidegate-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = path = tempfile.mkdtemp(prefix="tidegate-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return _LOCAL[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,7 +4,7 @@ One time chunk is one input partition; its task follows the cursor chain and
 yields one Arrow batch per page. Options:
 
 =================  ==========================================================
-transport          ``http`` (default), ``landed`` or ``module:Class``
+transport          ``http`` (default) or ``module:Class``
 transport.<name>   options of the transport
 endpoint           path of the resource
 start, end         range of ``created`` in epoch seconds, end exclusive
@@ -12,20 +12,23 @@ chunk_seconds      width of a chunk (default one day)
 edges              comma-separated epoch seconds at which chunks are cut instead,
                    so that a busy period is read by several tasks
 page_size          records per page (default 100)
-max_pages          page budget of a chunk (default none)
+max_pages          page budget of a chunk (default none); a chunk that needs more
+                   fails, which ``on_error=record`` reports
 on_error           ``fail`` (default) or ``record``: a failing chunk yields one
                    row with ``_error`` instead of failing the job
 cursor_field, data_field, has_more_field   names in the page envelope
 =================  ==========================================================
 
-A filter on ``created`` narrows the range. Run with
+A filter on ``created`` leaves out the chunks that it excludes whole; Spark applies it to the rows. Run with
 ``spark.speculation=false``: a speculative copy of a task would page twice. Land
-the result as Parquet before using it more than once.
+the result as Parquet before using it more than once. A record that does not fit the
+schema is a row with its text in ``_reject`` and why in ``_reasons``.
 """
 
 from __future__ import annotations
 
 import importlib
+import json
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -49,17 +52,35 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 import tidegate
 from tidegate.schema import CHARGE_SCHEMA
-from tidegate.sources.transport import HttpTransport, LandedPages
+from tidegate.sources.transport import HttpTransport
 
-TRANSPORTS = {"http": HttpTransport, "landed": LandedPages}
+TRANSPORTS = {"http": HttpTransport}
 
 _META = [
     StructField("_chunk_start", LongType()),
     StructField("_chunk_end", LongType()),
     StructField("_page", LongType()),
     StructField("_error", StringType()),
+    StructField("_reject", StringType()),
+    StructField("_reasons", StringType()),
 ]
 
+_PYTHON = {"bigint": int, "string": str, "boolean": bool}
+
+
+def reasons(record: object, fields: list[StructField]) -> list[str]:
+    """What keeps a record from the schema: ``malformed``, ``type:<column>``, ``missing:<column>``."""
+    if not isinstance(record, dict):
+        return ["malformed"]
+    found = []
+    for field in fields:
+        value, kind = record.get(field.name), _PYTHON[field.dataType.simpleString()]
+        if value is None or (not field.nullable and isinstance(value, str) and not value.strip()):
+            found += [] if field.nullable else [f"missing:{field.name}"]
+        elif type(value) is not kind:
+            found.append(f"type:{field.name}")
+    return found
+
 
 @dataclass
 class Chunk(InputPartition):
@@ -106,7 +127,7 @@ class _Pager:
             if not more:
                 return
             # An empty page with the promise of more would repeat the same cursor for ever.
-            cursor = records[-1].get("id") if records else None
+            cursor = records[-1].get("id") if records and isinstance(records[-1], dict) else None
             if not cursor:
                 raise ValueError(f"page {count} promises more but has no cursor")
             if budget and count >= budget:
@@ -121,7 +142,12 @@ class _Pager:
 
         def batch(records: list[dict], error: str | None) -> pa.RecordBatch:
             meta = {"_chunk_start": chunk.start, "_chunk_end": chunk.end, "_page": number, "_error": error}
-            rows = [{n: r.get(n) for n in names} | meta for r in records]
+            rows = []
+            for record in records:
+                wrong = reasons(record, CHARGE_SCHEMA.fields) if error is None else []
+                # A record that does not fit costs itself, not its page.
+                kept = {n: None if wrong else record.get(n) for n in names}
+                rows.append(kept | meta | ({"_reject": json.dumps(record), "_reasons": ",".join(wrong)} if wrong else {}))
             return pa.RecordBatch.from_pylist(rows, schema=arrow)
 
         try:
@@ -132,33 +158,34 @@ class _Pager:
         except Exception as error:
             if self.options.get("on_error", "fail") != "record":
                 raise
-            yield batch([{}], f"{type(error).__name__}: {error}"[:1000])
+            yield batch([{}], f"{type(error).__name__}: {error}")
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict[str, str], schema: StructType):
         self.pager = _Pager(options, schema)
-        self.start = int(self.pager.options["start"])
-        self.end = int(self.pager.options["end"])
+        self.start = self.low = int(self.pager.options["start"])
+        self.end = self.high = int(self.pager.options["end"])
 
     def pushFilters(self, filters: list[Filter]):
+        """Bounds on ``created`` leave out whole chunks; Spark applies every filter again to the rows."""
         for item in filters:
             bound = getattr(item, "value", None)
-            if getattr(item, "attribute", None) != ("created",) or not isinstance(bound, int):
-                yield item
-            elif isinstance(item, GreaterThanOrEqual):
-                self.start = max(self.start, bound)
-            elif isinstance(item, GreaterThan):
-                self.start = max(self.start, bound + 1)
-            elif isinstance(item, LessThan):
-                self.end = min(self.end, bound)
-            elif isinstance(item, LessThanOrEqual):
-                self.end = min(self.end, bound + 1)
-            else:
-                yield item
+            if getattr(item, "attribute", None) == ("created",) and isinstance(bound, int):
+                if isinstance(item, GreaterThanOrEqual):
+                    self.low = max(self.low, bound)
+                elif isinstance(item, GreaterThan):
+                    self.low = max(self.low, bound + 1)
+                elif isinstance(item, LessThan):
+                    self.high = min(self.high, bound)
+                elif isinstance(item, LessThanOrEqual):
+                    self.high = min(self.high, bound + 1)
+            yield item
 
     def partitions(self) -> list[Chunk]:
-        return chunk_range(self.start, self.end, self.pager.width, self.pager.edges)
+        """Chunks of the configured range, whatever the filters, less those beyond the pushed bounds."""
+        chunks = chunk_range(self.start, self.end, self.pager.width, self.pager.edges)
+        return [c for c in chunks if c.start < self.high and c.end > self.low]
 
     def read(self, partition: Chunk | None) -> Iterator[pa.RecordBatch]:
         return self.pager.batches(partition)

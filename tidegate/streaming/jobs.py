@@ -71,22 +71,23 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 def _write_batch(root: str, keys: list[str]):
     def write(batch: DataFrame, batch_id: int) -> None:
         """A replayed batch overwrites its own folder, so retries add nothing."""
-        data = f"{root}/data/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(data)
         missing = F.lit(False)
         for key in keys:
             missing = missing | F.col(key).isNull()
-        written = batch.sparkSession.read.schema(batch.schema).parquet(data)
-        audit = written.agg(F.count("*").alias("rows"), F.count_if(missing).alias("null_keys"))
+        # One pass writes both kinds of rows; the folder names tell them apart.
+        data = f"{root}/data/batch_id={batch_id}"
+        batch.withColumn("rejected", missing).write.mode("overwrite").partitionBy("rejected").parquet(data)
+        written = batch.sparkSession.read.schema(batch.schema.add("rejected", "boolean")).parquet(data)
+        audit = written.agg(F.count("*").alias("rows"), F.count_if("rejected").alias("null_keys"))
         audit.coalesce(1).write.mode("overwrite").parquet(f"{root}/audit/batch_id={batch_id}")
 
     return write
 
 
 def run_to_batches(stream: DataFrame, root: str, checkpoint: str, keys: list[str]) -> DataFrame:
-    """Idempotent sink: one folder per micro-batch with an audit row. Returns the audited batches.
+    """Idempotent sink: one folder per micro-batch with an audit row. Returns the valid rows of audited batches.
 
-    Only batches whose audit found no NULL key are returned.
+    Rows with a NULL key are kept aside as rejects, see :func:`rejected_rows`; the audit counts both.
     """
     query = (
         stream.writeStream.foreachBatch(_write_batch(root, keys))
@@ -95,7 +96,16 @@ def run_to_batches(stream: DataFrame, root: str, checkpoint: str, keys: list[str
         .start()
     )
     query.awaitTermination()
-    spark = stream.sparkSession
-    audit = spark.read.option("basePath", f"{root}/audit").parquet(f"{root}/audit").where("null_keys = 0")
-    data = spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data")
+    return _audited(stream.sparkSession, root, stream.schema).where(~F.col("rejected")).drop("rejected")
+
+
+def _audited(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    audit = spark.read.option("basePath", f"{root}/audit").parquet(f"{root}/audit")
+    layout = schema.add("batch_id", "long").add("rejected", "boolean")
+    data = spark.read.schema(layout).option("basePath", f"{root}/data").parquet(f"{root}/data")
     return data.join(audit.select("batch_id"), "batch_id", "left_semi")
+
+
+def rejected_rows(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """Rows with a NULL key of all audited batches below ``root``."""
+    return _audited(spark, root, schema).where("rejected").drop("rejected")
