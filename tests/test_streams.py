@@ -13,7 +13,7 @@ def stage(spark, path, data):
 
 def test_copies_in_the_same_and_in_a_later_batch_are_dropped(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    jobs.use_rocksdb(spark)
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
     def run(schema):
         stream = jobs.dedup_within(jobs.read_files(spark, source, schema, 1), "ts", ["id"])
@@ -23,6 +23,7 @@ def test_copies_in_the_same_and_in_a_later_batch_are_dropped(spark, tmp_path):
     assert sorted(r.id for r in run(schema).collect()) == ["a", "b"]
     stage(spark, source, [("a", 120, "x"), ("c", 90, "x")])
     assert sorted(r.id for r in run(schema).collect()) == ["a", "b", "c"]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
 
 
 def test_windows_appear_once_the_watermark_has_passed(spark, tmp_path):

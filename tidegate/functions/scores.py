@@ -13,6 +13,9 @@ from pyspark.sql.types import StringType
 COMPLETENESS_COLUMNS = ["id", "amount", "currency", "status", "customer"]
 COMPLETENESS_POINTS = 20
 
+# Weights of required columns, optional columns and validity rules.
+WEIGHTS = (50.0, 30.0, 20.0)
+
 
 def completeness_score() -> Column:
     """20 points per non-NULL column; an empty string counts as filled."""
@@ -41,7 +44,7 @@ def weighted_quality_score(
     required: list[str],
     optional: list[str],
     valid: list[Column],
-    weights: tuple[float, float, float] = (50.0, 30.0, 20.0),
+    weights: tuple[float, float, float] = WEIGHTS,
 ) -> Column:
     """Weighted share of required columns, optional columns and validity rules.
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidegate.functions.times import as_timestamp, hours_between
 
 BUFFER_MINUTES = 5
+# Target and alert limits of lag and age in hours.
+LAG_TARGET, LAG_ALERT, AGE_ALERT = 2.0, 4.0, 2.0
 
 
 def fold_checkpoints(runs: DataFrame) -> DataFrame:
@@ -103,9 +105,9 @@ def checkpoint_lag(
     as_of,
     ts: str,
     updated_at: str,
-    target_hours: float = 2.0,
-    lag_alert_hours: float = 4.0,
-    age_alert_hours: float = 2.0,
+    target_hours: float = LAG_TARGET,
+    lag_alert_hours: float = LAG_ALERT,
+    age_alert_hours: float = AGE_ALERT,
 ) -> DataFrame:
     """(Specified here.) Hours behind real time, hours since the last update, and alert levels."""
     now = as_timestamp(as_of)

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Target and alert limit of each rate, and the least page fill.
+RATE_LIMIT_HITS = (0.01, 0.05)
+RESPONSE_MS = (500, 2000)
+RETRIES = (0.05, 0.10)
+PAGE_FILL = 0.9
+
 
 def request_health(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Requests, rate-limit hits, retries, and the hit rate (0 without requests)."""
@@ -36,8 +42,8 @@ def request_alerts(log: DataFrame, page_size: int = 100, by: list[str] | None =
         *(by or []),
         *[c for c in rates.columns if c not in (by or [])],
         efficiency.alias("page_fill"),
-        _level(F.col("rate_limit_hit_rate"), 0.01, 0.05).alias("rate_limit_level"),
-        _level(F.col("avg_response_ms"), 500, 2000).alias("response_level"),
-        _level(F.col("retry_rate"), 0.05, 0.10).alias("retry_level"),
-        F.when(efficiency >= 0.9, "ok").otherwise("watch").alias("page_fill_level"),
+        _level(F.col("rate_limit_hit_rate"), *RATE_LIMIT_HITS).alias("rate_limit_level"),
+        _level(F.col("avg_response_ms"), *RESPONSE_MS).alias("response_level"),
+        _level(F.col("retry_rate"), *RETRIES).alias("retry_level"),
+        F.when(efficiency >= PAGE_FILL, "ok").otherwise("watch").alias("page_fill_level"),
     )

@@ -10,7 +10,7 @@ from tidegate.plans.catalog import query
 from tidegate.plans.catalog.charges import enriched_latest
 from tidegate.plans.oracle import CHARGES, ENRICHED, LATEST, day_text, with_
 from tidegate.plans.preflight import preflight as run_preflight
-from tidegate.session import scratch_path
+from tidegate.session import scratch_path, staged_path
 from tidegate.sinks import datasets
 
 _AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -22,10 +22,8 @@ def _events(spark, sf):
 
 
 def write_events(spark, sf):
-    """Events as a date-partitioned dataset; returns its path."""
-    path = scratch_path(spark, "events")
-    datasets.write_partitioned(_events(spark, sf), path)
-    return path
+    """Events as a date-partitioned dataset, written once; returns its path."""
+    return staged_path(spark, "events", sf, lambda path: datasets.write_partitioned(_events(spark, sf), path))
 
 
 def written_events(spark, sf):

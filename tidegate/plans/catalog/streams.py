@@ -28,7 +28,7 @@ def stream_dedup(spark, sf):
     events = _events(spark, sf)
     path = _stage(events.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))), "twice")
     schema = spark.read.parquet(path).schema
-    stream = jobs.read_files(jobs.use_rocksdb(spark), path, schema).drop("copy")
+    stream = jobs.read_files(spark, path, schema).drop("copy")
     single = jobs.dedup_within(stream, "ts", ["event_id"])
     unique = jobs.run_to_parquet(single, scratch_path(spark, "unique"), scratch_path(spark, "state"))
     return unique.select("event_id", "ts", "event_type")
@@ -47,7 +47,7 @@ def stream_dedup(spark, sf):
 def stream_hourly_quality(spark, sf):
     """Hours that the watermark has closed; the last one stays open."""
     path = _stage(_events(spark, sf), "events")
-    stream = jobs.read_files(jobs.use_rocksdb(spark), path, spark.read.parquet(path).schema)
+    stream = jobs.read_files(spark, path, spark.read.parquet(path).schema)
     windows = jobs.windowed_quality(stream, "ts", F.col("event_type") == "error")
     return jobs.run_to_parquet(windows, scratch_path(spark, "windows"), scratch_path(spark, "state"))
 

@@ -7,12 +7,12 @@ mappings exist as SQL in ``oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators.ordered import ordinal
 from tidegate.schema import CHARGE_COLUMNS
-from tidegate.session import use_utc
+from tidegate.session import staged_path, use_utc
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,19 +85,18 @@ def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def charge_pages(
-    spark: SparkSession, sf_dir: str, page_size: int = 100, chain: Column | None = None, unnamed: str = ""
-) -> DataFrame:
+def charge_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
     """Charges as cursor-paged envelopes: 20 chains, the cursor is the last id of a page.
 
-    ``body`` is the JSON envelope a paged endpoint returns. Another ``chain``
-    expression over the charge columns changes how rows are spread over chains;
-    ``unnamed`` replaces blank ids.
+    ``body`` is the JSON envelope a paged endpoint returns. Written once per application and folder.
     """
-    named = F.when(F.col("id") == "", unnamed).otherwise(F.col("id"))
-    rows = charges(spark, sf_dir).withColumns(
-        {"id": named, "chain_id": F.col("created") % 20 if chain is None else chain}
-    )
+    name = f"pages-{page_size}"
+    path = staged_path(spark, name, sf_dir, lambda path: _charge_pages(spark, sf_dir, page_size).write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def _charge_pages(spark: SparkSession, sf_dir: str, page_size: int) -> DataFrame:
+    rows = charges(spark, sf_dir).withColumn("chain_id", F.col("created") % 20)
     order = ["created", "id", "amount", "status"]
     placed = ordinal(rows, ["chain_id"], order)
     place, page = F.col("ordinal") % page_size, F.floor((F.col("ordinal") - 1) / page_size)

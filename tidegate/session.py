@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +47,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidegate/{name}-{uuid.uuid4().hex}"
 
 
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def staged_path(spark: SparkSession, name: str, source: str, write: Callable[[str], None]) -> str:
+    """A dataset that several queries read, written once per application and source."""
+    key = (spark.sparkContext.applicationId, name, source)
+    if key not in _STAGED:
+        path = scratch_path(spark, name)
+        write(path)
+        _STAGED[key] = path
+    return _STAGED[key]
+
+
 # What a cluster session should set as well; the write path and the joins rely on adaptive execution.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",

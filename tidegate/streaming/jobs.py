@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,10 +14,16 @@ from tidegate.operators.quality import FAILURE_RATE, WARNING_RATE
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb(spark: SparkSession) -> SparkSession:
-    """Keep stream state on local disk with a log in the checkpoint, not on the heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
-    return spark
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state on local disk with a log in the checkpoint, not on the heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -56,15 +65,16 @@ def windowed_quality(
 
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Append everything available to Parquet, exactly once, and return it read back."""
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    with rocksdb(stream.sparkSession):
+        query = writer.start()
+        query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
