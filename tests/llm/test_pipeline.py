@@ -70,4 +70,4 @@ def test_nulls_repeats_and_empty_tables_pass_all_stages(spark):
 def test_every_operator_has_a_query():
     names = list(queries())
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
-    assert {n for n in oracle_sql() if n.startswith("op")} == {"op1_warc", "op2_line_dedup", "op4_substring_dedup", "op6_ngram_join", "op9_mix"}
+    assert {n for n in oracle_sql() if n.startswith("op")} == {"op1_warc", "op2_line_dedup", "op3_decontaminate", "op4_substring_dedup", "op6_ngram_join", "op9_mix"}

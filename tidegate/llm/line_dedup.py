@@ -92,10 +92,12 @@ def _later_of_pairs(lines: DataFrame) -> DataFrame:
     left_out = cut.select(*ids, F.explode(F.array(change, gap)).alias("k")).select(*ids, "k.key", "k.side")
     own = wide.select(*ids, F.xxhash64(F.lit("gap"), F.xxhash64("wide")).alias("key"), F.lit(3).alias("side"))
     everything = left_out.unionByName(own)
+    # Few variants meet another line's; a small aggregate finds them, and only they go on.
+    shared = everything.groupBy("key").agg(F.min("h1").alias("one"), F.max("h1").alias("other")).filter("one < other").select("key")
+    everything = written(everything.join(shared, "key"), "line-variants")
     # Changed lines look for any other, shortened ones for a whole line, whole lines for a shortened one.
     first_of = lambda *sides: F.min(F.when(F.col("side").isin(*sides), F.struct("first", "h1", "h2")))
-    met = everything.groupBy("key").agg(first_of(1).alias("m1"), first_of(2).alias("m2"), first_of(3).alias("m3"), F.min("first").alias("one"), F.max("first").alias("other"))
-    met = met.filter("one < other").select("key", "m1", "m2", "m3")
+    met = everything.groupBy("key").agg(first_of(1).alias("m1"), first_of(2).alias("m2"), first_of(3).alias("m3"))
     mate = F.when(F.col("side") == 1, F.col("m1")).when(F.col("side") == 2, F.col("m3")).otherwise(F.col("m2"))
     pairs = everything.join(met, "key").withColumn("mate", mate).filter(F.col("mate.first") < F.col("first"))
     pairs = pairs.select("h1", "h2", F.col("mate.h1").alias("m_h1"), F.col("mate.h2").alias("m_h2")).distinct()

@@ -77,7 +77,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_counts(documents, line_dedup.near_lines(documents))
 
 
-@query("op3_decontaminate")
+@query(
+    "op3_decontaminate",
+    """
+WITH folded AS (
+    SELECT doc_id, row_number() OVER () AS row, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS words FROM documents
+), items AS (
+    SELECT item_id, words, least(10, len(words)) AS size
+    FROM (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark)
+    WHERE len(words) > 0
+), windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[start:start + size - 1], ' ') AS sequence
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS start FROM items)
+), starts AS (
+    SELECT row, start, size, array_to_string(words[start:start + size - 1], ' ') AS sequence
+    FROM (SELECT row, words, size, unnest(range(1, len(words) - size + 2)) AS start FROM folded, (SELECT DISTINCT size FROM windows))
+), found AS (
+    SELECT row, start, size, item_id FROM starts JOIN windows USING (size, sequence)
+), hit AS (
+    SELECT row, count(DISTINCT position) AS n_hit FROM (SELECT row, start + unnest(range(0, size)) AS position FROM found) GROUP BY row
+), named AS (
+    SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS items FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM found) GROUP BY row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM folded LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+""",
+)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in windows of benchmark items."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
