@@ -30,15 +30,19 @@ def language_samples(labelled: DataFrame, text: str, lang: str) -> dict[str, byt
 
     Texts fall into ``SAMPLE_TEXTS`` classes by hash, and the smallest hash of a class
     stands for it, so that the driver gets at most that many excerpts of a language
-    and the same ones in every run.
+    and the same ones in every run. The languages come in the order of how many texts
+    they have, most first.
     """
     known = labelled.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
     hashed = known.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("hash"), F.substring(text, 1, SAMPLE_CHARS).alias("piece"))
-    picked = hashed.groupBy("lang", F.pmod("hash", F.lit(SAMPLE_TEXTS)).alias("class")).agg(F.min(F.struct("hash", "piece")).alias("least"))
+    picked = hashed.groupBy("lang", F.pmod("hash", F.lit(SAMPLE_TEXTS)).alias("class")).agg(F.min(F.struct("hash", "piece")).alias("least"), F.count("*").alias("texts"))
     pieces: dict[str, list[tuple[int, str]]] = {}
+    texts: dict[str, int] = {}
     for row in picked.collect():
         pieces.setdefault(row["lang"], []).append((row["least"]["hash"], row["least"]["piece"]))
-    return {lang: "\n".join(p for _, p in sorted(some)).lower().encode() for lang, some in sorted(pieces.items())}
+        texts[row["lang"]] = texts.get(row["lang"], 0) + row["texts"]
+    order = sorted(pieces, key=lambda lang: (-texts[lang], lang))
+    return {lang: "\n".join(p for _, p in sorted(pieces[lang])).lower().encode() for lang in order}
 
 
 class Compressors:
@@ -63,7 +67,8 @@ class Compressors:
         """
         if text is None or not self.names or not _LETTER.search(text):
             return UNKNOWN, 0.0, True
-        sizes = sorted(zip(self.sizes(text.lower().encode()), self.names, strict=True))
+        # Of equal sizes the more frequent language comes first.
+        sizes = sorted(zip(self.sizes(text.lower().encode()), self.names, strict=True), key=lambda s: s[0])
         if len(sizes) == 1:
             return sizes[0][1], 1.0, False
         gap = 1 - sizes[0][0] / sizes[1][0]
@@ -74,7 +79,7 @@ def identify(documents: DataFrame, text: str, samples: dict[str, bytes], margin:
     """Adds ``lang_pred``, ``score`` (0 to 1) and ``rejected`` (the margin is narrow, or there was nothing to tell by).
 
     A null text, one without a letter, and every text if nothing was learned, are ``und`` with score 0.
-    Ties go to the first language by name. Whole texts are read. Other columns stay; the added names must be free.
+    Ties go to the language with more texts. Whole texts are read. Other columns stay; the added names must be free.
     """
     spark: SparkSession = documents.sparkSession
     shared = spark.sparkContext.broadcast(samples)
