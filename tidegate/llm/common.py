@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 from tidegate.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows, and about as many bytes, that are Python objects at one time.
+SLICE_ROWS, SLICE_BYTES = 256, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,14 +34,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str | StructType) -> DataFrame:
-    """Applies a function from columns to columns to every Arrow batch; binary and string columns arrive as Python values."""
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most ``SLICE_ROWS`` rows, fewer where rows are large."""
+    rows = max(1, min(SLICE_ROWS, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes)))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
+def add_columns(df: DataFrame, inputs: list[str], function: Callable[..., dict[str, list]], added: str) -> DataFrame:
+    """Columns computed from lists of the inputs' values; a column that is there already is replaced.
+
+    Only the inputs become Python objects, a slice at a time; all other columns stay as they are.
+    """
+    new = StructType.fromDDL(added)
+    kept = [f for f in df.schema.fields if f.name not in new.fieldNames()]
+    schema = StructType([*kept, *new.fields])
+    target = to_arrow_schema(new)
+    names = [f.name for f in kept]
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(function({n: batch.column(n).to_pylist() for n in batch.schema.names}), schema=target)
+            for piece in slices(batch):
+                values = function(*(piece.column(n).to_pylist() for n in inputs))
+                computed = [pa.array(values[f.name], f.type) for f in target]
+                yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in names), *computed], [*names, *target.names])
 
-    schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    target = to_arrow_schema(schema)
     return df.mapInArrow(batches, schema)

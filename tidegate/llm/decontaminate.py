@@ -17,7 +17,7 @@ from itertools import pairwise
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import map_rows
+from tidegate.llm.common import add_columns
 
 #: A-Z to a-z; everything else below 0x80 but digits and a-z separates words.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -201,18 +201,19 @@ def _pass(documents: DataFrame, text: str, automaton: SuffixAutomaton) -> DataFr
     spark: SparkSession = documents.sparkSession
     shared = spark.sparkContext.broadcast(automaton)
 
-    def scan(rows: dict[str, list]) -> dict[str, list]:
+    def scan(bodies: list, hit_spans: list, hit_items: list) -> dict[str, list]:
         machine: SuffixAutomaton = shared.value
-        for i, body in enumerate(rows[text]):
+        counts = []
+        for i, body in enumerate(bodies):
             tokens = words(body.encode() if body is not None else None)
             spans, found = machine.match(tokens)
-            rows["n_words"][i] = len(tokens)
+            counts.append(len(tokens))
             if spans:
-                rows["hit_spans"][i] = merge([*rows["hit_spans"][i], *spans])
-                rows["hit_items"][i] = sorted({*rows["hit_items"][i], *found})
-        return rows
+                hit_spans[i] = merge([*hit_spans[i], *spans])
+                hit_items[i] = sorted({*hit_items[i], *found})
+        return {"n_words": counts, "hit_spans": hit_spans, "hit_items": hit_items}
 
-    return map_rows(documents, scan, documents.schema)
+    return add_columns(documents, [text, "hit_spans", "hit_items"], scan, "n_words long, hit_spans array<array<int>>, hit_items array<string>")
 
 
 def removed_spans(matched: DataFrame, text: str, most_coverage: float = 0.5) -> DataFrame:
@@ -224,19 +225,19 @@ def removed_spans(matched: DataFrame, text: str, most_coverage: float = 0.5) ->
     hit = F.aggregate("hit_spans", F.lit(0), lambda total, s: total + s[1] - s[0])
     kept = matched.filter(hit <= F.col("n_words") * F.lit(most_coverage))
 
-    def cut(rows: dict[str, list]) -> dict[str, list]:
-        for i, spans in enumerate(rows.pop("hit_spans")):
+    def cut(bodies: list, hit_spans: list) -> dict[str, list]:
+        for i, spans in enumerate(hit_spans):
             if spans:
-                body = rows[text][i].encode()
+                body = bodies[i].encode()
                 at = [m.span() for m in _WORD.finditer(body.translate(_FOLD))]
                 parts, end = [], 0
                 for first, last in spans:
                     parts.append(body[end : at[first][0]])
                     end = at[last - 1][1]
-                rows[text][i] = b"".join([*parts, body[end:]]).decode()
-        return rows
+                bodies[i] = b"".join([*parts, body[end:]]).decode()
+        return {text: bodies}
 
-    return map_rows(kept.select(*names, "hit_spans"), cut, matched.select(*names).schema)
+    return add_columns(kept.select(*names, "hit_spans"), [text, "hit_spans"], cut, f"`{text}` string").select(*names)
 
 
 def item_digest(items: list[str]) -> str:

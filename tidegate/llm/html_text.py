@@ -18,9 +18,8 @@ from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidegate.llm.common import map_rows
+from tidegate.llm.common import add_columns
 
 PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 256, 48, 7, 16
 INPUT = PATH_DIM + WORD_DIM + MEASURES
@@ -410,7 +409,7 @@ def extract(pages: DataFrame, html: str, labeller: Labeller | None = None) -> Da
     spark: SparkSession = pages.sparkSession
     shared = spark.sparkContext.broadcast(labeller or trained())
 
-    def scan(rows: dict[str, list]) -> dict[str, list]:
-        return rows | {"text": shared.value.extract([p or "" for p in rows[html]])}
+    def scan(bodies: list) -> dict[str, list]:
+        return {"text": shared.value.extract([p or "" for p in bodies])}
 
-    return map_rows(pages, scan, pages.select(*pages.columns, F.lit("").alias("text")).schema)
+    return add_columns(pages, [html], scan, "text string")

@@ -2,7 +2,7 @@
 
 Each language has a raw-content Zstandard dictionary cut from a bounded sample
 of labelled texts. A text is encoded piece by piece with every dictionary; the
-language whose dictionary leaves the fewest bytes wins (letter case is folded on both sides), and a narrow margin to
+language whose dictionary leaves the fewest bytes wins (of either, only letters count, in lower case), and a narrow margin to
 the second rejects the verdict.
 """
 
@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import map_rows
+from tidegate.llm.common import add_columns
 
 #: Sample of a language: at most so many texts, chosen by hash, and so many characters of each.
 SAMPLE_TEXTS, SAMPLE_CHARS = 256, 1500
@@ -23,6 +23,12 @@ PIECE = 2000
 LEVEL = 5
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> bytes:
+    """What tells languages apart: letters in lower case, everything between them as one space."""
+    return _OTHER.sub(" ", text.lower()).encode()
 
 
 def language_samples(labelled: DataFrame, text: str, lang: str) -> dict[str, bytes]:
@@ -42,7 +48,7 @@ def language_samples(labelled: DataFrame, text: str, lang: str) -> dict[str, byt
         pieces.setdefault(row["lang"], []).append((row["least"]["hash"], row["least"]["piece"]))
         texts[row["lang"]] = texts.get(row["lang"], 0) + row["texts"]
     order = sorted(pieces, key=lambda lang: (-texts[lang], lang))
-    return {lang: "\n".join(p for _, p in sorted(pieces[lang])).lower().encode() for lang in order}
+    return {lang: letters("\n".join(p for _, p in sorted(pieces[lang])))for lang in order}
 
 
 class Compressors:
@@ -68,7 +74,7 @@ class Compressors:
         if text is None or not self.names or not _LETTER.search(text):
             return UNKNOWN, 0.0, True
         # Of equal sizes the more frequent language comes first.
-        sizes = sorted(zip(self.sizes(text.lower().encode()), self.names, strict=True), key=lambda s: s[0])
+        sizes = sorted(zip(self.sizes(letters(text)), self.names, strict=True), key=lambda s: s[0])
         if len(sizes) == 1:
             return sizes[0][1], 1.0, False
         gap = 1 - sizes[0][0] / sizes[1][0]
@@ -83,14 +89,12 @@ def identify(documents: DataFrame, text: str, samples: dict[str, bytes], margin:
     """
     spark: SparkSession = documents.sparkSession
     shared = spark.sparkContext.broadcast(samples)
-    names = documents.columns
     built: list[Compressors] = []
 
-    def scan(rows: dict[str, list]) -> dict[str, list]:
+    def scan(bodies: list) -> dict[str, list]:
         if not built:
             built.append(Compressors(shared.value))
-        verdicts = [built[0].verdict(t, margin) for t in rows[text]]
-        return rows | {n: [v[k] for v in verdicts] for k, n in enumerate(("lang_pred", "score", "rejected"))}
+        verdicts = [built[0].verdict(t, margin) for t in bodies]
+        return {n: [v[k] for v in verdicts] for k, n in enumerate(("lang_pred", "score", "rejected"))}
 
-    schema = documents.select(*names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
-    return map_rows(documents, scan, schema)
+    return add_columns(documents, [text], scan, "lang_pred string, score double, rejected boolean")

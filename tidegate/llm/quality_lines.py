@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import map_rows
+from tidegate.llm.common import add_columns
 
 #: Labelled documents of each class that train the field, chosen by hash.
 SAMPLE_DOCUMENTS = 300
@@ -188,9 +188,7 @@ def judge(documents: DataFrame, text: str, field: LineField, least_content: floa
         share = sum(w for w, m in zip(weight, marks, strict=True) if m) / n if n else 0.0
         return n, sum(map(len, tokens)), len(_SYMBOLS.findall(body)), again, repeated, share, failed, not failed and share >= least_content
 
-    def scan(rows: dict[str, list]) -> dict[str, list]:
-        judged = list(zip(*map(one, rows[text]), strict=True))
-        return rows | dict(zip((*counts, "content_share", "base_failed", "kept"), judged, strict=True))
+    def scan(bodies: list) -> dict[str, list]:
+        return dict(zip((*counts, "content_share", "base_failed", "kept"), zip(*map(one, bodies), strict=True), strict=True))
 
-    empty = [F.lit(0).cast("long").alias(c) for c in counts] + [F.lit(0.0).alias("content_share"), F.lit(True).alias("base_failed"), F.lit(True).alias("kept")]
-    return map_rows(documents, scan, documents.select(*documents.columns, *empty).schema)
+    return add_columns(documents, [text], scan, ", ".join(f"{c} long" for c in counts) + ", content_share double, base_failed boolean, kept boolean")

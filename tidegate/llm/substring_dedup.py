@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 WINDOW, BLOCK, SYMBOLS, GRAM = 35, 7, 5, 22
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 #: Rows that a task hands over at once.
 FLUSH_ROWS = 200_000
 _BASE = 0x9E3779B97F4A7C15
