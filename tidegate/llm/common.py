@@ -34,6 +34,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt_anew(key: Column) -> Column:
+    """A long key for a join with an aggregate over that key, used on both sides.
+
+    An aggregate is dealt out by its key already, and joining on the key itself would tie the other side to
+    that. With the complement both sides are shuffled for the join, and adaptive execution can split the
+    other side where a key is hot; the aggregate's rows, one per key, are few.
+    """
+    return F.bitwise_not(key)
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most ``SLICE_ROWS`` rows, fewer where rows are large."""
     rows = max(1, min(SLICE_ROWS, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes)))

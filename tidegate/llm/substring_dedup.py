@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm.common import dealt_anew
+
 WINDOW, BLOCK, SYMBOLS, GRAM = 35, 7, 5, 22
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 200_000
@@ -233,9 +235,9 @@ def repeated_windows(documents: DataFrame, doc_id: str, text: str) -> tuple[Data
     # No filter on the text: it would be pushed below the shuffle, which would then not be the one that the result uses.
     sources = known.filter("is_source").select("doc_id", "version", "text")
     anchors = sources.mapInArrow(_anchors, "anchor long, doc_id long, version int, start int")
-    repeated = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
+    repeated = anchors.groupBy("anchor").count().filter("count > 1").select(dealt_anew(F.col("anchor")).alias("key"))
     # What is collected for a document is at most its own anchors.
-    per_document = anchors.join(repeated, "anchor").groupBy(F.col("doc_id").alias("a_doc"), F.col("version").alias("a_version")).agg(F.collect_set("start").alias("anchors"))
+    per_document = anchors.withColumn("key", dealt_anew(F.col("anchor"))).join(repeated, "key").groupBy(F.col("doc_id").alias("a_doc"), F.col("version").alias("a_version")).agg(F.collect_set("start").alias("anchors"))
     candidates = sources.join(per_document, F.col("doc_id").eqNullSafe(F.col("a_doc")) & (F.col("version") == F.col("a_version"))).select("doc_id", "version", "text", "anchors")
     suffixes = candidates.mapInArrow(_suffixes, "s01 long, s23 long, s4 int, doc_id long, version int, start int")
     order = ["s01", "s23", "s4", "doc_id", "version", "start"]
