@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import written
+from tidegate.llm.common import dealt_anew, written
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -21,9 +21,11 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         turn += 1
         both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
+        # A hub has many neighbours; see dealt_anew.
+        key = dealt_anew(F.col("a")).alias("key")
+        large = both.filter("b > a").select(key, "a", "b").join(least.select(key, "least"), "key").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
         smallest = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(smallest, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").unionByName(smallest.select("a", F.col("least").alias("b")))
+        small = large.select(key, "a", "b").join(smallest.select(key, "least"), "key").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").unionByName(smallest.select("a", F.col("least").alias("b")))
         current = written(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-{turn}")
         after = _summary(current)
         if after == state:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import written
+from tidegate.llm.common import dealt_anew, written
 from tidegate.llm.components import components
 from tidegate.llm.substring_dedup import Rolling, WordIds
 
@@ -148,7 +148,8 @@ def hub_pairs(nodes: DataFrame) -> DataFrame:
     """Pairs of a set's document and the smallest one that agrees with it in a smallest hash."""
     each = nodes.select("doc_id", "n", F.posexplode("least").alias("seed", "hash"))
     hubs = each.groupBy("seed", "hash").agg(F.min(F.struct("doc_id", "n")).alias("hub"), F.max("doc_id").alias("last")).filter("hub.doc_id < last").drop("last")
-    met = each.join(hubs, ["seed", "hash"]).filter((F.col("hub.doc_id") < F.col("doc_id")) & _sizes_fit(F.col("n"), F.col("hub.n")))
+    key = dealt_anew(F.col("hash")).alias("hash")
+    met = each.select("doc_id", "n", "seed", key).join(hubs.select("seed", key, "hub"), ["seed", "hash"]).filter((F.col("hub.doc_id") < F.col("doc_id")) & _sizes_fit(F.col("n"), F.col("hub.n")))
     return met.groupBy(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b")).count().filter(F.col("count") >= HUB_AGREE).select("a", "b")
 
 
@@ -221,7 +222,7 @@ def prefix_rows(members: DataFrame, counts) -> DataFrame:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token and component, those whose token has two components or may go on outside the batch (open)."""
+    """Of rows sorted by token and component, those whose token has two components or is at an end of the batch and may go on outside (open)."""
     for batch in batches:
         token, component = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
@@ -231,7 +232,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ended = (group == 0) | (group == len(starts) - 1)
         keep = pa.array(np.flatnonzero(two | open_ended))
         out = batch.take(keep)
-        yield pa.RecordBatch.from_arrays([*out.columns, pa.array((open_ended & ~two)[keep.to_numpy()])], [*out.schema.names, "open"])
+        yield pa.RecordBatch.from_arrays([*out.columns, pa.array(open_ended[keep.to_numpy()])], [*out.schema.names, "open"])
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:
@@ -240,12 +241,10 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     order = ["token", "component", "doc_id"]
     sorted_rows = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     kept = sorted_rows.mapInArrow(_shared, "token long, component long, doc_id long, n int, place int, open boolean")
-    # Tokens at the ends of batches: with what the other batches have of them.
-    cut = kept.filter("open").select("token").distinct()
-    spread = kept.join(cut.withColumn("is_cut", F.lit(True)), "token", "left")
-    both = spread.filter("is_cut").groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("other")).filter("one < other").select("token")
+    # Tokens at the ends of batches, with what other batches have of them at theirs.
+    both = kept.filter("open").groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("other")).filter("one < other").select(dealt_anew(F.col("token")).alias("key"))
     shared = kept.filter("not open").select("token", "component", "doc_id", "n", "place").unionByName(
-        kept.filter("open").join(both, "token").select("token", "component", "doc_id", "n", "place")
+        kept.filter("open").withColumn("key", dealt_anew(F.col("token"))).join(both, "key").select("token", "component", "doc_id", "n", "place")
     )
     x, y = shared.alias("x"), shared.alias("y")
     least = F.ceil((F.col("x.n") + F.col("y.n")) * PERCENT / (100 + PERCENT) - F.lit(1e-9))
