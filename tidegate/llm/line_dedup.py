@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import written
+from tidegate.llm.common import dealt_anew, written
 
 #: Shorter lines stay: one edit means too much there.
 LEAST_CHARS = 16
@@ -65,8 +65,8 @@ def _candidates(firsts: DataFrame, documents: DataFrame, doc_id: str, text: str)
     halves = firsts.select(
         F.explode(F.array_compact(F.array(*(F.when(F.col(f"half{i}").isNotNull(), F.struct(F.col(f"half{i}").alias("half"), F.lit(i < 2).alias("front"))) for i in range(4))))).alias("key"), "h1", "h2", "first"
     ).select("key.half", "key.front", "h1", "h2", "first")
-    shared = halves.groupBy("half").agg(F.min("first").alias("one"), F.max("first").alias("other")).filter("one < other").select("half")
-    found = halves.join(shared, "half").groupBy("h1", "h2", "first").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
+    shared = halves.groupBy("half").agg(F.min("first").alias("one"), F.max("first").alias("other")).filter("one < other").select(dealt_anew(F.col("half")).alias("half"))
+    found = halves.withColumn("half", dealt_anew(F.col("half"))).join(shared, "half").groupBy("h1", "h2", "first").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
     at = found.select("h1", "h2", "first", "front", "back", F.col("first.doc_id").alias("at_doc"), F.col("first.no").alias("at_no"))
     bodies = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     line = F.element_at(F.split("text", "\n"), F.col("at_no") + 1)
@@ -93,8 +93,8 @@ def _later_of_pairs(lines: DataFrame) -> DataFrame:
     own = wide.select(*ids, F.xxhash64(F.lit("gap"), F.xxhash64("wide")).alias("key"), F.lit(3).alias("side"))
     everything = left_out.unionByName(own)
     # Few variants meet another line's; a small aggregate finds them, and only they go on.
-    shared = everything.groupBy("key").agg(F.min("h1").alias("one"), F.max("h1").alias("other")).filter("one < other").select("key")
-    everything = written(everything.join(shared, "key"), "line-variants")
+    shared = everything.groupBy("key").agg(F.min("h1").alias("one"), F.max("h1").alias("other")).filter("one < other").select(dealt_anew(F.col("key")).alias("key"))
+    everything = written(everything.withColumn("key", dealt_anew(F.col("key"))).join(shared, "key"), "line-variants")
     # Changed lines look for any other, shortened ones for a whole line, whole lines for a shortened one.
     first_of = lambda *sides: F.min(F.when(F.col("side").isin(*sides), F.struct("first", "h1", "h2")))
     met = everything.groupBy("key").agg(first_of(1).alias("m1"), first_of(2).alias("m2"), first_of(3).alias("m3"))
