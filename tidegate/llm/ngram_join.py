@@ -38,8 +38,8 @@ HUB_AGREE = 2
 ORDERS = 2
 #: Buckets of the table of token counts of each order: fixed, whatever the number of tokens.
 BUCKETS = 1 << 20
-#: Rows that a task hands over at once.
-FLUSH_ROWS = 200_000
+#: Rows that a task hands over, and tokens that it counts, at once.
+FLUSH_ROWS = 100_000
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -90,21 +90,32 @@ def linked(one: np.ndarray, other: np.ndarray) -> bool:
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, digest and smallest hashes of each document's set; at the end the task's table of token counts."""
     shingler, counts = Shingler(), np.zeros((ORDERS, BUCKETS), np.int64)
+    pending: list[np.ndarray] = []
+    held = 0
+
+    def count() -> None:
+        everything = np.concatenate(pending)
+        for order in range(ORDERS):
+            np.add.at(counts[order], buckets_of(everything, order), 1)
+        pending.clear()
+
     for batch in batches:
         out: list[tuple] = []
-        pending: list[np.ndarray] = []
         for text in batch.column(1):
             tokens = shingler.set_of(text.as_py())
             least = [int(mixed(tokens, seed).min().view(np.int64)) for seed in range(HUB_HASHES)] if len(tokens) else None
             digest = [int(v.view(np.int64)) for v in (mixed(tokens, 8).sum(dtype=np.uint64), np.bitwise_xor.reduce(mixed(tokens, 9)))] if len(tokens) else [0, 0]
             pending.append(tokens)
+            held += len(tokens)
+            if held >= FLUSH_ROWS:
+                count()
+                held = 0
             out.append((len(tokens), *digest, least))
-        everything = np.concatenate(pending)
-        for order in range(ORDERS):
-            counts[order] += np.bincount(buckets_of(everything, order), minlength=BUCKETS)
         columns = list(zip(*out, strict=True))
         types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True)), pa.nulls(len(out), pa.binary())], ["doc_id", "n", "d1", "d2", "least", "counts"])
+    if pending:
+        count()
     if counts.any():
         packed = zstandard.compress(counts.tobytes())
         yield pa.RecordBatch.from_pydict({"doc_id": [None], "n": [None], "d1": [None], "d2": [None], "least": [None], "counts": [packed]}, schema=pa.schema({"doc_id": pa.int64(), "n": pa.int64(), "d1": pa.int64(), "d2": pa.int64(), "least": pa.list_(pa.int64()), "counts": pa.binary()}))

@@ -30,7 +30,7 @@ WINDOW, BLOCK, SYMBOLS, GRAM = 35, 7, 5, 22
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 200_000
 #: Rows that a task hands over at once.
-FLUSH_ROWS = 200_000
+FLUSH_ROWS = 100_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
