@@ -78,17 +78,20 @@ def _candidates(firsts: DataFrame, documents: DataFrame, doc_id: str, text: str)
 def _later_of_pairs(lines: DataFrame) -> DataFrame:
     """``h1``, ``h2``, ``is_near`` of the lines that have a verified neighbour at an earlier place."""
     n = F.length("line")
-    positions = F.filter(
-        F.sequence(F.lit(1), n), lambda p: (F.col("front") & (p > F.floor((n - 1) / 2))) | (F.col("back") & (p <= n - F.ceil((n - 1) / 2)))
-    )
+    # A shared front half leaves the places behind it, a shared back half those before it.
+    start = F.when(F.col("back"), 1).otherwise(F.floor((n - 1) / 2) + 1).cast("int")
+    end = F.when(F.col("front"), n).otherwise(n - F.ceil((n - 1) / 2)).cast("int")
     # Characters of four bytes each, so that a place in the text is a place in the bytes.
-    rest = lambda p: F.xxhash64(F.concat(F.substring(F.col("wide"), F.lit(1), (p - 1) * 4), F.substring(F.col("wide"), p * 4 + 1, n * 4)))
     wide = lines.withColumn("wide", F.encode("line", "UTF-32"))
     ids = ["h1", "h2", "first"]
-    cut = wide.select(*ids, F.explode(F.transform(positions, lambda p: F.struct(rest(p).alias("rest"), p.alias("p")))).alias("v"))
+    left = F.substring(F.col("wide"), F.lit(1), (F.col("p") - 1) * 4)
+    right = F.substring(F.col("wide"), F.col("p") * 4 + 1, F.octet_length("wide"))
+    # The places are rows before anything is cut, which lets the cutting be compiled; a function over an array is not.
+    places = wide.select(*ids, "wide", F.explode(F.sequence(start, end)).alias("p"))
+    cut = places.select(*ids, "p", F.xxhash64(F.concat(left, right)).alias("rest"))
     # Side 1: changed at the same place. Side 2: with a gap, to meet a whole line (side 3).
-    change = F.struct(F.xxhash64(F.lit("change"), "v.rest", "v.p").alias("key"), F.lit(1).alias("side"))
-    gap = F.struct(F.xxhash64(F.lit("gap"), "v.rest").alias("key"), F.lit(2).alias("side"))
+    change = F.struct(F.xxhash64(F.lit("change"), "rest", "p").alias("key"), F.lit(1).alias("side"))
+    gap = F.struct(F.xxhash64(F.lit("gap"), "rest").alias("key"), F.lit(2).alias("side"))
     left_out = cut.select(*ids, F.explode(F.array(change, gap)).alias("k")).select(*ids, "k.key", "k.side")
     own = wide.select(*ids, F.xxhash64(F.lit("gap"), F.xxhash64("wide")).alias("key"), F.lit(3).alias("side"))
     everything = left_out.unionByName(own)
