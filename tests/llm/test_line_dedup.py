@@ -73,3 +73,20 @@ def test_texts_without_the_lines(frame, rows):
 def test_empty_table(frame):
     none = frame([], SCHEMA)
     assert ld.line_counts(none, ld.near_lines(none)).count() == 0
+
+
+def test_short_lines_go_if_equal_and_only_then(frame, rows):
+    found = ld.near_lines(frame(rows, SCHEMA), equal_chars=1).filter("doc_id is not null").collect()
+    places = [((d is not None, d or 0, n), line) for d, t in rows if t is not None for n, line in enumerate(t.split("\n")) if line]
+    alike = lambda a, b: a == b or (min(len(a), len(b)) >= ld.LEAST_CHARS and near(a, b))
+    expected = {p[1:] for p, line in places if p[0] and any(q < p and alike(line, other) for q, other in places)}
+    assert (202, 1) in expected and {(r["doc_id"], r["no"]) for r in found} == expected
+
+
+def test_the_query_removes_copies_of_short_lines(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    texts = [(1, "Home\n\nan article of some length\nShare"), (2, "Home\n\nShare\nShore"), (3, "Share\n}\n}")]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["removed_lines"]) for r in queries()["op2_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (4, 0, ""), 2: (4, 2, "0,2"), 3: (3, 2, "0,2")}

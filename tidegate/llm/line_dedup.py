@@ -15,37 +15,39 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import dealt_anew, written
 
-#: Shorter lines stay: one edit means too much there.
+#: Shorter lines are near to no other, as one edit means too much there; equal ones can still go.
 LEAST_CHARS = 16
 #: Copies of a line meet their first one in so many separate groups.
 SALTS = 32
 
 
-def lines_of(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row for each line of ``LEAST_CHARS`` or more: document, row (hash of id and text), number from 0, text."""
+def lines_of(documents: DataFrame, doc_id: str, text: str, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """One row for each line of ``least_chars`` or more: document, row (hash of id and text), number from 0, text."""
     some = documents.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("row"), F.col(text).alias("text"))
     each = some.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return each.filter(F.length("line") >= LEAST_CHARS)
+    return each.filter(F.length("line") >= least_chars)
 
 
 def _halves(line: Column) -> list[Column]:
-    """Hashes of the halves, for the line as the longer and as the shorter one of a pair; null if both are the same."""
+    """Hashes of the halves, for the line as the longer and as the shorter one of a pair; null if both are the same or the line is under ``LEAST_CHARS``."""
     n = F.length(line)
     front, front_short = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
     back, back_short = F.ceil(n / 2).cast("int"), F.ceil((n - 1) / 2).cast("int")
     head = lambda size: F.xxhash64(F.lit("front"), size, F.substring(line, F.lit(1), size))
     tail = lambda size: F.xxhash64(F.lit("back"), size, F.substring(line, n - size + 1, size))
-    return [head(front), F.when(front_short != front, head(front_short)), tail(back), F.when(back_short != back, tail(back_short))]
+    halves = [head(front), F.when(front_short != front, head(front_short)), tail(back), F.when(back_short != back, tail(back_short))]
+    return [F.when(n >= LEAST_CHARS, half) for half in halves]
 
 
-def near_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", equal_chars: int = LEAST_CHARS) -> DataFrame:
     """Lines to remove: ``doc_id``, ``row``, ``no`` of each line with an equal or near one at an earlier place.
 
     Places are ordered by document id (null first) and line number. A line goes if any earlier line is equal or
-    one edit away, whether or not that one stays. Rows with the same id and text are one place and keep the same
+    one edit away, whether or not that one stays. Lines of ``LEAST_CHARS`` or more can be near, those of
+    ``equal_chars`` or more equal: with 1 all but empty ones are compared. Rows with the same id and text are one place and keep the same
     lines. Null texts have no lines; an empty table has none. Other columns play no part.
     """
-    lines = lines_of(documents, doc_id, text)
+    lines = lines_of(documents, doc_id, text, min(equal_chars, LEAST_CHARS))
     named = lines.select("doc_id", "row", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), *(k.alias(f"half{i}") for i, k in enumerate(_halves(F.col("line")))))
     firsts = named.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "no")).alias("first"), F.max(F.struct("doc_id", "no")).alias("last"), *(F.max(f"half{i}").alias(f"half{i}") for i in range(4))

@@ -72,9 +72,9 @@ FROM documents d LEFT JOIN numbers USING (doc_id)
 """,
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of each document that equal or nearly equal an earlier line of any document."""
+    """Lines of each document that equal or nearly equal an earlier line of any document; short ones only if equal."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.line_counts(documents, line_dedup.near_lines(documents))
+    return line_dedup.line_counts(documents, line_dedup.near_lines(documents, equal_chars=1))
 
 
 @query(
