@@ -150,3 +150,35 @@ def test_reject_reasons(spark):
     ]
     assert validate.valid_rows(checked).columns == CHARGE_COLUMNS
     assert validate.valid_rows(checked).count() + validate.rejected_rows(checked).count() == len(texts)
+
+
+def whole_range(sql):
+    """The SQL with an end just after the last event."""
+    return sql.replace("max(ts) - INTERVAL 3 HOUR", "max(ts) + INTERVAL 1 MICROSECOND")
+
+
+@pytest.mark.parametrize("name", ["chunk_plan", "chunk_plan_balanced", "chunk_record_counts", "chunk_skew", "safe_high_water_mark", "backfill_gaps"])
+def test_chunk_queries_equal_sql_over_all_events(spark, monkeypatch, name):
+    from compare import compare, connect
+
+    from __spark_entry__ import oracle_sql
+
+    sf = "/root/testdata/sf0.01"
+    whole = {name: whole_range(oracle_sql()[name])}
+    monkeypatch.setattr("__spark_entry__.oracle_sql", lambda: whole)
+    assert compare(spark, connect(sf), name, sf) in ("", "both sides are empty")
+
+
+def test_the_last_event_is_in_a_chunk(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    # One event a day and, in the chunk that fails, two in the last three hours.
+    start = datetime(2024, 1, 1)
+    last = start + timedelta(days=5, hours=7)
+    times = [start + timedelta(days=d) for d in range(6)] + [last - timedelta(hours=1), last]
+    spark.createDataFrame([(t,) for t in times], "ts TIMESTAMP_NTZ").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    run = lambda name: queries()[name](spark, str(tmp_path))
+    assert run("chunk_record_counts").agg(F.sum("records")).first()[0] == len(times)
+    assert abs(run("chunk_plan_balanced").agg(F.sum("expected")).first()[0] - len(times)) < 1e-6
+    assert [(r.chunk_no, r.records) for r in run("backfill_gaps").collect()] == [(5, 3)]
+    assert run("chunk_plan").agg(F.max("end_ts")).first()[0] == "2024-01-06 07:00:00.000001"

@@ -79,9 +79,10 @@ def src_page_chain_check(spark, sf):
 
 
 def _event_bounds(spark, sf):
-    """First event and the end of the range, three hours before the last one, as scalar subqueries; nothing is collected."""
+    """First event and the end of the range, just after the last one, as scalar subqueries; nothing is collected."""
     ts = tables.load(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
-    end = F.max("ts") - F.make_dt_interval(hours=F.lit(3))
+    # Chunks are half-open: an end at the last event itself would leave it out.
+    end = F.timestamp_micros(F.unix_micros(F.max("ts")) + 1)
     return ts, ts.select(F.min("ts")).scalar(), ts.select(end).scalar()
 
 
