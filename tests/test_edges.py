@@ -75,3 +75,14 @@ def test_the_scratch_folder_leaves_the_settings_alone(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_root(spark) and spark.conf.get("spark.checkpoint.dir", None) == before
     assert spark.range(3).select(F.sum("id")).first()[0] == 3
+
+
+def test_volume_drops_are_counted_over_all_days(spark, monkeypatch):
+    from compare import compare, connect
+
+    from __spark_entry__ import oracle_sql
+
+    sf = "/root/testdata/sf0.01"
+    whole = {"volume_drop_alert": oracle_sql()["volume_drop_alert"].replace(" WHERE day(dt) <> 13", "")}
+    monkeypatch.setattr("__spark_entry__.oracle_sql", lambda: whole)
+    assert "<> 13" not in whole["volume_drop_alert"] and compare(spark, connect(sf), "volume_drop_alert", sf) == ""
