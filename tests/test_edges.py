@@ -86,3 +86,14 @@ def test_volume_drops_are_counted_over_all_days(spark, monkeypatch):
     whole = {"volume_drop_alert": oracle_sql()["volume_drop_alert"].replace(" WHERE day(dt) <> 13", "")}
     monkeypatch.setattr("__spark_entry__.oracle_sql", lambda: whole)
     assert "<> 13" not in whole["volume_drop_alert"] and compare(spark, connect(sf), "volume_drop_alert", sf) == ""
+
+
+def test_metric_anomalies_score_all_days(spark, monkeypatch):
+    from compare import compare, connect
+
+    from __spark_entry__ import oracle_sql
+
+    sf = "/root/testdata/sf0.01"
+    whole = {"metric_anomalies": oracle_sql()["metric_anomalies"].replace(" WHERE day(ts) <> 13", "")}
+    monkeypatch.setattr("__spark_entry__.oracle_sql", lambda: whole)
+    assert "<> 13" not in whole["metric_anomalies"] and compare(spark, connect(sf), "metric_anomalies", sf) == ""

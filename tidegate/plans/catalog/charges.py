@@ -530,8 +530,8 @@ def quality_alert(spark, sf):
           WINDOW w AS (ORDER BY dt ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""",
 )
 def metric_anomalies(spark, sf):
-    """The thirteenth is silent."""
-    rows = tables.load(spark, sf, "events").where(F.dayofmonth("ts") != 13)
+    """Daily counts of the events, scored on every day."""
+    rows = tables.load(spark, sf, "events")
     daily = rows.groupBy(F.to_date("ts").alias("dt")).agg(
         F.count("*").cast("double").alias("value")
     )
