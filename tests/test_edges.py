@@ -97,3 +97,15 @@ def test_metric_anomalies_score_all_days(spark, monkeypatch):
     whole = {"metric_anomalies": oracle_sql()["metric_anomalies"].replace(" WHERE day(ts) <> 13", "")}
     monkeypatch.setattr("__spark_entry__.oracle_sql", lambda: whole)
     assert "<> 13" not in whole["metric_anomalies"] and compare(spark, connect(sf), "metric_anomalies", sf) == ""
+
+
+def test_a_silent_day_is_an_anomaly(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    # Nine and ten events in turn; the eighth day is silent.
+    counts = [9, 10, 9, 10, 9, 10, 9, 0, 10, 9]
+    times = [(datetime(2024, 1, 1 + d, 1, n),) for d, count in enumerate(counts) for n in range(count)]
+    spark.createDataFrame(times, "ts TIMESTAMP_NTZ").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = queries()["metric_anomalies"](spark, str(tmp_path)).orderBy("dt").collect()
+    assert [r.value for r in got] == counts and [r.anomaly for r in got] == [c == 0 for c in counts]
+    assert abs(got[8].trailing_mean - 57 / 7) < 1e-6

@@ -45,14 +45,15 @@ def volume_drops(daily: DataFrame, day: str = "dt", value: str = "records", drop
 
 
 def metric_anomalies(
-    daily: DataFrame, day: str = "dt", value: str = "value", days: int = 7, limit: float = 3.0
+    daily: DataFrame, day: str = "dt", value: str = "value", days: int = 7, limit: float = 3.0, fill=None
 ) -> DataFrame:
-    """(Specified here.) z-score against the preceding ``days`` days; a day without rows has no value and no part in it.
+    """(Specified here.) z-score against the preceding ``days`` days; a day without rows has ``fill`` as value.
 
-    NULL until two values lie in those days or when they do not vary.
+    Counts need 0 there, so that silence is scored; NULL, for metrics that an empty day does not have, has no part in it.
+    The score is NULL until two values lie in those days or when they do not vary.
     """
     trailing = Window.orderBy(day).rowsBetween(-days, -1)
-    scored = calendar(daily, day, value).withColumns(
+    scored = calendar(daily, day, value, fill).withColumns(
         {"trailing_mean": F.avg(value).over(trailing), "trailing_stddev": F.stddev_samp(value).over(trailing)}
     )
     z = (F.col(value) - F.col("trailing_mean")) / F.nullif(F.col("trailing_stddev"), F.lit(0.0))

@@ -535,4 +535,4 @@ def metric_anomalies(spark, sf):
     daily = rows.groupBy(F.to_date("ts").alias("dt")).agg(
         F.count("*").cast("double").alias("value")
     )
-    return trends.metric_anomalies(daily, limit=2.0)
+    return trends.metric_anomalies(daily, limit=2.0, fill=0.0)
