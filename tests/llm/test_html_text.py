@@ -73,3 +73,21 @@ def test_padding_does_not_change_a_page():
     pages = ["<article><p>Some words of a text, here.</p></article>", "<nav>" + "<a>x</a><p>y</p>" * 50 + "</nav><article><p>More words, there.</p></article>"]
     model = h.trained()
     assert model.extract(pages) == [model.extract([p])[0] for p in pages]
+
+
+def test_only_raw_text_without_an_end_tag_hides_the_rest():
+    for name in ("svg", "math", "object", "template"):
+        assert texts(f"<p>a</p><{name} class='x'><p>b</p><p>c</p>") == ["a", "b", "c"], name
+    for name in ("script", "style", "textarea", "iframe", "noscript"):
+        assert texts(f"<p>a</p><{name}><p>b</p><p>c</p>") == ["a"], name
+    assert texts("<p>a <math><mi>x</mi><mspace/><mn>2</mn></math> b</p>") == ["a", "x", "2", "b"]
+    assert texts("<p>a <object data='y'>b</object> c</p><svg/><p>d</p>") == ["a", "b", "c", "d"]
+    assert h.blocks("<div><svg><g><p>b</p></div>")[0].path == ("div", "p")
+
+
+def test_articles_keep_formulas_and_what_follows_open_elements():
+    sentences = [f"Sentence number {i} of the story, which goes on and on." for i in range(24)]
+    body = [f"<p>{s}</p>" for s in sentences]
+    for middle, extra in (("<svg><path d='x'>", []), ("<object data='a'>", []), ("<p>The law says <math><mi>E</mi><mo>=</mo><mi>m</mi></math> for bodies.</p>", ["The law says E = m for bodies."])):
+        page = f"<html><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><article>{''.join(body[:12])}{middle}{''.join(body[12:])}</article><footer>&copy; all rights</footer></body></html>"
+        assert h.trained().extract([page]) == [" ".join([*sentences[:12], *extra, *sentences[12:]])]

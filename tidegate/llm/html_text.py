@@ -30,8 +30,10 @@ TOGETHER = 64
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page.
-HIDDEN_CONTENT = frozenset("script style noscript template textarea svg math iframe object".split())
+#: Elements whose content is no text of the page and ends at their own end tag only.
+RAW_TEXT = frozenset("script style noscript textarea iframe".split())
+#: Start tags that end an svg or math left open before them.
+LEAVES_FOREIGN = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr li menu ol p pre table ul article section main nav aside header footer".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _STOPS, _DIGITS = re.compile(r"[.,;:!?]"), re.compile(r"\d")
@@ -89,11 +91,17 @@ def blocks(page: str) -> list[Block]:
                 del stack[where:]
             links = sum(n == "a" for n, _ in stack)
             continue
-        if name in HIDDEN_CONTENT:
-            if not found[3].rstrip().endswith("/"):
+        closed = found[3].rstrip().endswith("/")
+        if name in RAW_TEXT:
+            if not closed:
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else size
             continue
+        foreign = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("svg", "math", "foreignobject")), -1)
+        if foreign >= 0 and stack[foreign][0] != "foreignobject" and name in LEAVES_FOREIGN:
+            del stack[foreign:]
+        elif closed and (foreign >= 0 or name in ("svg", "math", "object", "template")):
+            continue
         if name not in INLINE:
             # Elements whose end tag may be left out, and inline ones left open in them.
             closes = {"p": ("p",), "li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "body": ("head",)}.get(name, ("p",))
