@@ -26,11 +26,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; of rows that share an id one. Rows without an id stay."""
+    """Of each group of near duplicates the document with the smallest id; of rows that share id and text one. Rows without an id stay."""
     docs = docs.select(*COLUMNS)
-    joined, _ = ngram_join.near_duplicates(docs)
-    first = joined.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Texts that share an id are documents of their own.
+    keyed = docs.filter("doc_id is not null").withColumn("key", F.xxhash64("doc_id", "text"))
+    joined, _ = ngram_join.near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text"))
+    placed = joined.select(F.col("doc_id").alias("key"), "component_id").distinct()
+    first = keyed.select("key", "doc_id").join(placed, "key").groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("first")).select("first.*")
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    one = F.min(F.struct(*rest, "text")).alias("one")
+    kept = keyed.join(first, ["doc_id", "key"], "left_semi").groupBy("doc_id", "key").agg(one).select("doc_id", "one.*")
     return kept.select(*COLUMNS).unionByName(docs.filter("doc_id is null"))
 
 

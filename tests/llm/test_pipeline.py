@@ -71,3 +71,11 @@ def test_every_operator_has_a_query():
     names = list(queries())
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
     assert {n for n in oracle_sql() if n.startswith("op")} == {"op1_warc", "op2_line_dedup", "op3_decontaminate", "op4_substring_dedup", "op6_ngram_join", "op9_mix"}
+
+
+def test_unlike_texts_that_share_an_id_stay(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    one, other, third = (" ".join(f"{word}{i}" for i in range(60)) for word in ("one", "other", "third"))
+    rows = [(5, one, "en", "b", 1), (5, one, "en", "a", 1), (5, other, "en", "a", 1), (6, one, "en", "a", 1), (4, third, "en", "a", 1), (7, other + " end", "en", "a", 1), (8, None, None, None, None)]
+    kept = cp.near_duplicates(spark, spark.createDataFrame(rows, schema).repartition(4), SF).collect()
+    assert sorted((r["doc_id"], r["text"] or "", r["source"] or "") for r in kept) == sorted([(5, one, "a"), (5, other, "a"), (4, third, "a"), (8, "", "")])
