@@ -13,8 +13,3 @@ def spark():
     session = local_session(8, 4)
     yield session
     session.stop()
-
-
-def rows(df):
-    """Rows as sorted tuples, NULLs included."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

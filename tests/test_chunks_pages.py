@@ -2,7 +2,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from tabular import rows
 from pyspark.sql import functions as F
 
 from tidegate.operators import chunks, pages, validate
@@ -152,20 +152,11 @@ def test_reject_reasons(spark):
     assert validate.valid_rows(checked).count() + validate.rejected_rows(checked).count() == len(texts)
 
 
-def whole_range(sql):
-    """The SQL with an end just after the last event."""
-    return sql.replace("max(ts) - INTERVAL 3 HOUR", "max(ts) + INTERVAL 1 MICROSECOND")
-
-
 @pytest.mark.parametrize("name", ["chunk_plan", "chunk_plan_balanced", "chunk_record_counts", "chunk_skew", "safe_high_water_mark", "backfill_gaps"])
-def test_chunk_queries_equal_sql_over_all_events(spark, monkeypatch, name):
+def test_chunk_queries_equal_sql_over_all_events(spark, name):
     from compare import compare, connect
 
-    from __spark_entry__ import oracle_sql
-
     sf = "/root/testdata/sf0.01"
-    whole = {name: whole_range(oracle_sql()[name])}
-    monkeypatch.setattr("__spark_entry__.oracle_sql", lambda: whole)
     assert compare(spark, connect(sf), name, sf) in ("", "both sides are empty")
 
 

