@@ -53,15 +53,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no FROM documents WHERE text IS NOT NULL
 ), firsts AS (
-    SELECT line, min((doc_id, no)) AS first FROM lines WHERE length(line) >= 16 GROUP BY line
+    SELECT line, min((doc_id, no)) AS first FROM lines WHERE line <> '' GROUP BY line
 ), shorter AS (
-    SELECT line, first, p, md5(left(line, p - 1) || substr(line, p + 1)) AS rest FROM (SELECT *, unnest(range(1, length(line) + 1)) AS p FROM firsts)
+    SELECT line, first, p, md5(left(line, p - 1) || substr(line, p + 1)) AS rest FROM (SELECT *, unnest(range(1, length(line) + 1)) AS p FROM firsts WHERE length(line) >= 16)
 ), met AS (
     SELECT s.line FROM shorter s JOIN (SELECT rest, p, min(first) AS first FROM shorter GROUP BY ALL) m USING (rest, p) WHERE m.first < s.first
     UNION
-    SELECT s.line FROM shorter s JOIN firsts f ON s.rest = md5(f.line) WHERE f.first < s.first
+    SELECT s.line FROM shorter s JOIN firsts f ON s.rest = md5(f.line) WHERE length(f.line) >= 16 AND f.first < s.first
     UNION
-    SELECT f.line FROM shorter s JOIN firsts f ON s.rest = md5(f.line) WHERE s.first < f.first
+    SELECT f.line FROM shorter s JOIN firsts f ON s.rest = md5(f.line) WHERE length(f.line) >= 16 AND s.first < f.first
 ), gone AS (
     SELECT DISTINCT l.doc_id, l.no FROM lines l JOIN firsts f USING (line) WHERE (l.doc_id, l.no) > f.first OR l.line IN (SELECT line FROM met)
 ), numbers AS (
