@@ -15,3 +15,19 @@ def frame(spark):
         return spark.createDataFrame(wide, schema + ", row string").repartition(partitions)
 
     return make
+
+
+@pytest.fixture
+def by_value():
+    """Sends a module's functions to the workers with its globals as they are now, patched ones included."""
+    from pyspark import cloudpickle
+
+    sent = []
+
+    def send(module):
+        cloudpickle.register_pickle_by_value(module)
+        sent.append(module)
+
+    yield send
+    for module in sent:
+        cloudpickle.unregister_pickle_by_value(module)

@@ -8,8 +8,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, html_text, language, line_dedup, mixing, ngram_join, quality_lines, sharding, substring_dedup, warc
+from tidegate.llm import decontaminate, exact_dedup, html_text, language, line_dedup, merkle, mixing, ngram_join, prefix_trie, quality_lines, sharding, substring_dedup, warc
 from tidegate.llm.common import n_words, table
+from tidegate.llm.sql import CRC_TABLE, crc32, merkle_sql
 from tidegate.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,6 +248,69 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_merkle", merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proof of every document, folded from a leaf that is tampered with in a third of the cases."""
+    body = F.col("text")
+    lowered = F.translate(body, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, lowered).otherwise(body)
+    leaf = lambda text: merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", leaf(body).alias("leaf"), leaf(tampered).alias("claimed"))
+    proven, root = merkle.manifest(rows, "lang", ["doc_id"], "leaf")
+    folded = merkle.folded(F.col("claimed"), F.col("places"), F.col("siblings"))
+    digests = proven.select(
+        "doc_id", "leaf", "subroot", F.lit(root).alias("root"), F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), folded.alias("folded_root")
+    )
+    return digests.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query(
+    "op12_exact_dedup",
+    """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of each text, of which the one with the largest id stays."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), largest=True)
+
+
+@query(
+    "op13_prefix_trie",
+    f"""
+WITH {CRC_TABLE}, turns AS (
+    SELECT conv_id, turn, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS id, octet_length(encode(coalesce(text, '')))::BIGINT AS bytes
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(bytes ORDER BY turn NULLS FIRST, id) AS sizes FROM turns GROUP BY conv_id
+), headed AS (
+    SELECT own.*, {crc32("conv_id::VARCHAR")} % 9 AS h FROM own, crc_table
+), rebuilt AS (
+    SELECT o.conv_id, list_concat(coalesce(b.ids[1:o.h], []), o.ids[o.h + 1:]) AS ids, list_concat(coalesce(b.sizes[1:o.h], []), o.sizes[o.h + 1:]) AS sizes
+    FROM headed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), prefixes AS (
+    SELECT conv_id, d AS depth, array_to_string(ids[1:d], '') AS key, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS bytes, len(ids) = d AS ends
+    FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS saved, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends
+    FROM prefixes GROUP BY key, depth
+), grown AS (
+    SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN (SELECT left(key, len(key) - 32) AS above, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above) c ON c.above = n.key
+), sums AS (
+    SELECT key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM (SELECT left(key, 32 * unnest(range(0, depth + 1))) AS key, n_children, saved FROM grown) GROUP BY key
+)
+SELECT g.conv_id, g.depth, p.conv_id AS parent_conv_id, g.n_convs, g.n_children, n_leaves, saved_tokens, sha256(g.ends) AS ends_sha256
+FROM grown g JOIN sums USING (key) LEFT JOIN nodes p ON g.depth > 0 AND p.key = left(g.key, len(g.key) - 32)
+""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the conversations, each rebuilt on the head of another."""
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.conversations(table(spark, sf_dir, "conversations"))))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline applied to the documents."""
