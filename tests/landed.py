@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 import pyarrow.fs as fs
 import pyarrow.parquet as pq
@@ -40,3 +41,28 @@ class LandedPages:
             if starting_after == cursor:
                 return json.loads(body)
         raise OSError(f"chain {chain} has no page after {cursor}")
+
+
+class RangedPages:
+    """Serves any range of records that Spark has landed as Parquet (``id``, ``created`` and others), page by page.
+
+    ``fail`` names starts of chunks that fail, comma-separated; ``calls`` a folder in which every chunk that is
+    asked for leaves a file, so that a test sees what was paged.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        self.path, self.calls = options["path"], options.get("calls")
+        self.fail = set(filter(None, options.get("fail", "").split(",")))
+
+    def fetch(self, endpoint: str, params: dict) -> dict:
+        lo, hi, after = params["created[gte]"], params["created[lt]"], params.get("starting_after")
+        if self.calls and after is None:
+            with open(f"{self.calls}/{lo}-{hi}-{uuid.uuid4().hex}", "w"):
+                pass
+        if str(lo) in self.fail:
+            raise OSError(f"chunk {lo} is not available")
+        records = pq.read_table(self.path, filters=[("created", ">=", lo), ("created", "<", hi)]).to_pylist()
+        records.sort(key=lambda r: (r["created"], r["id"]))
+        start = next(i for i, r in enumerate(records) if r["id"] == after) + 1 if after else 0
+        page = records[start : start + params["limit"]]
+        return {"data": page, "has_more": start + len(page) < len(records)}

@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidegate.operators.checkpoints import fold_checkpoints, resume_point, resume_points, safe_high_water_mark
-from tidegate.plans.extract import ExtractConfig, current_charges, read_checkpoints, reset_checkpoint, run_extract
+from tidegate.plans.extract import ExtractConfig, current_charges, read_checkpoints, read_runs, reset_checkpoint, run_extract
 from tidegate.schema import RUN_SCHEMA
 from tidegate.sources import paged
 
@@ -146,7 +146,7 @@ def test_reset_starts_over_and_stays_in_the_history(spark, tmp_path, config):
     result = run_extract(spark, config)
     assert (result.exit_code, result.reason, result.records) == (0, "no new records", 0)
     assert mark(spark, config).at == START + 7 * DAY
-    history = spark.read.parquet(f"{config.root}/runs")
+    history = read_runs(spark, config.root)
     assert history.where("is_reset").count() == 1 and history.count() == 3
 
 

@@ -78,6 +78,37 @@ def missing_chunks(plan: DataFrame, done: DataFrame) -> DataFrame:
     return plan.join(done.select("start_ts", "end_ts"), ["start_ts", "end_ts"], "left_anti")
 
 
+def coverage_gaps(states: DataFrame, start_s, end_s) -> DataFrame:
+    """(Specified here.) What of ``[start_s, end_s)`` no finished chunk covers: ``start_s``, ``end_s`` in epoch seconds.
+
+    ``states`` has ``start_s``, ``end_s``, ``failed``; chunks may overlap and repeat, and a failed one covers nothing.
+    Takes one row per chunk, in one window over those of a single checkpoint.
+    """
+    spark = states.sparkSession
+    lo, hi = F.lit(start_s).cast("bigint"), F.lit(end_s).cast("bigint")
+    done = states.where("NOT failed").select(F.greatest("start_s", lo).alias("start_s"), F.least("end_s", hi).alias("end_s")).where("start_s < end_s")
+    # Empty chunks at both ends of the range turn its edges into gaps between chunks.
+    edges = spark.range(1, numPartitions=1).select(F.explode(F.array(lo, hi)).alias("start_s")).withColumn("end_s", F.col("start_s"))
+    before = Window.orderBy("start_s", "end_s").rowsBetween(Window.unboundedPreceding, -1)
+    reached = done.unionByName(edges).withColumn("reached", F.max("end_s").over(before))
+    return reached.where(F.col("start_s") > F.col("reached")).select(F.col("reached").alias("start_s"), F.col("start_s").alias("end_s"))
+
+
+def forecast_counts(history: DataFrame, covered: DataFrame, plan: DataFrame) -> DataFrame:
+    """(Specified here.) Expected ``records`` of each planned hour: the mean of the same hour of the day so far.
+
+    ``history`` has ``hour_s``, ``records`` (hours without records may be missing), ``covered`` one row ``hour_s`` for each
+    hour that was read, and ``plan`` the hours of :func:`plan_chunks`. Hours of the day never read expect nothing.
+    """
+    of_day = F.pmod(F.floor(F.col("hour_s") / 3600), F.lit(24)).cast("int")
+    counts = history.groupBy("hour_s").agg(F.sum("records").alias("records"))
+    seen = covered.select("hour_s").distinct().join(counts, "hour_s", "left")
+    mean = seen.groupBy(of_day.alias("hour_of_day")).agg((F.sum(F.coalesce("records", F.lit(0))) / F.count("*")).alias("records"))
+    return plan.withColumn("hour_of_day", F.hour("start_ts")).join(mean, "hour_of_day", "left").select(
+        "chunk_no", "start_ts", "end_ts", F.coalesce("records", F.lit(0.0)).alias("records")
+    )
+
+
 def skewed_chunks(counts: DataFrame, value: str = "records", factor: float = 5.0) -> DataFrame:
     """(Specified here.) Chunks above ``factor`` times the median chunk.
 

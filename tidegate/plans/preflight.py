@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.schema import RUN_SCHEMA
-from tidegate.sinks import datasets
+from tidegate.sinks import commits
 
 
 def _source_readable(source: DataFrame) -> str:
@@ -27,7 +26,7 @@ def _sink_usable(spark: SparkSession, path: str) -> str:
 
 
 def _checkpoints_readable(spark: SparkSession, path: str) -> str:
-    return f"{len(datasets.read_or_empty(spark, path, RUN_SCHEMA).take(1))} run read"
+    return f"{len(commits.read_log(spark, path).take(1))} run read"
 
 
 def preflight(spark: SparkSession, source: Callable[[], DataFrame], sink: str, runs: str) -> DataFrame:

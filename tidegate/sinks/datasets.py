@@ -3,10 +3,9 @@
 Layout below a dataset root::
 
     data/run_id=<run>/dt=<date>/*.parquet     written by the run, overwritten by its retry
-    commits/                                  one row per committed run
-    runs/                                     one row per finished run, folded into checkpoints
+    commits/<number>.json                     the commit log, see ``commits``
 
-A run becomes visible through its commit row; no file is moved or renamed,
+A run becomes visible through its commit entry; no data file is moved or renamed,
 which object stores do slowly and not atomically.
 """
 
@@ -19,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidegate.functions.times import as_timestamp
 from tidegate.operators.layout import committed_rows
+from tidegate.sinks import commits
 
 
 def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -100,13 +99,9 @@ def audit_run(
     return facts.select(F.explode(F.array(*structs)).alias("line")).select("line.*")
 
 
-def commit_run(spark: SparkSession, root: str, run_id: str, rows: int, at: datetime) -> None:
-    row = spark.range(1, numPartitions=1).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(rows).cast("bigint").alias("rows"),
-        as_timestamp(at).alias("committed_at"),
-    )
-    row.write.mode("append").parquet(f"{root}/commits")
+def commit_run(spark: SparkSession, root: str, run_id: str, rows: int, at: datetime) -> int:
+    """Make a run visible; the number of its entry. Rests on nothing, so it excludes and is excluded by no other commit."""
+    return commits.append(spark, root, commits.new_entry("commit", run_id, at, rows=rows), 0)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -120,7 +115,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
 
 
 def read_committed(spark: SparkSession, root: str) -> DataFrame:
-    """All rows of committed runs, with ``run_id`` and the partition columns."""
-    commits = read_or_empty(spark, f"{root}/commits", "run_id STRING, rows BIGINT, committed_at TIMESTAMP")
+    """All rows of visible runs, with ``run_id`` and the partition columns, without expired dates.
+
+    The log is read before the folders are listed and does not change afterwards: a reader sees one state of the dataset.
+    """
+    log = commits.read_log(spark, root)
     data = spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data")
-    return committed_rows(data, commits)
+    expired = commits.first_visible_date(log) if "dt" in data.columns else None
+    rows = data if expired is None else data.where(F.col("dt") >= F.lit(expired).cast("date"))
+    return committed_rows(rows, commits.visible_runs(log))

@@ -11,6 +11,8 @@ start, end         range of ``created`` in epoch seconds, end exclusive
 chunk_seconds      width of a chunk (default one day)
 edges              comma-separated epoch seconds at which chunks are cut instead,
                    so that a busy period is read by several tasks
+ranges             comma-separated ``lo-hi`` pairs of epoch seconds: the chunks themselves, in
+                   place of a cut range, so that only what is missing is read
 page_size          records per page (default 100)
 max_pages          page budget of a chunk (default none); a chunk that needs more
                    fails, which ``on_error=record`` reports
@@ -95,6 +97,12 @@ def chunk_range(start: int, end: int, width: int, edges: list[int]) -> list[Chun
     return [Chunk(lo, hi) for lo, hi in zip(bounds, bounds[1:]) if lo < hi]
 
 
+def chunk_list(ranges: str) -> list[Chunk]:
+    """The chunks that the ``ranges`` option names."""
+    pairs = [item.split("-") for item in ranges.split(",") if item.strip()]
+    return [Chunk(int(lo), int(hi)) for lo, hi in pairs]
+
+
 class _Pager:
     """Follows one cursor chain; shared by the batch and the stream reader."""
 
@@ -164,8 +172,9 @@ class _Pager:
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict[str, str], schema: StructType):
         self.pager = _Pager(options, schema)
-        self.start = self.low = int(self.pager.options["start"])
-        self.end = self.high = int(self.pager.options["end"])
+        self.chunks = chunk_list(self.pager.options.get("ranges", ""))
+        self.start = self.low = self.chunks[0].start if self.chunks else int(self.pager.options["start"])
+        self.end = self.high = max(c.end for c in self.chunks) if self.chunks else int(self.pager.options["end"])
 
     def pushFilters(self, filters: list[Filter]):
         """Bounds on ``created`` leave out whole chunks; Spark applies every filter again to the rows."""
@@ -183,8 +192,8 @@ class PagedReader(DataSourceReader):
             yield item
 
     def partitions(self) -> list[Chunk]:
-        """Chunks of the configured range, whatever the filters, less those beyond the pushed bounds."""
-        chunks = chunk_range(self.start, self.end, self.pager.width, self.pager.edges)
+        """The named chunks or those of the configured range, whatever the filters, less those beyond the pushed bounds."""
+        chunks = self.chunks or chunk_range(self.start, self.end, self.pager.width, self.pager.edges)
         return [c for c in chunks if c.start < self.high and c.end > self.low]
 
     def read(self, partition: Chunk | None) -> Iterator[pa.RecordBatch]:
