@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidegate.llm import ngram_join as nj
@@ -54,9 +55,9 @@ def rows():
     return rows + [(1, None), (2, ""), (4, " \n"), (5, " ".join(text(4000))), (None, rows[0][1]), (None, None), rows[9], (rows[30][0], rows[90][1]), (7, rows[50][1].upper())]
 
 
-@pytest.mark.parametrize("orders", [1, 2])
-def test_components_equal_brute_force(frame, rows, orders, monkeypatch):
-    monkeypatch.setattr(nj, "HUB_AGREE", 2 if orders == 2 else 9)  # without hubs, every link is found by the prefix filters
+@pytest.mark.parametrize("agree", [9, 2])
+def test_components_equal_brute_force(frame, rows, agree, monkeypatch):
+    monkeypatch.setattr(nj, "HUB_AGREE", agree)  # with 9 there are no hubs, and every link is found by the prefix filters
     found, links = nj.near_duplicates(frame(rows, SCHEMA))
     expected, all_links = brute(rows)
     assert sorted(map(tuple, found.collect()), key=repr) == expected
@@ -77,11 +78,55 @@ def test_a_large_group_of_copies_costs_a_pair_for_each(frame):
     assert links.count() < 6000
 
 
+def test_copies_that_only_the_original_links_do_not_become_all_pairs(frame, monkeypatch):
+    draw, n = random.Random(4), 2000
+    base = [f"w{i}" for i in range(300)]
+
+    def copy():
+        out = list(base)
+        for at in draw.sample(range(300), 6):  # two copies are about 0.66 alike
+            out[at] = f"x{draw.randrange(10**9)}"
+        return " ".join(out)
+
+    ids = draw.sample(range(10**9), n + 1)  # the original is anywhere among them
+    met, cross = [], nj.cross_pairs
+
+    def counted(rows):
+        met.append(cross(rows))
+        return met[-1]
+
+    monkeypatch.setattr(nj, "cross_pairs", counted)
+    unlike = [(10**9 + i, " ".join(f"u{i}_{j}" for j in range(60))) for i in range(200)]
+    found, links = nj.near_duplicates(frame([(ids[0], " ".join(base)), *((i, copy()) for i in ids[1:]), *unlike], SCHEMA))
+    components = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    assert {components[i] for i in ids} == {min(ids)}
+    assert all(components[i] == i for i, _ in unlike)
+    assert links.count() < 5 * n and met[0].count() < n
+
+
 def test_empty_table(frame):
     found, links = nj.near_duplicates(frame([], SCHEMA))
     assert found.count() == 0 and links.count() == 0
 
 
+def test_word_hashes_tell_words_apart_wherever_they_stand():
+    draw = random.Random(2)
+    words = [bytes(draw.choices(b"abcXYZ\xc3\xa9\x00\xff-", k=draw.choice([1, 2, 3, 8, 64, 65, 300]))) for _ in range(3000)] + [b"ab", b"ba", b"a" * 3_000_000]
+    text = b"".join(w + draw.choice([b" ", b"\t\n", b"\r\x0b\x0c "]) for w in words)
+    ids = nj.Shingler().word_ids(text)
+    assert len(ids) == len(words) and len(set(words)) == len(set(ids.tolist())) == len(set(zip(words, ids.tolist())))
+    assert nj.Shingler().word_ids(b" \n").tolist() == []
+
+
+def test_a_prefix_is_the_start_of_the_whole_order():
+    counts = np.random.default_rng(1).integers(0, 3, (nj.ORDERS, nj.BUCKETS))
+    for n in (1, 2, 5, 100, 1000):
+        tokens = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n, np.uint64))
+        for order in range(nj.ORDERS):
+            keys = [(int(counts[order][nj.buckets_of(tokens[i : i + 1], order)[0]]), int(nj.mixed(tokens[i : i + 1], order + nj.ORDERS)[0] >> np.uint64(30)), int(t)) for i, t in enumerate(tokens)]
+            assert nj.first_in_order(tokens, counts, order).tolist() == [k[2] for k in sorted(keys)][: nj.prefix_size(len(tokens))]
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 140)] + [(900, i) for i in range(901, 930)] + [(5, 5), (7, 6), (6, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}

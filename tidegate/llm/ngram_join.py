@@ -4,11 +4,13 @@ Two texts of similarity 0.75 or more share a token among the first quarter of
 their tokens under any global order. Tokens are ordered by how full their bucket
 of a fixed table of counts is, so that passages that many documents share come
 last, with a hash to break ties; each order has buckets and hash of its own. The
-first order deals out the candidates; a candidate must also pass the prefix
-filter of every other order before its sets are compared.
+first order deals out the candidates; those whose prefixes under any other order have
+nothing in common go, on rows of hashes, before a text is fetched and the sets are compared.
 
 Near copies are joined to a hub first, which finds most links with one pair per
-copy. After that only texts of different components meet, so that a large group
+copy. A hub is chosen by content: of the sets that agree in a smallest hash the one whose tokens
+are the most frequent, which among many copies is what they were copied from. Rounds with
+other hubs follow while they find links. After that only texts of different components meet, so that a large group
 of copies does not become all of its pairs, and no link between components is missed.
 """
 
@@ -20,13 +22,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import dealt_anew, written
+from tidegate.llm.common import dealt_anew, slices, written
 from tidegate.llm.components import components
-from tidegate.llm.substring_dedup import Rolling, WordIds
+from tidegate.llm.substring_dedup import Rolling
 
 SHINGLE = 5
 #: Similarity bound: 100 * intersection >= PERCENT * union.
@@ -35,7 +38,9 @@ PERCENT = 75
 HUB_HASHES = 8
 #: Agreeing smallest hashes that make a hub and a copy a pair; only the order of work depends on it, not the result.
 HUB_AGREE = 2
-ORDERS = 2
+ORDERS = 3
+#: Rounds of hubs at most, and the share of a round's pairs that must be links for another round; as above.
+HUB_ROUNDS, HUB_YIELD = 4, 0.1
 #: Buckets of the table of token counts of each order: fixed, whatever the number of tokens.
 BUCKETS = 1 << 20
 #: Rows that a task hands over, and tokens that it counts, at once.
@@ -44,19 +49,58 @@ _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB866
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+#: Longer words are hashed one by one; polynomials over few bytes tell words apart, over thousands they may not.
+LONG_WORD = 64
+#: Bytes of a text whose words are hashed at once.
+PIECE = 1 << 20
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTES = np.random.default_rng(6).integers(1, 1 << 63, 256, np.uint64)
+
+
 class Shingler:
-    """Sets of hashed word 5-grams, with the memory that one worker keeps."""
+    """Sets of hashed word 5-grams, with the powers that one worker keeps."""
 
     def __init__(self) -> None:
-        self.ids, self.rolling = WordIds(), Rolling()
+        self.bytes, self.words = Rolling(), Rolling()
+
+    def word_ids(self, text: bytes) -> np.ndarray:
+        """A hash for each word, from prefix sums over the bytes."""
+        data = np.frombuffer(text, np.uint8)
+        space = np.ones(len(data) + 2, bool)
+        space[1:-1] = _SPACE[data]
+        starts, ends = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+        ids = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):
+            # As many words as lie in a piece, one at least.
+            stop = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, "right")))
+            lo, hi = int(starts[at]), int(ends[stop - 1])
+            if stop == at + 1 and hi - lo > LONG_WORD:
+                ids[at] = xxhash.xxh3_64_intdigest(text[lo:hi])
+                at = stop
+                continue
+            sums = self.bytes.sums(_BYTES[data[lo:hi]])
+            first, length = starts[at:stop] - lo, ends[at:stop] - starts[at:stop]
+            h = (sums[first + length] - sums[first]) * self.bytes.inverses[first]
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0xFF51AFD7ED558CCD)
+            ids[at:stop] = h ^ (h >> np.uint64(29))
+            for i in np.flatnonzero(length > LONG_WORD).tolist():
+                ids[at + i] = xxhash.xxh3_64_intdigest(text[starts[at + i] : ends[at + i]])
+            at = stop
+        return ids
 
     def set_of(self, text: bytes | None) -> np.ndarray:
         """Sorted distinct hashes; one for the whole of a shorter text, none for one without words."""
-        words = text.translate(_LOWER).split() if text else []
-        if not words:
+        words = self.word_ids(text.translate(_LOWER)) if text else np.empty(0, np.uint64)
+        if not len(words):
             return np.empty(0, np.uint64)
-        sums = self.rolling.sums(np.array(list(map(self.ids.__getitem__, words)), np.uint64))
-        return np.unique(self.rolling.hashes(sums, min(SHINGLE, len(words))))
+        hashes = self.words.hashes(self.words.sums(words), min(SHINGLE, len(words)))
+        hashes.sort()
+        new = np.ones(len(hashes), bool)
+        np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+        return hashes[new]
 
 
 def mixed(tokens: np.ndarray, seed: int) -> np.ndarray:
@@ -69,10 +113,16 @@ def buckets_of(tokens: np.ndarray, order: int) -> np.ndarray:
     return (mixed(tokens, order) >> np.uint64(44)).astype(np.int64)
 
 
-def in_order(tokens: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
-    """The tokens sorted by the order: rare buckets first, then by hash; ties by the token itself."""
+def first_in_order(tokens: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
+    """The prefix of the tokens under the order: rare buckets first, then by hash; ties by the token itself."""
     full = np.minimum(counts[order][buckets_of(tokens, order)], (1 << 30) - 1).astype(np.uint64)
-    return tokens[np.argsort((full << np.uint64(34)) | (mixed(tokens, order + ORDERS) >> np.uint64(30)), kind="stable")]
+    keys = (full << np.uint64(34)) | (mixed(tokens, order + ORDERS) >> np.uint64(30))
+    size = prefix_size(len(tokens))
+    if size == len(tokens):
+        return tokens[np.argsort(keys, kind="stable")]
+    # Ties at the cut must fall the same way for all texts: everything up to the cut's key is sorted, then cut.
+    near = np.flatnonzero(keys <= np.partition(keys, size - 1)[size - 1])
+    return tokens[near[np.argsort(keys[near], kind="stable")]][:size]
 
 
 def prefix_size(n: int) -> int:
@@ -103,7 +153,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for text in batch.column(1):
             tokens = shingler.set_of(text.as_py())
-            least = [int(mixed(tokens, seed).min().view(np.int64)) for seed in range(HUB_HASHES)] if len(tokens) else None
+            least = [int((tokens * np.uint64(_ODD[seed])).min().view(np.int64)) for seed in range(HUB_HASHES)] if len(tokens) else None
             digest = [int(v.view(np.int64)) for v in (mixed(tokens, 8).sum(dtype=np.uint64), np.bitwise_xor.reduce(mixed(tokens, 9)))] if len(tokens) else [0, 0]
             pending.append(tokens)
             held += len(tokens)
@@ -155,44 +205,43 @@ def packed_texts(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return some.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")).mapInArrow(_packed, "doc_id long, packed binary")
 
 
-def hub_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs of a set's document and the smallest one that agrees with it in a smallest hash."""
-    each = nodes.select("doc_id", "n", F.posexplode("least").alias("seed", "hash"))
-    hubs = each.groupBy("seed", "hash").agg(F.min(F.struct("doc_id", "n")).alias("hub"), F.max("doc_id").alias("last")).filter("hub.doc_id < last").drop("last")
+def hub_pairs(each: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a set's document and the hub of those that agree with it in a smallest hash, of different components.
+
+    ``each`` has a row for each smallest hash. The first round's hub has the most support, that of later ones the
+    smallest hash of id and round.
+    """
+    rank = F.struct(-F.col("support"), "doc_id") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "doc_id"), "doc_id")
+    hubs = each.groupBy("seed", "hash").agg(F.min(F.struct(rank.alias("rank"), "doc_id", "n", "component")).alias("hub"), F.min("component").alias("one"), F.max("component").alias("other"))
     key = dealt_anew(F.col("hash")).alias("hash")
-    met = each.select("doc_id", "n", "seed", key).join(hubs.select("seed", key, "hub"), ["seed", "hash"]).filter((F.col("hub.doc_id") < F.col("doc_id")) & _sizes_fit(F.col("n"), F.col("hub.n")))
-    return met.groupBy(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b")).count().filter(F.col("count") >= HUB_AGREE).select("a", "b")
+    hubs = hubs.filter("one < other").select("seed", key, F.col("hub.doc_id").alias("hub_id"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component"))
+    met = each.select("doc_id", "n", "component", "seed", key).join(hubs, ["seed", "hash"]).filter((F.col("hub_component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("hub_n")))
+    pairs = met.groupBy(F.greatest("doc_id", "hub_id").alias("a"), F.least("doc_id", "hub_id").alias("b")).count()
+    return pairs.filter(F.col("count") >= HUB_AGREE).select("a", "b")
 
 
 def _sizes_fit(one, other):
     return (one * 100 >= other * PERCENT) & (other * 100 >= one * PERCENT)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, counts) -> DataFrame:
-    """The pairs whose texts pass the prefix filters of the other orders and are linked."""
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts are linked."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, unpack = Shingler(), zstandard.ZstdDecompressor()
-        held: OrderedDict[bytes, tuple] = OrderedDict()
+        held: OrderedDict[bytes, np.ndarray] = OrderedDict()
 
-        def prepared(packed: bytes) -> tuple:
+        def prepared(packed: bytes) -> np.ndarray:
             if packed in held:
                 held.move_to_end(packed)
                 return held[packed]
-            tokens = shingler.set_of(unpack.decompress(packed))
-            prefixes = [np.sort(in_order(tokens, counts.value, order)[: prefix_size(len(tokens))]) for order in range(1, ORDERS)]
-            held[packed] = tokens, prefixes
+            held[packed] = shingler.set_of(unpack.decompress(packed))
             if len(held) > 64:
                 held.popitem(last=False)
             return held[packed]
 
         for batch in batches:
-            right = []
-            for one, other in zip(batch.column(2), batch.column(3), strict=True):
-                (x, x_prefixes), (y, y_prefixes) = prepared(one.as_py()), prepared(other.as_py())
-                passed = all(len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x_prefixes, y_prefixes, strict=True))
-                right.append(passed and linked(x, y))
-            keep = pa.array(right, pa.bool_())
+            keep = pa.array([linked(prepared(one.as_py()), prepared(other.as_py())) for one, other in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     with_one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("packed").alias("one")), "a")
@@ -200,36 +249,51 @@ def verified(pairs: DataFrame, texts: DataFrame, counts) -> DataFrame:
     return with_both.select("a", "b", "one", "other").mapInArrow(judge, "a long, b long")
 
 
-def prefix_rows(members: DataFrame, counts) -> DataFrame:
-    """``token``, ``component``, ``doc_id``, ``n``, ``place`` of the first quarter of each set's tokens under the first order."""
+_PREFIXES = ", ".join(["doc_id long, n int, support double, prefix array<long>", *(f"prefix{order} array<int>" for order in range(1, ORDERS))])
+
+
+def prefixes(documents: DataFrame, counts) -> DataFrame:
+    """Of each text the first quarter of its tokens under each order, under all but the first as 32-bit hashes; and how frequent its tokens are."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, unpack = Shingler(), zstandard.ZstdDecompressor()
+        shingler = Shingler()
         for batch in batches:
-            rows, tokens, sizes, pending = [], [], [], 0
-            for i, packed in enumerate(batch.column(2)):
-                found = shingler.set_of(unpack.decompress(packed.as_py()))
-                if len(found):
-                    first = in_order(found, counts.value, 0)[: prefix_size(len(found))]
-                    rows.append(i)
-                    tokens.append(first)
-                    sizes.append(len(found))
-                    pending += len(first)
-                    if pending >= FLUSH_ROWS:
-                        yield pack(batch, rows, tokens, sizes)
-                        rows, tokens, sizes, pending = [], [], [], 0
-            if rows:
-                yield pack(batch, rows, tokens, sizes)
-
-    def pack(batch: pa.RecordBatch, rows: list, tokens: list, sizes: list) -> pa.RecordBatch:
-        lengths = [len(t) for t in tokens]
-        of = pa.array(np.repeat(rows, lengths))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(1).take(of), batch.column(0).take(of), pa.array(np.repeat(sizes, lengths).astype(np.int32)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]))],
-            ["token", "component", "doc_id", "n", "place"],
-        )
-
-    return members.select("doc_id", "component", "packed").mapInArrow(emit, "token long, component long, doc_id long, n int, place int")
+            for piece in slices(batch):
+                rows, sizes, support, found = [], [], [], [[] for _ in range(ORDERS)]
+                for i, text in enumerate(piece.column(1)):
+                    tokens = shingler.set_of(text.as_py())
+                    if len(tokens):
+                        rows.append(i)
+                        sizes.append(len(tokens))
+                        support.append(float(np.log2(counts.value[0][buckets_of(tokens, 0)] + 1.0).mean()))
+                        for order in range(ORDERS):
+                            found[order].append(first_in_order(tokens, counts.value, order))
+                if not rows:
+                    continue
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(t) for t in found[0]])]), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found[0]).view(np.int64)))]
+                lists += [pa.ListArray.from_arrays(offsets, pa.array((np.concatenate(f) >> np.uint64(32)).astype(np.uint32).view(np.int32))) for f in found[1:]]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0).take(pa.array(rows)), pa.array(sizes, pa.int32()), pa.array(support), *lists], ["doc_id", "n", "support", "prefix", *(f"prefix{order}" for order in range(1, ORDERS))]
+                )
+
+    return documents.mapInArrow(emit, _PREFIXES)
+
+
+def prefix_rows(placed: DataFrame) -> DataFrame:
+    """``token``, ``component``, ``doc_id``, ``n``, ``place`` of each set's prefix under the first order."""
+    each = placed.select("component", "doc_id", "n", F.posexplode("prefix").alias("place", "token"))
+    return each.select("token", "component", "doc_id", "n", "place")
+
+
+def sharing_all(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose prefixes have a token in common under every order but the first, which dealt them out."""
+    names = [f"prefix{order}" for order in range(1, ORDERS)]
+    if not names:
+        return pairs
+    side = lambda of: sets.select(F.col("doc_id").alias(of), *(F.col(n).alias(f"{of}_{n}") for n in names))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.filter(reduce(lambda x, y: x & y, [F.arrays_overlap(f"a_{n}", f"b_{n}") for n in names])).select("a", "b").distinct()
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,6 +328,11 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     return x.join(y, (F.col("x.token") == F.col("y.token")) & fits).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
 
 
+def _placed(rows: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The rows with their component; a document without links is its own."""
+    return rows.join(grouped, F.col("doc_id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc_id")).drop("node")
+
+
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """``doc_id``, ``n_shingles``, ``component_id`` of each row, and the verified links (``a`` > ``b``) between different sets.
 
@@ -280,14 +349,30 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     nodes = written(sets.groupBy("d1", "d2", "n", "least").agg(F.min("doc_id").alias("doc_id")), "distinct-sets")
     texts = packed_texts(documents, doc_id, text)
 
-    near = written(verified(hub_pairs(nodes), texts, counts), "hub-links")
-    grouped = components(near, "hub-components")
-    placed = nodes.select("doc_id").distinct().join(grouped, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
-    members = texts.join(placed.withColumnRenamed("doc_id", "placed"), F.col("doc_id") == F.col("placed")).select("doc_id", "component", "packed")
-    far = written(verified(cross_pairs(prefix_rows(members, counts)), texts, counts), "cross-links")
+    found = written(prefixes(rows.filter("doc_id is not null and text is not null"), counts), "prefixes")
+    support = found.groupBy("doc_id").agg(F.max("support").alias("support"))
+    hashes = written(nodes.join(support, "doc_id").select("doc_id", "n", "support", F.posexplode("least").alias("seed", "hash")), "hub-hashes")
+    # A hash that one set has alone makes no pair in any round.
+    shared = hashes.groupBy("seed", "hash").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("other")).filter("one < other").select("seed", dealt_anew(F.col("hash")).alias("hash"))
+    hashes = written(hashes.withColumn("hash", dealt_anew(F.col("hash"))).join(shared, ["seed", "hash"]), "hub-candidates")
+    near, grouped = spark.createDataFrame([], "a long, b long"), None
+    for turn in range(HUB_ROUNDS):
+        each = hashes.withColumn("component", F.col("doc_id")) if grouped is None else _placed(hashes, grouped)
+        pairs = written(hub_pairs(each, turn), f"hub-pairs-{turn}")
+        new = written(verified(pairs, texts), f"hub-links-{turn}")
+        tried, linked_now = pairs.count(), new.count()
+        near = near.unionByName(new)
+        if linked_now:
+            grouped = written(components(near, f"hub-components-{turn}"), f"hub-groups-{turn}")
+        if linked_now < HUB_YIELD * tried or not tried:
+            break
+    sets_placed = found.withColumn("component", F.col("doc_id")) if grouped is None else _placed(found, grouped)
+    kept = sets_placed.join(nodes.select("doc_id").distinct(), "doc_id", "left_semi")
+    candidates = sharing_all(cross_pairs(prefix_rows(kept)), found)
+    far = written(verified(candidates, texts), "cross-links")
 
     copies = sets.join(nodes.select("d1", "d2", "n", F.col("doc_id").alias("b")), ["d1", "d2", "n"]).select(F.col("doc_id").alias("a"), "b")
     links = near.unionByName(far).distinct()
-    found = components(reduce(DataFrame.unionByName, [links, copies]), "near-components")
-    out = profiles.filter("n is not null").join(found, F.col("doc_id") == F.col("node"), "left")
+    all_links = components(reduce(DataFrame.unionByName, [links, copies]), "near-components")
+    out = profiles.filter("n is not null").join(all_links, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")), links
