@@ -199,10 +199,10 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([squeeze.compress(t.as_py()) for t in batch.column(1)], pa.binary())], ["doc_id", "packed"])
 
 
-def packed_texts(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id`` and the compressed text of the documents that can have links."""
-    some = documents.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull())
-    return some.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")).mapInArrow(_packed, "doc_id long, packed binary")
+def of_pairs(rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """The rows of the documents that are in a pair; the ids are a written table, so that their size is known to the join."""
+    ids = pairs.select(F.col("a").alias("in_pair")).unionByName(pairs.select(F.col("b").alias("in_pair"))).distinct()
+    return rows.join(written(ids, name), F.col("doc_id") == F.col("in_pair"), "left_semi")
 
 
 def hub_pairs(each: DataFrame, turn: int) -> DataFrame:
@@ -224,8 +224,9 @@ def _sizes_fit(one, other):
     return (one * 100 >= other * PERCENT) & (other * 100 >= one * PERCENT)
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts are linked."""
+def verified(pairs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """The pairs (a written table) whose texts are linked. Only texts in a pair are packed and shuffled."""
+    texts = of_pairs(rows.filter("text is not null"), pairs, f"{name}-ids").mapInArrow(_packed, "doc_id long, packed binary")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, unpack = Shingler(), zstandard.ZstdDecompressor()
@@ -246,38 +247,51 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     with_one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("packed").alias("one")), "a")
     with_both = with_one.join(texts.select(F.col("doc_id").alias("b"), F.col("packed").alias("other")), "b")
-    return with_both.select("a", "b", "one", "other").mapInArrow(judge, "a long, b long")
-
-
-_PREFIXES = ", ".join(["doc_id long, n int, support double, prefix array<long>", *(f"prefix{order} array<int>" for order in range(1, ORDERS))])
+    return written(with_both.select("a", "b", "one", "other").mapInArrow(judge, "a long, b long"), name)
 
 
 def prefixes(documents: DataFrame, counts) -> DataFrame:
-    """Of each text the first quarter of its tokens under each order, under all but the first as 32-bit hashes; and how frequent its tokens are."""
+    """``doc_id``, ``n``, ``support``, ``prefix``: size of each set, how frequent its tokens are, and the first quarter of them under the first order."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
             for piece in slices(batch):
-                rows, sizes, support, found = [], [], [], [[] for _ in range(ORDERS)]
+                rows, sizes, support, found = [], [], [], []
                 for i, text in enumerate(piece.column(1)):
                     tokens = shingler.set_of(text.as_py())
                     if len(tokens):
                         rows.append(i)
                         sizes.append(len(tokens))
                         support.append(float(np.log2(counts.value[0][buckets_of(tokens, 0)] + 1.0).mean()))
-                        for order in range(ORDERS):
-                            found[order].append(first_in_order(tokens, counts.value, order))
-                if not rows:
-                    continue
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(t) for t in found[0]])]), pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found[0]).view(np.int64)))]
-                lists += [pa.ListArray.from_arrays(offsets, pa.array((np.concatenate(f) >> np.uint64(32)).astype(np.uint32).view(np.int32))) for f in found[1:]]
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0).take(pa.array(rows)), pa.array(sizes, pa.int32()), pa.array(support), *lists], ["doc_id", "n", "support", "prefix", *(f"prefix{order}" for order in range(1, ORDERS))]
-                )
+                        found.append(first_in_order(tokens, counts.value, 0).view(np.int64))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(rows)), pa.array(sizes, pa.int32()), pa.array(support), _lists(found)], ["doc_id", "n", "support", "prefix"])
+
+    return documents.mapInArrow(emit, "doc_id long, n int, support double, prefix array<long>")
+
 
-    return documents.mapInArrow(emit, _PREFIXES)
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(a) for a in arrays])]), pa.int32()), pa.array(np.concatenate(arrays)))
+
+
+def other_prefixes(documents: DataFrame, counts) -> DataFrame:
+    """``doc_id`` and the prefix under every order but the first, as 32-bit hashes: what two have in common they have in common here."""
+    names = [f"prefix{order}" for order in range(1, ORDERS)]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            for piece in slices(batch):
+                found = [[] for _ in names]
+                for text in piece.column(1):
+                    tokens = shingler.set_of(text.as_py())
+                    for order, lists in enumerate(found, 1):
+                        first = first_in_order(tokens, counts.value, order) if len(tokens) else tokens
+                        lists.append((first >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                yield pa.RecordBatch.from_arrays([piece.column(0), *map(_lists, found)], ["doc_id", *names])
+
+    return documents.mapInArrow(emit, ", ".join(["doc_id long", *(f"{n} array<int>" for n in names)]))
 
 
 def prefix_rows(placed: DataFrame) -> DataFrame:
@@ -347,9 +361,8 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     counts = spark.sparkContext.broadcast(token_counts(profiles))
     sets = profiles.filter("n > 0 and doc_id is not null")
     nodes = written(sets.groupBy("d1", "d2", "n", "least").agg(F.min("doc_id").alias("doc_id")), "distinct-sets")
-    texts = packed_texts(documents, doc_id, text)
-
-    found = written(prefixes(rows.filter("doc_id is not null and text is not null"), counts), "prefixes")
+    documents = rows.filter("doc_id is not null")
+    found = written(prefixes(documents.filter("text is not null"), counts), "prefixes")
     support = found.groupBy("doc_id").agg(F.max("support").alias("support"))
     hashes = written(nodes.join(support, "doc_id").select("doc_id", "n", "support", F.posexplode("least").alias("seed", "hash")), "hub-hashes")
     # A hash that one set has alone makes no pair in any round.
@@ -359,7 +372,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     for turn in range(HUB_ROUNDS):
         each = hashes.withColumn("component", F.col("doc_id")) if grouped is None else _placed(hashes, grouped)
         pairs = written(hub_pairs(each, turn), f"hub-pairs-{turn}")
-        new = written(verified(pairs, texts), f"hub-links-{turn}")
+        new = verified(pairs, documents, f"hub-links-{turn}")
         tried, linked_now = pairs.count(), new.count()
         near = near.unionByName(new)
         if linked_now:
@@ -368,8 +381,9 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
             break
     sets_placed = found.withColumn("component", F.col("doc_id")) if grouped is None else _placed(found, grouped)
     kept = sets_placed.join(nodes.select("doc_id").distinct(), "doc_id", "left_semi")
-    candidates = sharing_all(cross_pairs(prefix_rows(kept)), found)
-    far = written(verified(candidates, texts), "cross-links")
+    pairs = written(cross_pairs(prefix_rows(kept)), "cross-pairs")
+    others = written(other_prefixes(of_pairs(documents, pairs, "cross-ids"), counts), "other-prefixes")
+    far = verified(written(sharing_all(pairs, others), "candidates"), documents, "cross-links")
 
     copies = sets.join(nodes.select("d1", "d2", "n", F.col("doc_id").alias("b")), ["d1", "d2", "n"]).select(F.col("doc_id").alias("a"), "b")
     links = near.unionByName(far).distinct()
