@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidegate.functions.times import as_timestamp
 from tidegate.operators.ordered import ordinal
 from tidegate.operators.validate import parsed_once
 from tidegate.schema import LOG_SCHEMA
@@ -53,22 +54,30 @@ def slowest(log: DataFrame, by: str = "partition_id", k: int | None = 10) -> Dat
     return ranked.limit(k) if k else ranked
 
 
-def silences(log: DataFrame, ts: str = "ts", by: list[str] | None = None, minutes: int = 15) -> DataFrame:
+def silences(log: DataFrame, ts: str = "ts", by: list[str] | None = None, minutes: int = 15, as_of=None) -> DataFrame:
     """(Specified here.) Gaps of more than ``minutes`` between consecutive lines.
 
     Two lines in the same slot of that length are never that far apart, so only
     the first and last line of each slot matter: the window sees one row per slot.
+    With ``as_of``, a silence that still goes on then is reported as well, with a NULL ``silent_until`` and its length so
+    far; lines after ``as_of`` do not count.
     """
-    keys = by or []
-    slot = F.floor(F.unix_micros(ts) / (minutes * 60_000_000)).alias("slot")
-    slots = log.groupBy(*keys, slot).agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+    keys, limit = by or [], minutes * 60_000_000
+    seen = log if as_of is None else log.where(F.col(ts) <= as_timestamp(as_of))
+    slot = F.floor(F.unix_micros(ts) / limit).alias("slot")
+    slots = seen.groupBy(*keys, slot).agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
     previous = F.lag("last_ts").over(Window.partitionBy(*keys).orderBy("slot"))
     gap = F.unix_micros("first_ts") - F.unix_micros("silent_from")
-    return (
+    closed = (
         slots.withColumn("silent_from", previous)
-        .where(gap > minutes * 60_000_000)
+        .where(gap > limit)
         .select(*keys, "silent_from", F.col("first_ts").alias("silent_until"), (gap / 1e6).alias("gap_seconds"))
     )
+    if as_of is None:
+        return closed
+    so_far = F.unix_micros(as_timestamp(as_of)) - F.unix_micros("silent_from")
+    last = slots.groupBy(*keys).agg(F.max("last_ts").alias("silent_from")).where(so_far > limit)
+    return closed.unionByName(last.select(*keys, "silent_from", F.lit(None).cast("timestamp").alias("silent_until"), (so_far / 1e6).alias("gap_seconds")))
 
 
 def sample_every(log: DataFrame, n: int = 100, by: str = "operation", order: list[str] | None = None) -> DataFrame:

@@ -45,22 +45,28 @@ def validate_schema(df: DataFrame, text: str = "value", schema: StructType = CHA
     required column that is NULL or blank, ``type:<column>`` for a value of another JSON type: a
     quoted number is no number, a number no text.
     """
-    record = F.try_parse_json(text)
-    parsed = df.select(F.col(text).alias("raw"), parsed_once(F.struct(record.alias("_v"))))
-    broken = F.coalesce(~F.schema_of_variant("_v").startswith("OBJECT"), F.lit(True))
-    reasons, columns = [F.when(broken, F.lit("malformed"))], []
+    kind = {f.name: f.dataType.simpleString() for f in schema}
+    # Four steps behind generators, each evaluated once per row: parse, find the fields, type them, judge them.
+    parsed = df.select(F.col(text).alias("raw"), parsed_once(F.struct(F.try_parse_json(text).alias("_v"))))
+    fields = [F.try_variant_get("_v", f"$.{name}", "variant").alias(f"_v_{name}") for name in kind]
+    # An object begins with a brace; naming the whole record's schema would go through all of its values.
+    broken = (F.col("_v").isNull() | ~F.col("raw").rlike(r"^\s*\{")).alias("_broken")
+    found = parsed.select("raw", parsed_once(F.struct(broken, *fields)))
+    kinds = [F.schema_of_variant(f"_v_{name}").alias(f"_k_{name}") for name in kind]
+    values = [F.try_variant_get(f"_v_{name}", "$", of).alias(f"_x_{name}") for name, of in kind.items()]
+    typed = found.select("raw", parsed_once(F.struct(F.col("_broken"), *kinds, *values)))
+    reasons, columns = [F.when(F.col("_broken"), F.lit("malformed"))], []
     for field in schema:
-        path = f"$.{field.name}"
-        kind = F.schema_of_variant(F.try_variant_get("_v", path, "variant"))
-        value = F.try_variant_get("_v", path, field.dataType.simpleString())
-        fits = kind == _ACCEPTED[field.dataType.simpleString()]
-        columns.append(F.when(fits, value).alias(field.name))
-        given = F.coalesce(kind != "VOID", F.lit(False))
+        name, value = field.name, F.col(f"_x_{field.name}")
+        fits = F.coalesce(F.col(f"_k_{name}") == _ACCEPTED[kind[name]], F.lit(False))
+        given = F.coalesce(F.col(f"_k_{name}") != "VOID", F.lit(False))
+        columns.append(F.when(fits, value).alias(name))
         if not field.nullable:
             empty = ~given | F.coalesce(F.trim(value.cast("string")) == "", F.lit(False))
-            reasons.append(F.when(~broken & empty, F.lit(f"missing:{field.name}")))
-        reasons.append(F.when(~broken & given & ~fits, F.lit(f"type:{field.name}")))
-    return parsed.select(*columns, "raw", F.array_compact(F.array(*reasons)).alias("reasons"))
+            reasons.append(F.when(~F.col("_broken") & empty, F.lit(f"missing:{name}")))
+        reasons.append(F.when(~F.col("_broken") & given & ~fits, F.lit(f"type:{name}")))
+    judged = typed.select("raw", parsed_once(F.struct(*columns, F.array_compact(F.array(*reasons)).alias("reasons"))))
+    return judged.select(*kind, "raw", "reasons")
 
 
 def blank(key: Column) -> Column:

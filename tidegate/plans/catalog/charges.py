@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidegate.functions import scores, text, times
-from tidegate.operators import customers, dedup, enrich, filters, quality, trends, validate
+from tidegate.operators import customers, dedup, enrich, filters, quality, sketches, trends, validate
 from tidegate.plans import tables
 from tidegate.plans.catalog import query
 from tidegate.plans.oracle import (
@@ -536,3 +536,23 @@ def metric_anomalies(spark, sf):
         F.count("*").cast("double").alias("value")
     )
     return trends.metric_anomalies(daily, limit=2.0, fill=0.0)
+
+
+@query(
+    "sketch_rollforward",
+    with_(CHARGES, LATEST) + "SELECT currency, count(*) AS records, TRUE AS distinct_within, TRUE AS median_within FROM latest GROUP BY currency",
+)
+def sketch_rollforward(spark, sf):
+    """Sketches of monthly runs, merged without the rows, against the exact figures: four standard errors of each."""
+    rows = dedup.keep_latest(tables.charges(spark, sf), ["id"], dedup.CHARGE_ORDER)
+    runs = rows.withColumn("run", F.date_format(times.created_timestamp(F.col("created")), "yyyy-MM"))
+    merged = sketches.merge_sketches(sketches.partial_sketches(runs, ["run", "currency"], "customer", "amount"), ["currency"])
+    found = merged.select(F.col("currency").alias("of"), "records", "distinct_keys", "quantile")
+    exact = rows.join(found, F.col("currency").eqNullSafe(F.col("of"))).groupBy("currency", "records").agg(
+        F.countDistinct("customer").alias("keys"),
+        F.first("distinct_keys").alias("distinct_keys"),
+        F.avg((F.col("amount") < F.col("quantile")).cast("int")).alias("below"),
+        F.avg((F.col("amount") <= F.col("quantile")).cast("int")).alias("upto"),
+    )
+    near = F.abs(F.col("distinct_keys") - F.col("keys")) <= F.ceil(F.col("keys") * 4 * 0.0082)
+    return exact.select("currency", "records", near.alias("distinct_within"), ((F.col("below") <= 0.504) & (F.col("upto") >= 0.496)).alias("median_within"))

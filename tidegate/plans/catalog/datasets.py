@@ -4,14 +4,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from tidegate.operators import dedup, layout, quality
+from tidegate.operators import dedup, layout, quality, reconcile
 from tidegate.plans import tables
 from tidegate.plans.catalog import query
 from tidegate.plans.catalog.charges import enriched_latest
 from tidegate.plans.oracle import CHARGES, ENRICHED, LATEST, day_text, with_
 from tidegate.plans.preflight import preflight as run_preflight
 from tidegate.session import scratch_path, staged_path
-from tidegate.sinks import datasets
+from tidegate.sinks import datasets, maintenance
 
 _AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
 _EVENT = "event_id, user_id, event_type, value"
@@ -221,3 +221,63 @@ def preflight(spark, sf):
         scratch_path(spark, "preflight"),
         scratch_path(spark, "no-runs-yet"),
     )
+
+
+def _three_runs(spark, sf, name):
+    """The events as three committed runs, each with a few rows of every date."""
+    root, rows = scratch_path(spark, name), _events(spark, sf)
+    for part in range(3):
+        datasets.write_run(rows.where(F.col("event_id") % 3 == part), root, f"run-{part}")
+        datasets.commit_run(spark, root, f"run-{part}", 0, _AT)
+    return root
+
+
+@query(
+    "compacted_rows",
+    f"""SELECT {_EVENT}, {day_text('ts')} AS dt, 'compact-1' AS run_id FROM events""",
+)
+def compacted_rows(spark, sf):
+    """The rows of three runs after a compaction: the same, in the run that replaces them."""
+    root = _three_runs(spark, sf, "compaction")
+    maintenance.compact(spark, root, "compact-1", _AT)
+    return datasets.read_committed(spark, root)
+
+
+@query(
+    "compacted_files",
+    f"""SELECT {day_text('ts')} AS dt, count(*) AS records, 1::BIGINT AS files FROM events GROUP BY 1""",
+)
+def compacted_files(spark, sf):
+    """Files that a reader opens for each date after the compaction of three runs."""
+    root = _three_runs(spark, sf, "compaction")
+    maintenance.compact(spark, root, "compact-1", _AT)
+    files = maintenance.visible_files(spark, root).groupBy("dt").agg(F.count("*").alias("files"))
+    return datasets.read_committed(spark, root).groupBy("dt").agg(F.count("*").alias("records")).join(files, "dt")
+
+
+@query(
+    "retained_rows",
+    f"""SELECT {_EVENT}, {day_text('ts')} AS dt FROM events WHERE ts >= TIMESTAMP '2024-01-11'""",
+)
+def retained_rows(spark, sf):
+    """Readers do not see dates that have expired, whether or not their files are gone."""
+    root = _three_runs(spark, sf, "retention")
+    at = datetime(2024, 1, 31)
+    maintenance.expire(spark, root, "expire-1", at, 20)
+    maintenance.vacuum(spark, root, at)
+    return datasets.read_committed(spark, root).drop("run_id")
+
+
+@query(
+    "reconcile_changed",
+    with_(CHARGES)
+    + """SELECT id, created, count(*) AS source_rows, 0::BIGINT AS written_rows FROM charges
+    WHERE id <> '' AND created % 7 = 0 AND make_timestamp(created * 1000000)::DATE BETWEEN DATE '1996-03-01' AND DATE '1996-03-31' GROUP BY ALL""",
+)
+def reconcile_changed(spark, sf):
+    """Charges against a copy that lacks a seventh of one month; the other months agree by checksum."""
+    keys = ["id", "created"]
+    rows = tables.charges(spark, sf).where("id <> ''").select(*keys, F.to_date(F.timestamp_seconds("created")).alias("dt"))
+    month = F.col("dt").between(F.lit("1996-03-01").cast("date"), F.lit("1996-03-31").cast("date"))
+    copy = rows.where(~(month & (F.col("created") % 7 == 0)))
+    return reconcile.reconcile_changed(rows, copy, keys, reconcile.checksums(rows, keys), reconcile.checksums(copy, keys))

@@ -6,7 +6,7 @@ from tidegate.operators import checkpoints, chunks, dedup
 from tidegate.plans import tables
 from tidegate.plans.catalog import query
 from tidegate.plans.catalog.charges import RUN_ID_SQL, run_id_column
-from tidegate.plans.catalog.pages import CHUNKS_DAY, COUNTED_DAY, event_chunks
+from tidegate.plans.catalog.pages import CHUNKS_DAY, CHUNKS_HOUR, COUNTED_DAY, COUNTED_HOUR, event_chunks
 from tidegate.plans.oracle import CHARGES, CHECKPOINTS, LATEST, RUNS, ts_text, with_
 from tidegate.schema import CHARGE_COLUMNS
 
@@ -173,3 +173,24 @@ def extraction_rate(spark, sf):
     return checkpoints.extraction_rate(tables.job_runs(spark, sf)).select(
         "job_id", "run_no", "records", "records_per_hour"
     )
+
+
+def read_chunks(spark, sf):
+    """Hourly chunks as two runs left them: every eleventh failed, and of these every third was read again."""
+    counted = event_chunks(spark, sf, 1).select("chunk_no", F.unix_seconds("start_ts").alias("start_s"), F.unix_seconds("end_ts").alias("end_s"), "records")
+    first = counted.withColumn("failed", F.col("chunk_no") % 11 == 5)
+    again = counted.where("chunk_no % 33 = 5").withColumn("failed", F.lit(False))
+    return first.unionByName(again)
+
+
+@query(
+    "chunk_gaps",
+    with_(CHUNKS_HOUR, COUNTED_HOUR)
+    + """SELECT CAST(floor(epoch(min(start_ts))) AS BIGINT) AS start_s, CAST(floor(epoch(max(end_ts))) AS BIGINT) AS end_s
+    FROM (SELECT *, chunk_no - row_number() OVER (ORDER BY chunk_no) AS island FROM counted WHERE chunk_no % 11 = 5 AND chunk_no % 33 <> 5)
+    GROUP BY island""",
+)
+def chunk_gaps(spark, sf):
+    """What the next run has to read before anything new."""
+    states = read_chunks(spark, sf)
+    return chunks.coverage_gaps(states, states.select(F.min("start_s")).scalar(), states.select(F.max("end_s")).scalar())

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tidegate.operators import logs, requests, runs
+from tidegate.operators import logs, quantiles, requests, runs
 from tidegate.plans import tables
 from tidegate.plans.catalog import query
+from tidegate.plans.run_states import with_lost
 from tidegate.plans.oracle import LOG, REQUESTS, RUNS, day_text, ts_text, with_
 
 _HEALTH = """count(*) AS total_requests, count(*) FILTER (status = 429) AS total_rate_limit_hits,
@@ -244,3 +245,54 @@ numbered AS (
 )
 def log_durations(spark, sf):
     return logs.operation_times(timing_lines(spark, sf), ["ts", "seq"])
+
+
+@query(
+    "run_states_lost",
+    with_(RUNS)
+    + f"""SELECT job_id, run_no, CASE WHEN lost THEN 'lost' ELSE status END AS status,
+    {ts_text("CASE WHEN lost THEN start_time + INTERVAL 1 HOUR WHEN status <> 'running' THEN end_time END")} AS end_time
+    FROM (SELECT *, status = 'running' AND start_time + INTERVAL 1 HOUR < TIMESTAMP '1996-06-01' AS lost FROM job_runs)""",
+)
+def run_states_lost(spark, sf):
+    """A run that began and never ended is lost once its lease has run out."""
+    log = tables.job_runs(spark, sf)
+    lease = F.col("start_time") + F.make_dt_interval(hours=F.lit(1))
+    begun = log.select("job_id", "run_no", F.lit("running").alias("status"), F.lit(None).cast("timestamp").alias("end_time"), lease.alias("lease_until"), F.col("start_time").alias("updated_at"))
+    ended = log.where("status <> 'running'").select("job_id", "run_no", "status", "end_time", F.lit(None).cast("timestamp").alias("lease_until"), F.col("end_time").alias("updated_at"))
+    latest = runs.latest_run_state(begun.unionByName(ended))
+    return with_lost(latest, "1996-06-01").select("job_id", "run_no", "status", "end_time")
+
+
+@query(
+    "log_silences_open",
+    with_(LOG)
+    + f"""SELECT operation, partition_id, {ts_text('prev')} AS silent_from, {ts_text('ts')} AS silent_until,
+    round((epoch_us(coalesce(ts, TIMESTAMP '2024-01-20')) - epoch_us(prev)) / 1e6, 6) AS gap_seconds FROM (
+      SELECT operation, partition_id, ts, lag(ts) OVER (PARTITION BY operation, partition_id ORDER BY ts) AS prev FROM log WHERE ts <= TIMESTAMP '2024-01-20'
+      UNION ALL SELECT operation, partition_id, NULL, max(ts) FROM log WHERE ts <= TIMESTAMP '2024-01-20' GROUP BY 1, 2)
+    WHERE epoch_us(coalesce(ts, TIMESTAMP '2024-01-20')) - epoch_us(prev) > 3600000000""",
+)
+def log_silences_open(spark, sf):
+    """Silences of over an hour up to a moment at which some still go on."""
+    return logs.silences(tables.log_lines(spark, sf), by=["operation", "partition_id"], minutes=60, as_of="2024-01-20")
+
+
+@query(
+    "lineitem_medians",
+    """SELECT l_returnflag, l_linestatus, round(median(l_extendedprice::DOUBLE), 6) AS quantile FROM lineitem GROUP BY 1, 2""",
+)
+def lineitem_medians(spark, sf):
+    """Exact medians of large groups, none of which is ever in one task."""
+    return quantiles.exact_quantile(tables.load(spark, sf, "lineitem"), "l_extendedprice", 0.5, ["l_returnflag", "l_linestatus"])
+
+
+@query(
+    "task_skew",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice, median FROM (SELECT *, median(l_extendedprice::DOUBLE) OVER (PARTITION BY l_returnflag) AS median FROM lineitem)
+    WHERE l_extendedprice > 1.9 * median""",
+)
+def task_skew(spark, sf):
+    """Line items as tasks of their flag's stage: those far above the stage's median."""
+    rows = tables.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
+    return quantiles.skewed_rows(rows, "l_extendedprice", 1.9, ["l_returnflag"]).drop("l_returnflag")

@@ -245,3 +245,23 @@ def multi_source_union(spark, sf):
         "events",
     )
     return validate.union_sources(charges, events)
+
+
+@query(
+    "chunk_forecast",
+    with_(
+        """
+means AS (
+  SELECT h AS hour_of_day, coalesce(n, 0) / 20::DOUBLE AS records FROM (SELECT unnest(range(24)) AS h)
+  LEFT JOIN (SELECT hour(ts) AS h, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-21' GROUP BY 1) USING (h))"""
+    )
+    + f"""SELECT row_number() OVER (ORDER BY s) - 1 AS chunk_no, {ts_text('s')} AS start_ts, {ts_text('s + INTERVAL 1 HOUR')} AS end_ts, round(records, 6) AS records
+    FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-21', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS s) JOIN means ON hour(s) = hour_of_day""",
+)
+def chunk_forecast(spark, sf):
+    """Records to expect in each hour of the last ten days, from those of the twenty days before."""
+    seen = tables.load(spark, sf, "events").where(chunks.in_range(F.col("ts"), F.lit("2024-01-01").cast("timestamp_ntz"), F.lit("2024-01-21").cast("timestamp_ntz")))
+    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600) * 3600
+    history = seen.groupBy(hour.alias("hour_s")).agg(F.count("*").alias("records"))
+    covered = chunks.plan_chunks(spark, "2024-01-01", "2024-01-21", 1).select(F.unix_seconds("start_ts").alias("hour_s"))
+    return chunks.forecast_counts(history, covered, chunks.plan_chunks(spark, "2024-01-21", "2024-01-31", 1))

@@ -62,3 +62,34 @@ def stream_sink(spark, sf):
     stream = jobs.read_files(spark, path, spark.read.parquet(path).schema)
     rows = jobs.run_to_batches(stream, scratch_path(spark, "batches"), scratch_path(spark, "state"), ["event_id"])
     return rows.select("event_id", "ts", "event_type", "value")
+
+
+@query("stream_dedup_stored", f"SELECT event_id, {ts_text('ts')} AS ts, event_type FROM events")
+def stream_dedup_stored(spark, sf):
+    """Every event arrives in a first run, and every third again in a second one, long after any watermark."""
+    root, state = scratch_path(spark, "stored"), scratch_path(spark, "state")
+    events = _events(spark, sf).withColumn("dt", F.to_date("ts"))
+    path = _stage(events, "arrivals")
+    stream = jobs.read_files(spark, path, events.schema)
+    jobs.run_deduplicated(stream, root, state, ["event_id"])
+    events.where("event_id % 3 = 0").write.mode("append").parquet(path)
+    return jobs.run_deduplicated(stream, root, state, ["event_id"]).select("event_id", "ts", "event_type")
+
+
+@query(
+    "stream_open_silences",
+    f"""SELECT key, {ts_text('max(ts)')} AS silent_from FROM (SELECT CAST(user_id AS VARCHAR) AS key, ts FROM events) GROUP BY key
+    HAVING max(ts) <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 MINUTE FROM events) - INTERVAL 1 DAY""",
+)
+def stream_open_silences(spark, sf):
+    """Users who had been silent for a day when the stream ended; its last batch knows of all lines."""
+    lines = _events_of_users(spark, sf)
+    path = scratch_path(spark, "lines")
+    lines.coalesce(1).write.parquet(path)
+    stream = jobs.read_files(spark, path, lines.schema)
+    alerts = jobs.open_silences(stream, "ts", "user_id", minutes=1440)
+    return jobs.run_to_parquet(alerts, scratch_path(spark, "silences"), scratch_path(spark, "state"))
+
+
+def _events_of_users(spark, sf):
+    return tables.load(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))

@@ -32,7 +32,7 @@ class CommitConflict(RuntimeError):
     """Another run committed something that excludes this commit."""
 
 
-def _store(spark: SparkSession, path: str):
+def store(spark: SparkSession, path: str):
     """The Hadoop path and its file system, as the session's settings resolve it."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -40,10 +40,10 @@ def _store(spark: SparkSession, path: str):
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the log in ascending order."""
-    path, store = _store(spark, f"{root}/commits")
-    if not store.exists(path):
+    path, files = store(spark, f"{root}/commits")
+    if not files.exists(path):
         return []
-    names = [status.getPath().getName() for status in store.listStatus(path)]
+    names = [status.getPath().getName() for status in files.listStatus(path)]
     return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith((".", "_")))
 
 
@@ -53,14 +53,14 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
     The content is written under another name first. A local file is then linked to its name, which fails if that is
     taken; other stores rename without overwriting.
     """
-    target, store = _store(spark, path)
+    target, files = store(spark, path)
     parent, name = path.rsplit("/", 1)
-    draft, _ = _store(spark, f"{parent}/_draft-{uuid.uuid4().hex}-{name}")
-    out = store.create(draft, True)
+    draft, _ = store(spark, f"{parent}/_draft-{uuid.uuid4().hex}-{name}")
+    out = files.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
     try:
-        if store.getUri().getScheme() == "file":
+        if files.getUri().getScheme() == "file":
             os.link(draft.toUri().getPath(), target.toUri().getPath())
             return True
         mode = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
@@ -76,7 +76,7 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
             raise
         return False
     finally:
-        store.delete(draft, False)
+        files.delete(draft, False)
 
 
 def read_log(spark: SparkSession, root: str, numbers: Iterable[int] | None = None) -> DataFrame:
@@ -108,11 +108,14 @@ def new_entry(kind: str, run_id: str, at: datetime, **fields) -> Entry:
     return {"kind": kind, "run_id": run_id, "committed_at": epoch_micros(at)} | fields
 
 
-def visible_runs(log: DataFrame) -> DataFrame:
-    """``run_id`` of the runs that a reader sees: committed and not replaced."""
-    committed = log.where(F.col("kind").isin("commit", "replace")).select("run_id").distinct()
-    replaced = log.select(F.explode("replaces").alias("run_id")).distinct()
-    return committed.join(replaced, "run_id", "left_anti")
+def committed_runs(log: DataFrame) -> DataFrame:
+    """``run_id`` of the runs with a commit; those of a compaction among them."""
+    return log.where(F.col("kind").isin("commit", "replace")).select("run_id").distinct()
+
+
+def replaced_parts(log: DataFrame) -> DataFrame:
+    """``part``: folders ``run_id=<run>/dt=<date>`` whose rows a compaction has rewritten."""
+    return log.select(F.explode("replaces").alias("part")).distinct()
 
 
 def first_visible_date(log: DataFrame) -> str | None:

@@ -114,13 +114,25 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
         return spark.createDataFrame([], schema)
 
 
+def visible(rows: DataFrame, log: DataFrame) -> DataFrame:
+    """Of rows with ``run_id`` and perhaps ``dt``, those that a reader of the log's state sees."""
+    seen = committed_rows(rows, commits.committed_runs(log))
+    if "dt" not in rows.columns:
+        return seen
+    expired = commits.first_visible_date(log)
+    if expired is not None:
+        seen = seen.where(F.col("dt") >= F.lit(expired).cast("date"))
+    replaced = commits.replaced_parts(log)
+    if replaced.isEmpty():
+        return seen
+    part = F.concat(F.lit("run_id="), F.col("run_id"), F.lit("/dt="), F.date_format("dt", "yyyy-MM-dd"))
+    return seen.join(replaced, part == F.col("part"), "left_anti")
+
+
 def read_committed(spark: SparkSession, root: str) -> DataFrame:
-    """All rows of visible runs, with ``run_id`` and the partition columns, without expired dates.
+    """All rows that are committed, not replaced and not expired, with ``run_id`` and the partition columns.
 
     The log is read before the folders are listed and does not change afterwards: a reader sees one state of the dataset.
     """
     log = commits.read_log(spark, root)
-    data = spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data")
-    expired = commits.first_visible_date(log) if "dt" in data.columns else None
-    rows = data if expired is None else data.where(F.col("dt") >= F.lit(expired).cast("date"))
-    return committed_rows(rows, commits.visible_runs(log))
+    return visible(spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data"), log)

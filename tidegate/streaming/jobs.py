@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidegate.operators.quality import FAILURE_RATE, WARNING_RATE
+from tidegate.sinks import commits, datasets
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -63,6 +66,68 @@ def windowed_quality(
     )
 
 
+def open_silences(stream: DataFrame, ts: str, by: str, minutes: int = 15, delay: str = "1 minute") -> DataFrame:
+    """Keys that fell silent: ``key``, ``silent_from``, as soon as the watermark is ``minutes`` past the key's last line.
+
+    The state of a key is the time of its last line, and a timer on event time reports it without a further line of
+    that key; others move the watermark. A key that speaks again starts anew. NULL is a key of its own.
+    """
+    import pandas as pd
+
+    limit = minutes * 60_000
+
+    def step(key, frames, state):
+        if state.hasTimedOut:
+            (last,) = state.get
+            state.remove()
+            yield pd.DataFrame({"key": [key[0]], "silent_from": pd.to_datetime([last], unit="us")})
+            return
+        latest = max((int(f["micros"].max()) for f in frames), default=None)
+        last = max(latest, state.get[0]) if state.exists else latest
+        due = last // 1000 + limit
+        if due <= state.getCurrentWatermarkMs():
+            state.remove()
+            yield pd.DataFrame({"key": [key[0]], "silent_from": pd.to_datetime([last], unit="us")})
+            return
+        state.update((last,))
+        state.setTimeoutTimestamp(due)
+
+    lines = stream.withWatermark(ts, delay).select(F.col(by).cast("string").alias("key"), F.col(ts).alias("_event_time"), F.unix_micros(F.col(ts).cast("timestamp")).alias("micros"))
+    return lines.groupBy("key").applyInPandasWithState(step, "key STRING, silent_from TIMESTAMP", "last BIGINT", "append", "EventTimeTimeout")
+
+
+def _new_rows(batch: DataFrame, stored: DataFrame, keys: list[str], dt: str) -> DataFrame:
+    """The batch's first row of each key that is not stored yet, comparing within the batch's dates only."""
+    dates = [r[0] for r in batch.select(dt).distinct().collect()]
+    known = stored.where(F.col(dt).isin(dates)).select(*[F.col(k).alias(f"_stored_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in keys])
+    return batch.dropDuplicates(keys).join(known, same, "left_anti")
+
+
+def run_deduplicated(stream: DataFrame, root: str, checkpoint: str, keys: list[str], dt: str = "dt") -> DataFrame:
+    """Append everything available to a committed dataset, each key once for good, and return what readers see.
+
+    A watermark forgets; a copy that arrives a day late, in another run, is still found in what is stored. Each
+    micro-batch is a run of its own: it is joined with the committed partitions of its dates (a copy keeps its
+    date), written and committed, and a batch that is replayed after its commit adds nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, run_id = batch.sparkSession, f"batch-{batch_id}"
+        log = commits.read_log(spark, root)
+        if batch.isEmpty() or not commits.committed_runs(log).where(F.col("run_id") == run_id).isEmpty():
+            return
+        stored = datasets.read_committed(spark, root) if commits.versions(spark, root) else None
+        fresh = batch.dropDuplicates(keys) if stored is None else _new_rows(batch, stored, keys, dt)
+        written = datasets.write_run(fresh, root, run_id, [dt])
+        rows = written.count()
+        datasets.commit_run(spark, root, run_id, rows, datetime.now(timezone.utc))
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return datasets.read_committed(stream.sparkSession, root)
+
+
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Append everything available to Parquet, exactly once, and return it read back."""
     writer = (
