@@ -112,3 +112,34 @@ def test_gaps_are_rows(spark, tmp_path):
     rows = warc.read_archives(spark, str(tmp_path)).collect()
     assert [(r["start"], r["end"]) for r in rows if r["kind"] == "gap"] == [(spans[2][0], spans[2][0] + 9)]
     assert sum(r["kind"] == "record" for r in rows) == 5
+
+
+def one_member(bodies, hurt=()):
+    """Records of one member; those in ``hurt`` have a digest that is not theirs."""
+    digest = lambda i, body: "00" if i in hurt else hashlib.sha256(body).hexdigest()
+    return b"".join(warc.record("response", f"urn:page:{i}", body, {"WARC-Payload-Digest": "sha256:" + digest(i, body)}) for i, body in enumerate(bodies))
+
+
+def test_a_bad_record_inside_a_member_costs_only_itself():
+    bodies = [b"a" * 50, b"WARC/1.1\r\n in a body", b"c" * 70_000, b""]
+    text = one_member(bodies, hurt=(1,))
+    after = warc.member(one_member([b"next"]))
+    salvage = warc.Salvage(warc.member(text) + after)
+    assert ids(salvage) == [0, 2, 3, 0]
+    first = len(one_member(bodies[:1]))
+    assert [g[:2] for g in salvage.gaps] == [(0, len(warc.member(text)))]
+    assert salvage.gaps[0][2] == f"record: digest differs (bytes {first} to {len(one_member(bodies[:2], hurt=(1,)))} of the member's content)"
+
+
+def test_a_member_that_breaks_off_keeps_the_records_before():
+    draw = random.Random(8)
+    bodies = [bytes(draw.randrange(256) for _ in range(4000)) for _ in range(40)]
+    data = warc.member(one_member(bodies))
+    cut = warc.Salvage(data[:-200])
+    assert ids(cut) == list(range(39)) and cut.gaps == [(0, len(data) - 200, "member: cut off")]
+    middle = len(data) // 2
+    flipped = data[:middle] + bytes(b ^ 0xFF for b in data[middle : middle + 40]) + data[middle + 40 :]
+    salvage = warc.Salvage(flipped + warc.member(one_member([b"next"])))
+    got = ids(salvage)
+    assert got[-1] == 0 and got[:-1] and set(got[:-1]) <= set(range(40)) and got[:18] == list(range(18))
+    assert salvage.gaps and all(start == 0 and end == len(data) for start, end, _ in salvage.gaps)

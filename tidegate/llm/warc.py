@@ -2,7 +2,8 @@
 
 An archive is a sequence of gzip members, one record in each. The reader checks
 every member and record; where a check fails it searches on for the next valid
-member or version line, goes on from there and logs the bytes in between.
+member or version line, goes on from there and logs the bytes in between. Inside a member of
+several records it does the same on the decompressed bytes, as far as they come out.
 Files are written and read by Spark, so any store that Spark reaches will do.
 """
 
@@ -145,39 +146,60 @@ class Salvage:
             if self.data[at] == 0 or self.data.startswith(b"\r\n", at):  # padding between members or records
                 at += 1
                 continue
-            found, reason = self._at(at)
-            if not found:
-                after = self._search(at + 1)
-                self.gaps.append((at, after, reason))
-                at = after
-                continue
+            found, end, reasons = self._at(at)
             yield from found
-            at = found[-1].end
+            if found and end is not None:
+                self.gaps += [(at, end, reason) for reason in reasons]
+                at = end
+                continue
+            after = self._search(at + 1)
+            self.gaps += [(at, after, reason) for reason in reasons]
+            at = after
+
+    def _at(self, at: int) -> tuple[list[Found], int | None, list[str]]:
+        """The valid records of the member or the record at a position, where it ends, and what had to be left out.
 
-    def _at(self, at: int) -> tuple[list[Found], str]:
-        """The records of the member or the record at a position, or why there is none."""
+        Without an end it is broken off, and the next valid position has to be searched for.
+        """
         if self.data.startswith(MAGIC, at):
-            inflate, parts, end = zlib.decompressobj(31), [], at
+            return self._member(at)
+        if _VERSION_LINE.match(self.data, at):
+            one, reason = _parse(self.data, at)
+            return ([one], one.end, []) if one else ([], None, [f"record: {reason}"])
+        return [], None, ["neither a member nor a version line"]
+
+    def _member(self, at: int) -> tuple[list[Found], int | None, list[str]]:
+        """Records of a member, those before and behind damage inside it too; of one that breaks off, what came out before."""
+        inflate, parts, end, broken = zlib.decompressobj(31), [], at, ""
+        while not inflate.eof and end < len(self.data) and not broken:
             try:
-                while not inflate.eof and end < len(self.data):
-                    parts.append(inflate.decompress(self.data[end : end + FEED]))
-                    end += FEED
+                parts.append(inflate.decompress(self.data[end : end + FEED]))
+                end += FEED
             except zlib.error as error:
-                return [], f"member: {error}"
-            if not inflate.eof:
-                return [], "member: cut off"
-            end, text, found, inner = min(end, len(self.data)) - len(inflate.unused_data), b"".join(parts), [], 0
-            while inner < len(text):
-                one, reason = _parse(text, inner)
-                if one is None:
-                    return [], f"record: {reason}"
-                found.append(Found(at, end, one.headers, one.body))
+                broken = f"member: {error}"
+                parts = [_until_error(self.data[at : end + FEED])]
+        if not broken and not inflate.eof:
+            broken = "member: cut off"
+        end = None if broken else min(end, len(self.data)) - len(inflate.unused_data)
+        text, found, reasons, inner = b"".join(parts), [], [], 0
+        while inner < len(text):
+            if text.startswith(b"\r\n", inner):
+                inner += 2
+                continue
+            one, reason = _parse(text, inner)
+            if one is not None:
+                found.append(Found(at, at if end is None else end, one.headers, one.body))
                 inner = one.end
-            return found, "member: empty"
-        if _VERSION_LINE.match(self.data, at):
-            one, reason = _parse(self.data, at)
-            return ([one], "") if one else ([], f"record: {reason}")
-        return [], "neither a member nor a version line"
+                continue
+            after = _next_record(text, inner + 1)
+            reasons.append(f"record: {reason} (bytes {inner} to {after} of the member's content)")
+            inner = after
+        if broken:
+            # What breaks off is one gap, whatever is missing of its last record.
+            return found, None, [r for r in reasons if not r.endswith(f" to {len(text)} of the member's content)")] + [broken]
+        if not found and not reasons:
+            reasons = ["member: empty"]
+        return found, end, reasons
 
     def _search(self, at: int) -> int:
         """Where the next valid member or record begins; the end if there is none."""
@@ -196,6 +218,26 @@ class Salvage:
             at = min(starts) + 1
 
 
+def _until_error(data: bytes) -> bytes:
+    """What a broken member gives before it fails: all but its last piece at once, that a few bytes at a time."""
+    inflate, last = zlib.decompressobj(31), (len(data) - 1) // FEED * FEED
+    parts = [inflate.decompress(data[:last])]
+    for i in range(last, len(data), 16):
+        try:
+            parts.append(inflate.decompress(data[i : i + 16]))
+        except zlib.error:
+            break
+    return b"".join(parts)
+
+
+def _next_record(text: bytes, at: int) -> int:
+    """Where the next valid record begins in decompressed text; its end if there is none."""
+    for hit in _VERSION_LINE.finditer(text, at):
+        if _parse(text, hit.start())[0] is not None:
+            return hit.start()
+    return len(text)
+
+
 def _parse(data: bytes, at: int) -> tuple[Found | None, str]:
     """The record at a position, after checks of version line, headers, length, terminator and digest."""
     line = _VERSION_LINE.match(data, at)
