@@ -114,3 +114,27 @@ def test_nothing_learned_and_one_language(frame):
     documents = frame([(1, "word")], SCHEMA)
     assert language.identify(documents, "text", {}).first()["lang_pred"] == "und"
     assert language.identify(documents, "text", {"en": b"words"}).first()["lang_pred"] == "en"
+
+
+def test_verdicts_equal_a_plain_loop_over_compressors(frame):
+    import zstandard
+
+    draw = random.Random(9)
+    alphabets = {"x": "abcdefg", "y": "hijklmn", "z": "adgjmpsü"}
+    make = lambda lang, n: " ".join("".join(draw.choices(alphabets[lang], k=draw.randint(2, 9))) for _ in range(n))
+    labelled = frame([(i, make("xyz"[i % 3], 400), "xyz"[i % 3]) for i in range(60)], "doc_id long, text string, lang string")
+    samples = language.language_samples(labelled, "text", "lang")
+    assert all(len(s) <= language.SAMPLE_TEXTS * (4 * language.SAMPLE_CHARS + 1) for s in samples.values())
+    texts = [make("xyz"[i % 3], n) for i, n in enumerate([1, 2, 5, 30, 400, 3000] * 4)] + [None, "", "12 !", "é"]
+    for r in language.identify(frame([(i, t) for i, t in enumerate(texts)], SCHEMA), "text", samples).collect():
+        body = re.sub(r"[\W\d_]+", " ", (r["text"] or "").lower()).encode()
+        if not re.search(r"[^\W\d_]", r["text"] or ""):
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        sizes = []
+        for lang, content in samples.items():
+            squeeze = lambda piece, content=content: zstandard.ZstdCompressor(level=5, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False).compress(piece)
+            sizes.append((sum(len(squeeze(body[i : i + 2000])) for i in range(0, len(body), 2000)), lang))
+        sizes.sort(key=lambda s: s[0])
+        assert r["lang_pred"] == sizes[0][1]
+        assert abs(r["score"] - min(1.0, 5 * (1 - sizes[0][0] / sizes[1][0]))) < 1e-9

@@ -11,12 +11,12 @@ from __future__ import annotations
 import re
 
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import add_columns
 
-#: Sample of a language: at most so many texts, chosen by hash, and so many characters of each.
+#: Sample of a language: at most so many texts, chosen by hash, and so many characters of each, from anywhere in it.
 SAMPLE_TEXTS, SAMPLE_CHARS = 256, 1500
 #: Bytes of a text that are encoded at once; every piece of the text is.
 PIECE = 2000
@@ -40,7 +40,7 @@ def language_samples(labelled: DataFrame, text: str, lang: str) -> dict[str, byt
     they have, most first.
     """
     known = labelled.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
-    hashed = known.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("hash"), F.substring(text, 1, SAMPLE_CHARS).alias("piece"))
+    hashed = known.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("hash"), _excerpt(F.col(text)).alias("piece"))
     picked = hashed.groupBy("lang", F.pmod("hash", F.lit(SAMPLE_TEXTS)).alias("class")).agg(F.min(F.struct("hash", "piece")).alias("least"), F.count("*").alias("texts"))
     pieces: dict[str, list[tuple[int, str]]] = {}
     texts: dict[str, int] = {}
@@ -51,6 +51,12 @@ def language_samples(labelled: DataFrame, text: str, lang: str) -> dict[str, byt
     return {lang: letters("\n".join(p for _, p in sorted(pieces[lang])))for lang in order}
 
 
+def _excerpt(text: Column) -> Column:
+    """``SAMPLE_CHARS`` characters from a place that a hash of the text names, or the whole of a shorter text."""
+    places = F.greatest(F.length(text) - SAMPLE_CHARS + 1, F.lit(1))
+    return F.substring(text, (F.pmod(F.xxhash64(F.lit("excerpt"), text), places) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+
+
 class Compressors:
     """One compressor per language; built once in each worker."""
 
