@@ -103,6 +103,25 @@ def test_shards_of_an_empty_table_and_more_shards_than_rows(frame):
     assert sorted((r["shard"], r["slot"]) for r in out) == [(0, 0), (1, 0)]
 
 
+def test_equal_rows_spread_over_the_buckets(frame):
+    copies, others = 20_000, 500
+    rows = [(7, "same", "a", 100)] * copies + [(i, f"t{i}", "b", 100) for i in range(others)]
+    out = sharding.shuffle_into_shards(frame(rows, SCHEMA), "size", 8, bucket_bytes=20_000)
+    got = out.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("last"), F.count_if(F.col("doc_id") == 7).alias("same")).collect()
+    assert sum(r["n"] for r in got) == copies + others and sum(r["same"] for r in got) >= copies
+    assert all(r["last"] == r["n"] - 1 for r in got) and max(r["n"] for r in got) - min(r["n"] for r in got) <= 1
+    # The others lie anywhere between the copies.
+    places = sorted(r["slot"] for r in out.filter("source = 'b'").collect())
+    assert places[0] < 300 and places[-1] > (copies + others) / 8 - 300
+
+
+def test_columns_may_have_any_name(frame):
+    rows = frame([(i, "t", "a", i) for i in range(20)], SCHEMA).withColumnsRenamed({"doc_id": "at", "text": "bucket", "source": "row_", "row": "shard"})
+    out = sharding.shuffle_into_shards(rows.withColumn("position", F.lit(1)), "size", 3)
+    assert out.columns == ["at", "bucket", "row_", "size", "position", "shard", "slot"]
+    assert sorted(r["at"] for r in out.collect()) == list(range(20)) and {r["shard"] for r in out.collect()} == {0, 1, 2}
+
+
 def test_written_shards_keep_slot_order(spark, frame, documents, tmp_path):
     sharding.write_shards(sharding.shuffle_into_shards(frame(documents, SCHEMA), "size", 4), str(tmp_path / "shards"))
     back = spark.read.parquet(str(tmp_path / "shards" / "shard=2")).collect()
