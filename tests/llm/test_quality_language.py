@@ -76,6 +76,36 @@ def test_the_field_separates_content_from_boilerplate(frame):
     assert mixed["kept"] and 0.5 < mixed["content_share"] < 1
 
 
+FOOTER = ["| Home | About | Contact |", "Copyright 2024 & all rights reserved #1"]
+
+
+def test_footers_of_good_documents_are_boilerplate_and_the_rest_is_content(frame):
+    documents = frame([(i, "\n".join([good(i), *FOOTER]) if i % 2 else bad(i)) for i in range(140)], SCHEMA)
+    field = q.train(documents, "doc_id", "text", frame([(i, i % 2) for i in range(100)], "doc_id long, quality int"), "quality")
+    for i in range(101, 140, 2):
+        marks = field.decode(q.document_features("\n".join([good(i), *FOOTER])))
+        assert marks == [1] * 6 + [0] * 2
+    rows = q.judge(documents, "text", field).collect()
+    assert all(r["kept"] == bool(r["doc_id"] % 2) for r in rows) and all(0.5 < r["content_share"] < 1 for r in rows if r["kept"])
+    # The weights have learned to move, not only to stay.
+    assert field.moves[1, 0] > -1
+
+
+def test_recurring_lines_are_told_from_those_of_copies():
+    copies = [{1, 2, 3, 100 + i} for i in range(q.RECURS + 5)]
+    others = [{9, 1000 + 2 * i, 1001 + 2 * i} for i in range(q.RECURS + 1)]
+    got = q.recurring(copies + others)
+    assert got[: len(copies)] == [set()] * len(copies) and got[len(copies) :] == [{9}] * len(others)
+    assert q.recurring([]) == []
+
+
+def test_long_labelled_texts_train_in_bounded_memory(frame):
+    long = "\n".join(f"{good(i)}" for i in range(34_000))  # over 200,000 lines
+    rows = [(0, long)] + [(i, good(i) if i % 2 else bad(i)) for i in range(1, 60)]
+    field = q.train(frame(rows, SCHEMA), "doc_id", "text", frame([(i, i % 2 or int(i == 0)) for i in range(60)], "doc_id long, quality int"), "quality")
+    assert all(r["kept"] == bool(r["doc_id"] % 2) for r in q.judge(frame(rows[1:], SCHEMA), "text", field).collect())
+
+
 def test_without_labels_every_line_is_content(frame):
     documents = frame([(1, bad(1))], SCHEMA)
     field = q.train(documents, "doc_id", "text", frame([], "doc_id long, quality int"), "quality")

@@ -1,7 +1,8 @@
 """Quality rules: a linear-chain conditional random field labels the lines of a text.
 
 Every line is content or boilerplate. The field is trained on a bounded sample
-of labelled documents, whose lines take the document's label; Viterbi decoding
+of labelled documents: the lines of a bad one are boilerplate, those of a good one content but for lines that
+recur in other documents, so that its sequences move between the labels. Viterbi decoding
 labels the lines of all documents, and the share of words in content lines
 decides whether a document stays. Counts that fixed rules ask for come along.
 """
@@ -9,8 +10,12 @@ decides whether a document stays. Counts that fixed rules ask for come along.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +23,10 @@ from tidegate.llm.common import add_columns
 
 #: Labelled documents of each class that train the field, chosen by hash.
 SAMPLE_DOCUMENTS = 300
+#: Runs of lines taken from each of them, chosen by hash from anywhere in the text, and lines in a run.
+SAMPLE_RUNS, RUN_LINES = 8, 128
+#: Other documents in which a line must recur to be boilerplate. Documents that share half of their lines are copies and do not count.
+RECURS = 16
 #: Share of words in content lines from which on a document stays.
 LEAST_CONTENT = 0.5
 #: Fixed by the rule set: fewest words, window of repeated words, most percent of words in repeated windows, symbols.
@@ -88,20 +97,26 @@ class LineField:
         self.moves = np.zeros((2, 2))
         self.first = np.zeros(2)
 
-    def fit(self, documents: list[np.ndarray], labels: list[int], rounds: int = 80, rate: float = 0.5, decay: float = 1e-4) -> LineField:
-        """Gradient ascent on the log likelihood; the documents run in step, padded to the longest."""
+    def fit(self, documents: list[np.ndarray], labels: list[np.ndarray], classes: list[tuple[int, float]], rounds: int = 80, rate: float = 0.5, decay: float = 1e-4) -> LineField:
+        """Gradient ascent on the log likelihood; the runs of lines go in step, padded to the longest.
+
+        ``labels`` are those of the lines, ``classes`` the class of each run's document and the run's share of it.
+        """
         if not documents:
             return self
         longest = max(map(len, documents))
         x = np.zeros((len(documents), longest, FEATURES))
         for i, d in enumerate(documents):
             x[i, : len(d)] = d
-        y = np.array(labels)
+        y = np.zeros((len(documents), longest), np.int64)
+        for i, marks in enumerate(labels):
+            y[i, : len(marks)] = marks
+        kind, part = np.array([c for c, _ in classes]), np.array([p for _, p in classes])
         lengths = np.array([len(d) for d in documents])
         alive = np.arange(longest)[None, :] < lengths[:, None]
         # A class or a long document weighs no more than another.
-        share = (1 / lengths) * np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-        truth = np.eye(2)[y][:, None, :] * alive[:, :, None]
+        share = part / lengths * np.where(kind == 1, 0.5 / max(1e-9, part[kind == 1].sum()), 0.5 / max(1e-9, part[kind == 0].sum()))
+        truth = np.eye(2)[y] * alive[:, :, None]
         for _ in range(rounds):
             emit = x @ self.weights
             ahead, back = np.zeros_like(emit), np.zeros_like(emit)
@@ -142,19 +157,64 @@ class LineField:
         return labels[::-1]
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features and line hashes of some runs of lines of each text."""
+    for batch in batches:
+        out = []
+        for key, label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            text = text.as_py()
+            lines, seen = text.split("\n"), set()
+            again = [line in seen or seen.add(line) is not None for line in lines]
+            starts = range(0, len(lines), RUN_LINES)
+            chosen = sorted(sorted(starts, key=lambda s, key=key: xxhash.xxh3_64_intdigest(f"{key} {s}"))[:SAMPLE_RUNS])
+            for start in chosen:
+                part = range(start, min(start + RUN_LINES, len(lines)))
+                features = np.array([line_features(lines[i], again[i]) for i in part], np.float32)
+                hashes = np.array([xxhash.xxh3_64_intdigest(lines[i].encode()) if lines[i].strip() else 0 for i in part], np.uint64)
+                out.append((key, label, start, features.tobytes(), hashes.tobytes()))
+        if out:
+            keys, labels, starts, features, hashes = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(labels, pa.int32()), pa.array(starts, pa.int64()), pa.array(features, pa.binary()), pa.array(hashes, pa.binary())], ["key", "label", "start", "features", "hashes"])
+
+
+def recurring(documents: list[set[int]]) -> list[set[int]]:
+    """Of each document's lines (hashes) those that ``RECURS`` others have which are no copies of it."""
+    where: dict[int, list[int]] = {}
+    for i, lines in enumerate(documents):
+        for line in lines:
+            where.setdefault(line, []).append(i)
+    out = []
+    for i, lines in enumerate(documents):
+        shared = Counter(j for line in lines for j in where[line] if j != i)
+        copies = {j for j, n in shared.items() if 2 * n >= min(len(lines), len(documents[j])) and n > 1}
+        out.append({line for line in lines if sum(j != i and j not in copies for j in where[line]) >= RECURS})
+    return out
+
+
 def train(documents: DataFrame, doc_id: str, text: str, labels: DataFrame, label: str, most: int = SAMPLE_DOCUMENTS) -> LineField:
     """Fits the field on at most ``most`` labelled documents of each class, those with the smallest hash of their id.
 
-    ``labels`` has ``doc_id`` and ``label`` (1 good, 0 bad; anything else and null texts are left out).
+    Of each, at most ``SAMPLE_RUNS`` runs of ``RUN_LINES`` lines are taken; tasks turn them into features, and the driver gets
+    those alone, 35 MB at most. ``labels`` has ``doc_id`` and ``label`` (1 good, 0 bad; anything else and null texts are left out).
     Without rows of both classes the field stays neutral and calls every line content.
     """
     some = labels.filter(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("labelled"), F.col(label).alias("label"), F.xxhash64(doc_id).alias("hash"))
     picked = [some.filter(F.col("label") == k).orderBy("hash", "labelled").limit(most) for k in (0, 1)]
     rows = picked[0].unionByName(picked[1]).join(documents.select(F.col(doc_id).alias("at"), F.col(text).alias("body")), F.col("labelled") == F.col("at"))
-    found = sorted(((r["hash"], r["body"], r["label"]) for r in rows.collect() if r["body"] is not None), key=lambda r: (r[0], r[1]))
-    if {r[2] for r in found} != {0, 1}:
+    bodies = rows.filter("body is not null").select(F.xxhash64("hash", "body").alias("key"), F.col("label").cast("int").alias("label"), "body").dropDuplicates(["key", "label"])
+    runs = sorted(bodies.mapInArrow(_runs, "key long, label int, start long, features binary, hashes binary").collect(), key=lambda r: (r["key"], r["label"], r["start"]))
+    if {r["label"] for r in runs} != {0, 1}:
         return LineField()
-    return LineField().fit([document_features(r[1]) for r in found], [r[2] for r in found])
+    hashes = [np.frombuffer(r["hashes"], np.uint64).tolist() for r in runs]
+    keys = sorted({r["key"] for r in runs})
+    lines: dict[int, set[int]] = {k: set() for k in keys}
+    for r, h in zip(runs, hashes, strict=True):
+        lines[r["key"]].update(x for x in h if x)
+    common = dict(zip(keys, recurring([lines[k] for k in keys]), strict=True))
+    marks = [np.array([r["label"] and x not in common[r["key"]] for x in h], np.int64) for r, h in zip(runs, hashes, strict=True)]
+    features = [np.frombuffer(r["features"], np.float32).reshape(-1, FEATURES).astype(np.float64) for r in runs]
+    weights = Counter(r["key"] for r in runs)
+    return LineField().fit(features, marks, [(r["label"], 1 / weights[r["key"]]) for r in runs])
 
 
 def judge(documents: DataFrame, text: str, field: LineField, least_content: float = LEAST_CONTENT) -> DataFrame:
