@@ -96,3 +96,15 @@ def test_a_silent_day_is_an_anomaly(spark, tmp_path):
     got = queries()["metric_anomalies"](spark, str(tmp_path)).orderBy("dt").collect()
     assert [r.value for r in got] == counts and [r.anomaly for r in got] == [c == 0 for c in counts]
     assert abs(got[8].trailing_mean - 57 / 7) < 1e-6
+
+
+def test_a_staged_dataset_follows_its_source(spark, tmp_path):
+    from tidegate.session import staged_path
+
+    source, written = str(tmp_path / "t.parquet"), []
+    spark.range(3).write.parquet(source)
+    stage = lambda: staged_path(spark, "edge", str(tmp_path), written.append)
+    first = stage()
+    assert stage() == first and len(written) == 1
+    spark.range(4).write.mode("overwrite").parquet(source)
+    assert stage() != first and len(written) == 2

@@ -37,17 +37,14 @@ def src_page_progress(spark, sf):
 
 
 def broken_pages(spark, sf):
-    """The pages with three defects: a lost page, an emptied page, a foreign cursor."""
+    """All pages, with three defects: a number that is skipped, an empty page behind the last one, a foreign cursor."""
     chain, page = F.col("chain_id"), F.col("page_no")
-    emptied = F.lit('{"data":[],"has_more":true}')
-    return (
-        tables.charge_pages(spark, sf)
-        .where(~((chain == 7) & (page == 3)))
-        .withColumn("body", F.when((chain == 11) & (page == 0), emptied).otherwise(F.col("body")))
-        .withColumn(
-            "starting_after", F.when((chain == 13) & (page == 0), "ch_0").otherwise(F.col("starting_after"))
-        )
+    placed = tables.charge_pages(spark, sf)
+    empty = placed.where(chain == 11).groupBy("chain_id").agg((F.max("page_no") + 1).alias("page_no")).select(
+        "chain_id", "page_no", F.lit(None).cast("string").alias("starting_after"), F.lit('{"data":[],"has_more":true}').alias("body")
     )
+    changed = placed.withColumn("starting_after", F.when((chain == 13) & (page == 0), "ch_0").otherwise(F.col("starting_after")))
+    return changed.withColumn("page_no", F.when((chain == 7) & (page >= 3), page + 1).otherwise(page)).unionByName(empty)
 
 
 @query(
@@ -57,11 +54,10 @@ def broken_pages(spark, sf):
         PAGES,
         """
 broken AS (
-  SELECT chain_id, page_no, has_more OR (chain_id = 11 AND page_no = 0) AS has_more,
-         CASE WHEN chain_id = 11 AND page_no = 0 THEN 0 ELSE n END AS n,
-         CASE WHEN chain_id = 11 AND page_no = 0 THEN NULL ELSE last_id END AS last_id,
+  SELECT chain_id, CASE WHEN chain_id = 7 AND page_no >= 3 THEN page_no + 1 ELSE page_no END AS page_no, has_more, n, last_id,
          CASE WHEN chain_id = 13 AND page_no = 0 THEN 'ch_0' ELSE starting_after END AS starting_after
-  FROM charge_pages WHERE NOT (chain_id = 7 AND page_no = 3)),
+  FROM charge_pages
+  UNION ALL SELECT 11, max(page_no) + 1, TRUE, 0, NULL, NULL FROM charge_pages WHERE chain_id = 11 HAVING count(*) > 0),
 linked AS (
   SELECT b.*, p.page_no IS NOT NULL AS has_previous, p.last_id AS expected, s.page_no IS NOT NULL AS has_next
   FROM broken b LEFT JOIN broken p ON p.chain_id = b.chain_id AND p.page_no = b.page_no - 1

@@ -47,12 +47,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidegate/{name}-{uuid.uuid4().hex}"
 
 
-_STAGED: dict[tuple[str, str, str], str] = {}
+_STAGED: dict[tuple[str, str, str, tuple], str] = {}
+
+
+def _files(spark: SparkSession, source: str) -> tuple:
+    """Names, sizes and times of the files below a folder, two levels deep; a rewritten table differs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return ()
+    found = list(store.listStatus(path))
+    found += [inner for status in found if status.isDirectory() for inner in store.listStatus(status.getPath())]
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found))
 
 
 def staged_path(spark: SparkSession, name: str, source: str, write: Callable[[str], None]) -> str:
-    """A dataset that several queries read, written once per application and source."""
-    key = (spark.sparkContext.applicationId, name, source)
+    """A dataset that several queries read, written once per application and state of the source's files."""
+    key = (spark.sparkContext.applicationId, name, source, _files(spark, source))
     if key not in _STAGED:
         path = scratch_path(spark, name)
         write(path)
