@@ -289,7 +289,7 @@ def lineitem_medians(spark, sf):
 
 @query(
     "task_skew",
-    """SELECT l_orderkey, l_linenumber, l_extendedprice, median FROM (SELECT *, median(l_extendedprice::DOUBLE) OVER (PARTITION BY l_returnflag) AS median FROM lineitem)
+    """SELECT l_orderkey, l_linenumber, l_extendedprice, round(median, 6) AS median FROM (SELECT *, median(l_extendedprice::DOUBLE) OVER (PARTITION BY l_returnflag) AS median FROM lineitem)
     WHERE l_extendedprice > 1.9 * median""",
 )
 def task_skew(spark, sf):
