@@ -20,7 +20,11 @@ SHARDS = 40
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    A null or empty text has no words and goes; rows that are repeated are judged alike. A table without labels trains nothing,
+    and only the base rules decide; an empty table gives an empty one. Columns beyond those of documents are left out.
+    """
     field = quality_lines.train(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "labels"), "quality")
     return quality_lines.judge(docs.select(*COLUMNS), "text", field).filter("kept").select(*COLUMNS)
 
@@ -40,20 +44,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without benchmark passages; a document that is mostly benchmark goes."""
+    """Texts without benchmark passages; a document that is mostly benchmark goes.
+
+    Null and empty texts hold no passage and stay as they are; repeated rows lose the same spans. An empty benchmark changes nothing.
+    """
     matched = decontaminate.contaminated_spans(docs.select(*COLUMNS), "text", table(spark, sf_dir, "benchmark"))
     clean = decontaminate.removed_spans(matched, "text")
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents in the proportions of the source weights, repeated where a source is short."""
+    """Whole documents in the proportions of the source weights, repeated where a source is short.
+
+    The null source is a source, the last one. Ties of the hash-random key go by size. Null and empty texts have no words, so
+    where they stand in their source decides alone. Repeated rows are documents of their own; an empty table gives an empty one.
+    """
     sized = docs.select(*COLUMNS, n_words(F.col("text")).alias("size"))
     return mixing.mixed_rows(mixing.mix(sized, "size", "source", ["doc_id", "text"]), "size").select(*COLUMNS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and its place there."""
+    """Every row with its shard and its place there.
+
+    Nulls are allowed in any column; rows that are equal in all are numbered and spread. An empty table gives an empty one.
+    """
     sized = docs.select(*COLUMNS).withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)) + 16)
     return sharding.shuffle_into_shards(sized, "size", SHARDS).drop("size")
 
