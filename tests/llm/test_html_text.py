@@ -91,3 +91,51 @@ def test_articles_keep_formulas_and_what_follows_open_elements():
     for middle, extra in (("<svg><path d='x'>", []), ("<object data='a'>", []), ("<p>The law says <math><mi>E</mi><mo>=</mo><mi>m</mi></math> for bodies.</p>", ["The law says E = m for bodies."])):
         page = f"<html><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><article>{''.join(body[:12])}{middle}{''.join(body[12:])}</article><footer>&copy; all rights</footer></body></html>"
         assert h.trained().extract([page]) == [" ".join([*sentences[:12], *extra, *sentences[12:]])]
+
+
+def test_pieces_and_groups_do_not_change_scores(monkeypatch):
+    model, layouts = h.trained(), h.Layouts(7)
+    pages = [layouts.page() for _ in range(12)]
+    whole = model.extract(pages)
+    for page in pages:
+        sequence = h.blocks(page)
+        expected = model.scores(*h.padded([h.vectors(sequence)]))[0]
+        monkeypatch.setattr(h, "CELLS", 5)
+        assert model.page_scores(sequence) == pytest.approx(expected, abs=1e-4)
+        monkeypatch.undo()
+    monkeypatch.setattr(h, "CELLS", 40)
+    assert model.extract(pages) == whole
+    lengths = [3, 0, 41, 20, 20, 20, 1]
+    groups = h.grouped(lengths)
+    assert sorted(i for g in groups for i in g) == [0, 2, 3, 4, 5, 6]
+    assert all(len(g) == 1 or len(g) * max(lengths[i] for i in g) <= 40 for g in groups)
+
+
+def test_a_page_of_very_many_blocks_runs_in_little_memory(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(h, "CELLS", 2000)
+    sequence = h.blocks("<nav><a>x</a></nav><article>" + "<p>Some words of a text, here.</p>" * 20_000 + "</article><footer>y</footer>")
+    model = h.Labeller()
+    assert len(sequence) == 20_002
+    tracemalloc.start()
+    scores = model.page_scores(sequence)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All vectors at once would take 25 MB.
+    assert len(scores) == len(sequence) and peak < 10 << 20
+
+
+def test_open_tags_without_an_end_do_not_take_the_square_of_the_page():
+    import time
+
+    started = time.perf_counter()
+    assert len(texts("<p>a</p>" + "<a href=x " * 200_000)) == 2
+    assert texts("<p>a</p>" + "<a href=x " * 3 + "<!-- b <p ")[1].endswith("<a href=x")
+    assert time.perf_counter() - started < 20
+
+
+def test_a_column_called_text_is_replaced(frame):
+    page = "<article><p>Some words of a text, which are here to stay.</p></article>"
+    rows = h.extract(frame([(1, page, "old")], "page_id long, html string, text string"), "html").collect()
+    assert rows[0]["text"] != "old" and sorted(rows[0].asDict()) == ["html", "page_id", "row", "text"]

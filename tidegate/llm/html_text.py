@@ -23,8 +23,9 @@ from tidegate.llm.common import add_columns
 
 PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 256, 48, 7, 16
 INPUT = PATH_DIM + WORD_DIM + MEASURES
-#: Pages that go through the network together are padded to the longest of them.
-TOGETHER = 64
+#: Pages that go through the network together are padded to the longest of them: so many of them at most,
+#: and so many blocks with the padding. A longer page goes through alone, in pieces of so many blocks.
+TOGETHER, CELLS = 64, 16_384
 
 #: Elements that belong to a line of text; all others end the block before them.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -34,7 +35,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW_TEXT = frozenset("script style noscript textarea iframe".split())
 #: Start tags that end an svg or math left open before them.
 LEAVES_FOREIGN = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr li menu ol p pre table ul article section main nav aside header footer".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>", re.S)
+_COMMENT = re.compile(r"<!--.*", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _STOPS, _DIGITS = re.compile(r"[.,;:!?]"), re.compile(r"\d")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -65,8 +67,10 @@ def blocks(page: str) -> list[Block]:
         linked = 0
 
     at, size = 0, len(page)
+    last = page.rfind(">")
     while at < size:
-        found = _TOKEN.search(page, at)
+        # Behind the last ">" nothing but an open comment is markup.
+        found = (_TOKEN if at <= last else _COMMENT).search(page, at)
         text = page[at : found.start()] if found else page[at:]
         if text:
             parts.append(text)
@@ -74,7 +78,7 @@ def blocks(page: str) -> list[Block]:
         if not found:
             break
         at = found.end()
-        if not found[2]:
+        if found.re is _COMMENT or not found[2]:
             continue
         name, ends = found[2].lower(), bool(found[1])
         if name == "br" or (name not in INLINE and (name not in VOID or name == "hr")):
@@ -139,9 +143,11 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
     return vector
 
 
-def vectors(sequence: list[Block]) -> np.ndarray:
-    out = np.zeros((len(sequence), INPUT), np.float32)
-    for i, b in enumerate(sequence):
+def vectors(sequence: list[Block], start: int = 0, end: int | None = None) -> np.ndarray:
+    """Vectors of the blocks of a page, or of those from ``start`` to ``end``."""
+    piece = sequence[start:end]
+    out = np.zeros((len(piece), INPUT), np.float32)
+    for i, b in enumerate(piece):
         words = b.text.lower().split()
         out[i, :PATH_DIM] = _path_vector(b.path)
         hashed = np.bincount(list(map(_word_bucket, words)), minlength=WORD_DIM)
@@ -154,7 +160,7 @@ def vectors(sequence: list[Block]) -> np.ndarray:
             min(1.0, 10 * len(_STOPS.findall(b.text)) / chars),
             b.text[-1] in ".!?:\"'",
             min(1.0, 4 * len(_DIGITS.findall(b.text)) / chars),
-            i / len(sequence),
+            (start + i) / len(sequence),
         )
     return out
 
@@ -173,12 +179,12 @@ class Labeller:
         self.weights |= {f"{d}c": np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)]).astype(np.float32) for d in "fb"}
         self.weights |= {"o": shape(2 * HIDDEN, 1), "p": np.zeros(1, np.float32)}
 
-    def _run(self, x: np.ndarray, alive: np.ndarray, way: str) -> tuple[np.ndarray, list]:
-        """One direction over (pages, blocks, inputs); padding leaves the state as it is."""
+    def _run(self, x: np.ndarray, alive: np.ndarray, way: str, state: tuple | None = None, trace: list | None = None) -> tuple[np.ndarray, tuple]:
+        """One direction over (pages, blocks, inputs), from a state to a state; padding leaves it as it is. Steps are added to the trace."""
         w, pages = self.weights, len(x)
-        h, c = np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32)
+        h, c = state or (np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32))
         inputs = x @ w[way + "x"] + w[way + "c"]
-        out, trace = np.zeros((*x.shape[:2], HIDDEN), np.float32), []
+        out = np.zeros((*x.shape[:2], HIDDEN), np.float32)
         steps = range(x.shape[1]) if way == "f" else range(x.shape[1] - 1, -1, -1)
         for t in steps:
             gates = inputs[:, t] + h @ w[way + "h"]
@@ -187,20 +193,33 @@ class Labeller:
             live = alive[:, t, None]
             new_c = f * c + i * g
             squashed = np.tanh(new_c)
-            trace.append((t, h, c, i, f, o, g, squashed))
+            if trace is not None:
+                trace.append((t, h, c, i, f, o, g, squashed))
             c = np.where(live, new_c, c)
             h = np.where(live, o * squashed, h)
             out[:, t] = h
-        return out, trace
+        return out, (h, c)
 
     def scores(self, x: np.ndarray, alive: np.ndarray) -> np.ndarray:
         hidden = np.concatenate([self._run(x, alive, "f")[0], self._run(x, alive, "b")[0]], axis=2)
         return (hidden @ self.weights["o"])[:, :, 0] + self.weights["p"]
 
+    def page_scores(self, sequence: list[Block]) -> np.ndarray:
+        """Scores of the blocks of one page of any length: pieces hand their state on, so only one of them is in memory."""
+        out = np.full(len(sequence), self.weights["p"][0], np.float32)
+        starts = range(0, len(sequence), CELLS)
+        for k, way in enumerate("fb"):
+            state = None
+            for start in starts if way == "f" else reversed(starts):
+                x = vectors(sequence, start, start + CELLS)[None]
+                hidden, state = self._run(x, np.ones(x.shape[:2], bool), way, state)
+                out[start : start + CELLS] += hidden[0] @ self.weights["o"][k * HIDDEN : (k + 1) * HIDDEN, 0]
+        return out
+
     def _gradients(self, x: np.ndarray, alive: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
-        runs = {d: self._run(x, alive, d) for d in "fb"}
-        hidden = np.concatenate([runs["f"][0], runs["b"][0]], axis=2)
+        traces: dict[str, list] = {"f": [], "b": []}
+        hidden = np.concatenate([self._run(x, alive, d, trace=traces[d])[0] for d in "fb"], axis=2)
         delta = (_sigmoid((hidden @ w["o"])[:, :, 0] + w["p"]) - y) * alive / max(1, alive.sum())
         grad = {"o": np.einsum("nth,nt->h", hidden, delta)[:, None], "p": delta.sum()[None]}
         back = delta[:, :, None] * w["o"][:, 0]
@@ -209,7 +228,7 @@ class Labeller:
             dh = np.zeros((len(x), HIDDEN), np.float32)
             dc = np.zeros_like(dh)
             grad[d + "h"] = np.zeros_like(w[d + "h"])
-            for t, h, c, i, f, o, g, squashed in reversed(runs[d][1]):
+            for t, h, c, i, f, o, g, squashed in reversed(traces[d]):
                 live = alive[:, t, None]
                 dh = dh + back[:, t, k * HIDDEN : (k + 1) * HIDDEN]
                 new_dc = dc + dh * o * (1 - squashed**2)
@@ -248,15 +267,27 @@ class Labeller:
         """Main text of each page; pages of like length run together."""
         sequences = [blocks(p) for p in pages]
         texts = [""] * len(pages)
-        order = sorted((i for i, s in enumerate(sequences) if s), key=lambda i: len(sequences[i]))
-        for at in range(0, len(order), TOGETHER):
-            some = order[at : at + TOGETHER]
-            x, alive = padded([vectors(sequences[i]) for i in some])
-            for i, marks in zip(some, self.scores(x, alive) > 0, strict=True):
-                texts[i] = " ".join(b.text for b, m in zip(sequences[i], marks[: len(sequences[i])], strict=True) if m)
+        for some in grouped([len(s) for s in sequences]):
+            if len(sequences[some[0]]) > CELLS:
+                scores = [self.page_scores(sequences[some[0]])]
+            else:
+                scores = self.scores(*padded([vectors(sequences[i]) for i in some]))
+            for i, marks in zip(some, scores, strict=True):
+                texts[i] = " ".join(b.text for b, m in zip(sequences[i], marks[: len(sequences[i])] > 0, strict=True) if m)
         return texts
 
 
+def grouped(lengths: list[int]) -> list[list[int]]:
+    """Numbers of the pages with blocks, those of like length together: ``TOGETHER`` pages and ``CELLS`` padded blocks at most, or one page."""
+    groups: list[list[int]] = []
+    for i in sorted((i for i, n in enumerate(lengths) if n), key=lengths.__getitem__):
+        if groups and len(groups[-1]) < TOGETHER and (len(groups[-1]) + 1) * lengths[i] <= CELLS:
+            groups[-1].append(i)
+        else:
+            groups.append([i])
+    return groups
+
+
 def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     longest = max(map(len, pages))
     x, alive = np.zeros((len(pages), longest, INPUT), np.float32), np.zeros((len(pages), longest), bool)
@@ -412,7 +443,8 @@ def trained(pages: int = 700, seed: int = 11) -> Labeller:
 def extract(pages: DataFrame, html: str, labeller: Labeller | None = None) -> DataFrame:
     """Adds ``text``, the main text of each page's whole html ("" if there is none or html is null).
 
-    Repeated rows get equal texts. Other columns stay; the name ``text`` must be free.
+    Repeated rows get equal texts. Other columns stay; one that is called ``text`` is replaced. A page of very
+    many blocks needs memory for its blocks and for one piece of their vectors.
     """
     spark: SparkSession = pages.sparkSession
     shared = spark.sparkContext.broadcast(labeller or trained())
