@@ -66,5 +66,34 @@ def test_spans_are_cut_out_and_mostly_hit_documents_dropped(frame):
     assert out == {1: f"Kept before, () and {'kept ' * 20}after.", 3: "clean", 4: None}
 
 
+def test_ten_blocks_equal_one_and_the_driver_holds_one_at_a_time(frame, monkeypatch):
+    draw = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(draw.choices(vocabulary, k=40))) for i in range(120)]
+    items += items[:3] * 40
+    bodies = [" ".join(draw.choices(vocabulary, k=30)) + " " + " ".join(items[i][1].split()[5:30]) for i in range(0, 120, 2)] + [" ".join(draw.choices(vocabulary, k=60)) for _ in range(40)]
+    documents = frame([(i, t) for i, t in enumerate(bodies * 2)] + [(None, None), (None, "")], "doc_id long, text string")
+    benchmark = frame(items, "item_id long, text string")
+    key = lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "")
+    one = sorted(d.contaminated_spans(documents, "text", benchmark).collect(), key=key)
+    held = []
+    inner = d._machine
+    monkeypatch.setattr(d, "_machine", lambda automata, block: held.append(automata.filter(d.F.col("block") == block).first()["machine"]) or inner(automata, block))
+    ten = sorted(d.contaminated_spans(documents, "text", benchmark, block_words=960).collect(), key=key)
+    assert ten == one and sum(bool(r["hit_spans"]) for r in ten) >= 120
+    assert len(held) >= 8 and max(map(len, held)) < sum(map(len, held)) / 3
+
+
+@pytest.mark.parametrize("block_words", [1000, 12])
+def test_columns_with_the_names_of_added_ones_are_replaced(frame, block_words):
+    rows = [(1, "one two three four", 7, "x", "y"), (2, None, 7, None, "z")]
+    documents = frame(rows, "document long, text string, n_words int, HIT_SPANS string, digest string")
+    items = [(i, f"{w} two three four five six seven eight nine ten eleven") for i, w in enumerate(["zero", "one", "uno"])] + [(9, "two three")]
+    out = d.contaminated_spans(documents, "text", frame(items, "item_id long, text string"), block_words=block_words)
+    assert out.columns == ["document", "text", "digest", "row", "n_words", "hit_spans", "hit_items"]
+    got = {r["document"]: (r["digest"], r["n_words"], r["hit_spans"], r["hit_items"]) for r in out.collect()}
+    assert got == {1: ("y", 4, [[1, 3]], ["9"]), 2: ("z", 0, [], [])}
+
+
 def test_digest_of_items():
     assert d.item_digest(["10", "9"]) == hashlib.sha256(b"10,9").hexdigest()

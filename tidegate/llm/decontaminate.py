@@ -4,26 +4,31 @@ The automaton holds every substring of the normalised items. Document words are
 streamed through it; after each word it knows the longest stretch ending there
 that also occurs in an item. Stretches of a window's length or more, and whole
 short items, are hits, whose words are removed. Documents are mapped where they
-lie: nothing is shuffled.
+lie; only a benchmark of several blocks shuffles them, once, to their hits.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import pairwise
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import add_columns
+from tidegate.llm.common import add_columns, slices, written
 
 #: A-Z to a-z; everything else below 0x80 but digits and a-z separates words.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _WORD = re.compile(rb"[^ ]+")
 #: Words of the items that one automaton holds; a larger benchmark is handled in several.
 BLOCK_WORDS = 400_000
+_ADDED = ("n_words", "hit_spans", "hit_items")
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -161,17 +166,40 @@ def merge(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items in blocks of about ``block_words`` words, one block in the driver at a time."""
-    block, held = [], 0
-    for row in benchmark.filter(F.col(text).isNotNull()).select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).cast("binary").alias("text")).toLocalIterator():
-        block.append((row["item"], words(row["text"])))
-        held += len(block[-1][1])
-        if held >= block_words:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
+class Machine:
+    """A packed automaton, opened where it is used and once in a worker."""
+
+    def __init__(self, packed: bytes):
+        self.packed, self.opened = packed, None
+
+    def __reduce__(self) -> tuple:
+        return Machine, (self.packed,)
+
+    def match(self, text: list[bytes]) -> tuple[list[list[int]], set[str]]:
+        if self.opened is None:
+            self.opened = pickle.loads(self.packed)
+        return self.opened.match(text)
+
+
+def built_automata(benchmark: DataFrame, item: str, text: str, window: int, block_words: int) -> DataFrame | None:
+    """``block``, ``machine``: a packed automaton for each block of about ``block_words`` words of the items, built by tasks; none without words.
+
+    A block holds items whole, so an item above ``block_words`` words has a larger one.
+    """
+    items = benchmark.filter(F.col(text).isNotNull()).select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).cast("binary").alias("text"))
+    total = items.agg(F.sum(_n_words(F.col("text").cast("string")))).first()[0] or 0
+    if not total:
+        return None
+    blocks = -(-total // block_words)
+    # Repeated items say nothing new, and would all be in one block.
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)).cast("int")).distinct()
+
+    def build(group: pa.Table) -> pa.Table:
+        named = sorted(zip(group["item"].to_pylist(), group["text"].to_pylist(), strict=True))
+        automaton = SuffixAutomaton([(name, words(body)) for name, body in named], window)
+        return pa.table({"block": group["block"][:1], "machine": pa.array([pickle.dumps(automaton, pickle.HIGHEST_PROTOCOL)], pa.binary())})
+
+    return written(dealt.groupBy("block").applyInArrow(build, "block int, machine binary"), "item-automata")
 
 
 def contaminated_spans(documents: DataFrame, text: str, benchmark: DataFrame, item: str = "item_id", item_text: str = "text", window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -179,41 +207,82 @@ def contaminated_spans(documents: DataFrame, text: str, benchmark: DataFrame, it
 
     A word is hit if it lies in an occurrence of ``window`` consecutive words of an item, or of a whole item
     that is shorter. Null texts have no words; items without words never match; a null item id reads as "".
-    Repeated rows are each answered. An empty benchmark hits nothing. Other columns stay as they are; the
-    added names must be free. A benchmark larger than a block takes one pass over the documents per block.
+    Repeated rows are each answered. An empty benchmark hits nothing. Other columns stay as they are; those that
+    have the name of an added one are replaced.
+
+    Tasks build the automata. A benchmark of several blocks takes one pass over the documents for each; the
+    driver and the workers hold one automaton at a time, and what a pass hits is written, by digest of the text.
     """
+    documents = documents.select(*(n for n in documents.columns if n.lower() not in _ADDED))
+    automata = built_automata(benchmark, item, item_text, window, block_words)
+    blocks = [] if automata is None else sorted(r["block"] for r in automata.select("block").collect())
+    if not blocks:
+        nothing = F.array().cast("array<array<int>>").alias("hit_spans"), F.array().cast("array<string>").alias("hit_items")
+        return documents.select("*", _n_words(F.col(text)).alias("n_words"), *nothing)
+    if len(blocks) == 1:
+        shared = _machine(automata, blocks[0])
+
+        def scan(bodies: list) -> dict[str, list]:
+            counts, spans, items = [], [], []
+            for body in bodies:
+                tokens = words(body.encode() if body is not None else None)
+                found = shared.value.match(tokens)
+                counts.append(len(tokens))
+                spans.append(merge(found[0]))
+                items.append(sorted(found[1]))
+            return {"n_words": counts, "hit_spans": spans, "hit_items": items}
+
+        return add_columns(documents, [text], scan, "n_words long, hit_spans array<array<int>>, hit_items array<string>")
+    passes = []
+    for block in blocks:
+        shared = _machine(automata, block)
+        passes.append(written(_hits(documents, text, shared), "item-hits"))
+        shared.destroy()
+    # One row for each text and block: few, as only hit texts are there.
+    hits = reduce(DataFrame.unionByName, passes).groupBy("digest").agg(
+        F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("hit_items")
+    )
+    hits = add_columns(hits, ["hit_spans"], lambda spans: {"hit_spans": [merge(s) for s in spans]}, "hit_spans array<array<int>>")
     names = documents.columns
-    out = documents.select(
-        *names,
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<array<int>>").alias("hit_spans"),
-        F.array().cast("array<string>").alias("hit_items"),
+    found = hits.select(F.concat(F.lit("="), "digest").alias("digest"), "hit_spans", "hit_items")
+    # The rows travel as one column, so that their names clash with nothing; the digest is marked to be dealt anew.
+    rows = documents.select(F.struct(*names).alias("document"), F.concat(F.lit("="), F.sha2(F.col(text).cast("binary"), 256)).alias("digest"))
+    joined = rows.join(found, "digest", "left")
+    return joined.select(
+        *(F.col("document")[n].alias(n) for n in names),
+        _n_words(F.col("document")[text]).alias("n_words"),
+        F.coalesce("hit_spans", F.array().cast("array<array<int>>")).alias("hit_spans"),
+        F.coalesce("hit_items", F.array().cast("array<string>")).alias("hit_items"),
     )
-    blocks = item_blocks(benchmark, item, item_text, block_words)
-    first = next(blocks, [])
-    out = _pass(out, text, SuffixAutomaton(first, window))
-    for block in blocks:
-        out = _pass(out, text, SuffixAutomaton(block, window))
-    return out
 
 
-def _pass(documents: DataFrame, text: str, automaton: SuffixAutomaton) -> DataFrame:
-    spark: SparkSession = documents.sparkSession
-    shared = spark.sparkContext.broadcast(automaton)
+def _n_words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
 
-    def scan(bodies: list, hit_spans: list, hit_items: list) -> dict[str, list]:
-        machine: SuffixAutomaton = shared.value
-        counts = []
-        for i, body in enumerate(bodies):
-            tokens = words(body.encode() if body is not None else None)
-            spans, found = machine.match(tokens)
-            counts.append(len(tokens))
-            if spans:
-                hit_spans[i] = merge([*hit_spans[i], *spans])
-                hit_items[i] = sorted({*hit_items[i], *found})
-        return {"n_words": counts, "hit_spans": hit_spans, "hit_items": hit_items}
 
-    return add_columns(documents, [text, "hit_spans", "hit_items"], scan, "n_words long, hit_spans array<array<int>>, hit_items array<string>")
+def _machine(automata: DataFrame, block: int) -> Broadcast:
+    packed = automata.filter(F.col("block") == block).select("machine").first()[0]
+    return automata.sparkSession.sparkContext.broadcast(Machine(bytes(packed)))
+
+
+def _hits(documents: DataFrame, text: str, shared: Broadcast) -> DataFrame:
+    """``digest``, ``hit_spans``, ``hit_items`` of the texts that an automaton hits, once for equal ones."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                rows = []
+                for body in piece.column(0):
+                    encoded = body.as_py() or b""
+                    spans, found = shared.value.match(words(encoded))
+                    if spans:
+                        rows.append((hashlib.sha256(encoded).hexdigest(), merge(spans), sorted(found)))
+                columns = zip(*rows, strict=True) if rows else ([], [], [])
+                types = pa.string(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["digest", "hit_spans", "hit_items"])
+
+    bodies = documents.filter(F.col(text).isNotNull()).select(F.col(text).cast("binary").alias("text"))
+    return bodies.mapInArrow(scan, "digest string, hit_spans array<array<int>>, hit_items array<string>").dropDuplicates(["digest"])
 
 
 def removed_spans(matched: DataFrame, text: str, most_coverage: float = 0.5) -> DataFrame:
@@ -221,7 +290,7 @@ def removed_spans(matched: DataFrame, text: str, most_coverage: float = 0.5) ->
 
     What lies between the first and the last character of a span goes with it.
     """
-    names = [n for n in matched.columns if n not in ("n_words", "hit_spans", "hit_items")]
+    names = [n for n in matched.columns if n not in _ADDED]
     hit = F.aggregate("hit_spans", F.lit(0), lambda total, s: total + s[1] - s[0])
     kept = matched.filter(hit <= F.col("n_words") * F.lit(most_coverage))
 
