@@ -43,6 +43,14 @@ def test_ordinal_is_dense(spark):
     assert rows(got) == rows(plain)
 
 
+@pytest.mark.parametrize("pieces", [1, 3, 40])
+def test_ordinal_goes_on_from_range_to_range(spark, pieces):
+    order = [F.col("t") + 1, "i"]
+    got = ordinal(sample(spark), ["k"], order, "n", pieces)
+    plain = sample(spark).withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("bigint"))
+    assert rows(got) == rows(plain)
+
+
 @pytest.mark.parametrize("lookback, block", [(1, 1), (3, 3), (3, 10), (7, 64), (5, 4)])
 def test_blocked_trailing_mean_equals_a_window(spark, lookback, block):
     df = sample(spark).withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "i")).cast("bigint"))

@@ -5,7 +5,7 @@ the rows are cut into sampled ranges of equal size by (keys, order), each range
 is handled by its own task, and what a range needs from its predecessors is
 carried over:
 
-* :func:`running` carries one summary row per (key, range),
+* :func:`running` and :func:`ordinal` carry one summary row per (key, range),
 * :func:`blocked` copies the last ``lookback`` rows of each block into the next.
 
 NULL keys are a group of their own and NULLs in the order come first.
@@ -33,10 +33,13 @@ def _ranges(df: DataFrame, keys: list[str], order: list[str], pieces: int | None
     and read back: all later uses see the same ranges, also after a task is lost.
     """
     wanted = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.repartitionByRange(wanted, *keys, *order).withColumn("_bucket", F.spark_partition_id())
-    path = scratch_path(df.sparkSession, "ranges")
-    cut.write.parquet(path)
-    return df.sparkSession.read.schema(cut.schema).parquet(path)
+    return _written(df.repartitionByRange(wanted, *keys, *order).withColumn("_bucket", F.spark_partition_id()), "ranges")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def running(
@@ -84,9 +87,25 @@ def running(
     )
 
 
-def ordinal(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal") -> DataFrame:
-    """Add a dense 1-based position per key, the skew-safe ``row_number``."""
-    return running(df, keys, order, {name: ("sum", F.lit(1).cast("bigint"))})
+def ordinal(df: DataFrame, keys: list[str], order: list[str | Column], name: str = "ordinal", pieces: int | None = None) -> DataFrame:
+    """Add a dense 1-based position per key, the skew-safe ``row_number``.
+
+    The ranges are sorted before they are written, and the rows numbered as they are: that is the one
+    shuffle of the rows, and no window sees them. ``pieces`` is as in :func:`running`.
+    """
+    spark = df.sparkSession
+    wanted = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(wanted, *keys, *order).sortWithinPartitions(*keys, *order).withColumn("_at", F.monotonically_increasing_id())
+    cut = _written(cut, "ranges")
+    # The number of a row is that of its range, 33 bits up, plus its place there.
+    bucket = F.shiftright("_at", 33)
+    runs = cut.groupBy(*[F.col(key).alias(f"_of_{key}") for key in keys], bucket.alias("_of_bucket")).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.partitionBy(*[f"_of_{key}" for key in keys]).orderBy("_of_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_start")
+    # Written, so that its size is known to the join: where keys are few, the rows stay where they are.
+    carried = _written(runs.select(*[f"_of_{key}" for key in keys], "_of_bucket", start), "range-starts")
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys], bucket == F.col("_of_bucket"))
+    return cut.join(carried, same).select(*df.columns, (F.col("_at") + F.col("_start")).alias(name))
 
 
 def blocked(df: DataFrame, position: Column, lookback: int, block: int = 65536) -> DataFrame:

@@ -32,34 +32,41 @@ _SIZED = [
     f"{_CREATED} + copy * 60 AS created",
 ]
 
-_CHARGE = {
-    "id": "CASE WHEN k % 97 = 0 THEN '' ELSE 'ch_' || k END",
-    "object": "'charge'",
-    "amount": "amount",
-    "amount_captured": "CASE WHEN s = 'F' THEN amount ELSE 0 END",
-    "amount_refunded": """CASE WHEN k % 10 = 1 THEN amount WHEN k % 10 = 2 THEN floor(amount / 2D)
-                          WHEN k % 59 = 0 THEN NULL ELSE 0 END""",
-    "currency": """CASE WHEN k % 61 = 0 THEN NULL WHEN (k * 13) % 10 < 8 THEN 'usd'
-                   WHEN (k * 13) % 10 = 8 THEN 'eur' ELSE 'gbp' END""",
-    "customer": """CASE WHEN k % 17 = 0 THEN NULL WHEN k % 19 = 0 THEN ''
-                   WHEN k % 23 = 0 THEN 'test_customer_' || c ELSE 'cus_' || c END""",
-    "description": "'order payment'",
-    "status": "CASE s WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'pending' ELSE 'failed' END",
-    "created": "created",
-    "paid": "s = 'F'",
-    "refunded": "k % 10 = 1",
-    "payment_method": "'card'",
-    "receipt_email": """CASE WHEN k % 29 = 0 THEN NULL WHEN k % 31 = 0 THEN 'qa@TEST.io'
-                        WHEN k % 37 = 0 THEN 'u@example.com' ELSE 'user' || c || '@mail.org' END""",
-    "receipt_url": "'https://receipts.invalid/'",
-}
+
+def _charge(of: str = "") -> dict[str, str]:
+    """The columns of a charge over those of ``_SIZED``, or over the fields of a struct with ``of`` before their names."""
+    return {
+        "id": f"CASE WHEN {of}k % 97 = 0 THEN '' ELSE 'ch_' || {of}k END",
+        "object": "'charge'",
+        "amount": f"{of}amount",
+        "amount_captured": f"CASE WHEN {of}s = 'F' THEN {of}amount ELSE 0 END",
+        "amount_refunded": f"""CASE WHEN {of}k % 10 = 1 THEN {of}amount WHEN {of}k % 10 = 2 THEN floor({of}amount / 2D)
+                    WHEN {of}k % 59 = 0 THEN NULL ELSE 0 END""",
+        "currency": f"""CASE WHEN {of}k % 61 = 0 THEN NULL WHEN ({of}k * 13) % 10 < 8 THEN 'usd'
+                    WHEN ({of}k * 13) % 10 = 8 THEN 'eur' ELSE 'gbp' END""",
+        "customer": f"""CASE WHEN {of}k % 17 = 0 THEN NULL WHEN {of}k % 19 = 0 THEN ''
+                    WHEN {of}k % 23 = 0 THEN 'test_customer_' || {of}c ELSE 'cus_' || {of}c END""",
+        "description": "'order payment'",
+        "status": f"CASE {of}s WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'pending' ELSE 'failed' END",
+        "created": f"{of}created",
+        "paid": f"{of}s = 'F'",
+        "refunded": f"{of}k % 10 = 1",
+        "payment_method": "'card'",
+        "receipt_email": f"""CASE WHEN {of}k % 29 = 0 THEN NULL WHEN {of}k % 31 = 0 THEN 'qa@TEST.io'
+                    WHEN {of}k % 37 = 0 THEN 'u@example.com' ELSE 'user' || {of}c || '@mail.org' END""",
+        "receipt_url": "'https://receipts.invalid/'",
+    }
+
+
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    copies = "explode(CASE WHEN o_orderkey % 41 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    return load(spark, sf_dir, "orders").selectExpr("*", copies).selectExpr(*_SIZED)
 
 
 def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Charge records from orders; some orders yield a second, later version."""
-    copies = "explode(CASE WHEN o_orderkey % 41 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
-    rows = load(spark, sf_dir, "orders").selectExpr("*", copies).selectExpr(*_SIZED)
-    return rows.selectExpr(*[f"{_CHARGE[name]} AS {name}" for name in CHARGE_COLUMNS])
+    columns = _charge()
+    return _sized(spark, sf_dir).selectExpr(*[f"{columns[name]} AS {name}" for name in CHARGE_COLUMNS])
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +103,11 @@ def charge_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> Data
 
 
 def _charge_pages(spark: SparkSession, sf_dir: str, page_size: int) -> DataFrame:
-    rows = charges(spark, sf_dir).withColumn("chain_id", F.col("created") % 20)
-    order = ["created", "id", "amount", "status"]
-    placed = ordinal(rows, ["chain_id"], order)
+    # Only what a charge is derived from is shuffled; the records, ten times as wide, are made in the pages.
+    columns, fields = ["k", "c", "s", "amount", "created"], _charge("item.")
+    rows = _sized(spark, sf_dir).withColumn("chain_id", F.col("created") % 20)
+    cursor, status = F.expr(_charge()["id"]), F.expr(_charge()["status"])
+    placed = ordinal(rows, ["chain_id"], ["created", cursor, "amount", status])
     place, page = F.col("ordinal") % page_size, F.floor((F.col("ordinal") - 1) / page_size)
     # The last row of a page is also the cursor of the next, its first row tells the page before of more.
     roles = F.array_compact(
@@ -108,15 +117,15 @@ def _charge_pages(spark: SparkSession, sf_dir: str, page_size: int) -> DataFrame
             F.when((place == 1) & (page > 0), F.struct((page - 1).alias("page_no"), F.lit("more").alias("role"))),
         )
     )
-    parts = placed.select("chain_id", "ordinal", *CHARGE_COLUMNS, F.inline(roles))
-    item = F.struct("ordinal", F.struct(*CHARGE_COLUMNS).alias("record"))
+    parts = placed.select("chain_id", "ordinal", *columns, F.inline(roles))
     role = F.col("role")
     pages = parts.groupBy("chain_id", "page_no").agg(
-        F.array_sort(F.collect_list(F.when(role == "data", item))).alias("items"),
-        F.max(F.when(role == "cursor", F.col("id"))).alias("starting_after"),
+        F.array_sort(F.collect_list(F.when(role == "data", F.struct("ordinal", *columns)))).alias("items"),
+        F.max(F.when(role == "cursor", cursor)).alias("starting_after"),
         F.bool_or(role == "more").alias("has_more"),
     )
-    data = F.transform("items", lambda entry: entry["record"]).alias("data")
+    record = ", ".join(f"{fields[name]} AS {name}" for name in CHARGE_COLUMNS)
+    data = F.expr(f"transform(items, item -> struct({record}))").alias("data")
     return pages.where(F.size("items") > 0).select(
         "chain_id", "page_no", "starting_after", F.to_json(F.struct(data, "has_more")).alias("body")
     )
