@@ -52,6 +52,18 @@ def test_overlapping_runs_of_a_job_keep_their_own_ends(spark):
     assert rows(got) == sorted([("j", "1", 1, "completed", 120000), ("j", "2", 1, "failed", 120000), (None, None, 1, "open", None), ("j", "1", 2, "open", None)], key=repr)
 
 
+def test_attempts_may_end_twice_or_before_they_start(spark):
+    at = lambda n: None if n is None else datetime(2024, 1, 1, 0, n)
+    told = [(1, "Completed: a"), (2, "Starting: a"), (3, "Failed: a"), (5, "Completed: a"), (6, "Starting: a"), (7, "Starting: a"), (9, "Completed: a"), (4, "other")]
+    lines = [("j", "1", at(n), text, 1) for n, text in told] + [("j", "2", at(None), "Starting: a", 1), ("j", "2", at(3), "Completed: a", 2)]
+    df = spark.createDataFrame(lines, "job_id STRING, run_id STRING, ts TIMESTAMP, message STRING, seq INT")
+    got = logs.operation_times(df, ["ts", "seq"], 3).select("run_id", "attempt", "started_at", "ended_at", "outcome")
+    assert rows(got) == sorted(
+        [("1", 0, None, at(1), "completed"), ("1", 1, at(2), at(5), "failed"), ("1", 2, at(6), None, "open"), ("1", 3, at(7), at(9), "completed"), ("2", 1, None, at(3), "completed")],
+        key=repr,
+    )
+
+
 def test_an_end_state_wins_a_tie(spark):
     same = datetime(2024, 1, 1)
     df = spark.createDataFrame([("j", 1, "running", same), ("j", 1, "failed", same)], "job_id STRING, run_no INT, status STRING, updated_at TIMESTAMP")

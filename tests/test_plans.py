@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.operators import customers, dedup, enrich, quality
+from tidegate.operators import customers, dedup, enrich, logs, quality
 from tidegate.plans import tables
 
 from __spark_entry__ import queries
@@ -55,3 +55,19 @@ def test_salted_counts_spread_a_hot_day(spark):
     text = plan(quality.salted_daily(df, "day", "key"))
     keys = [len(k.split(", ")) - 1 for k in re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", text)]
     assert keys == [1, 2, 3], "by day at the end, by day and salt before, by day, salt and key first"
+
+
+def test_pages_shuffle_what_charges_are_derived_from(spark):
+    text = plan(tables._charge_pages(spark, SF, 100))
+    assert text.count("Exchange hashpartitioning") == 1, "the rows are numbered where they were sorted"
+    assert "receipt_email" in text
+    assert "receipt_email" not in text.split("Exchange hashpartitioning")[1]
+
+
+def test_operation_times_sort_and_hold_no_groups(spark, monkeypatch):
+    monkeypatch.setattr(logs, "TASK_LINES", 100)
+    run, text = (F.col("id") % 700).cast("string"), F.concat(F.lit("Starting: "), (F.col("id") % 3).cast("string"))
+    lines = spark.range(2000).select(run.alias("job_id"), run.alias("run_id"), F.timestamp_seconds("id").alias("ts"), text.alias("message"))
+    text = plan(logs.operation_times(lines, ["ts"]))
+    assert "Aggregate" not in text
+    assert re.search(r"hashpartitioning\(job_id\S+ run_id\S+ operation\S+ 20\), REPARTITION_BY_NUM", text), "tasks grow with the lines"

@@ -11,6 +11,9 @@ from tidegate.operators.ordered import ordinal
 from tidegate.operators.validate import parsed_once
 from tidegate.schema import LOG_SCHEMA
 
+#: Lines that a task of the operation times sorts, about.
+TASK_LINES = 500_000
+
 
 def parse_log(lines: DataFrame, text: str = "value") -> DataFrame:
     """Typed fields of JSON lines; a line that is no JSON keeps its text in ``corrupt``."""
@@ -86,12 +89,14 @@ def sample_every(log: DataFrame, n: int = 100, by: str = "operation", order: lis
     return ordinal(log, [by], order).where(F.col("ordinal") % n == 0).drop("ordinal")
 
 
-def operation_times(log: DataFrame, order: list[str]) -> DataFrame:
+def operation_times(log: DataFrame, order: list[str], pieces: int | None = None) -> DataFrame:
     """Pair 'Starting' lines with the 'Completed' or 'Failed' line that follows in the same run.
 
     Takes ``job_id``, ``run_id``, ``ts``, ``message`` and the columns of ``order``, which starts with ``ts``.
-    Numbering the starts of an operation within its run turns the pairing into an aggregate, so runs of a job
-    that overlap do not mix; a start without an end stays 'open'. A NULL job or run is a value of its own.
+    Starts of an operation within its run are numbered, so runs of a job that overlap do not mix; a start
+    without an end stays 'open'. A NULL job or run is a value of its own. ``pieces`` is the number of tasks,
+    by default that of the session's shuffle partitions or one for ``TASK_LINES`` lines, whichever is more: a
+    task sorts its lines and holds nothing else, so that its memory does not grow with the log.
     """
     message, run = F.col("message"), ["job_id", "run_id", "operation"]
     lines = log.select(
@@ -102,14 +107,22 @@ def operation_times(log: DataFrame, order: list[str]) -> DataFrame:
         message.startswith("Starting: ").alias("starts"),
         message.startswith("Failed: ").alias("fails"),
     ).where(F.col("operation") != "")
+    wanted = pieces or max(int(log.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-log.count() // TASK_LINES))
     # A run's lines of one operation are few, so a plain window serves.
-    place = Window.partitionBy(*run).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = lines.withColumn("attempt", F.sum(F.col("starts").cast("bigint")).over(place))
-    paired = numbered.groupBy(*run, "attempt").agg(
-        F.min(F.when(F.col("starts"), F.col("ts"))).alias("started_at"),
-        F.max(F.when(~F.col("starts"), F.col("ts"))).alias("ended_at"),
-        F.bool_or("fails").alias("failed"),
+    place = Window.partitionBy(*run).orderBy(*order)
+    so_far = place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts, fails = F.col("starts"), F.col("fails")
+    numbered = lines.repartition(wanted, *run).select(
+        *run,
+        "ts",
+        "starts",
+        F.sum(starts.cast("bigint")).over(so_far).alias("attempt"),
+        F.last(F.when(starts, F.struct("ts")), True).over(so_far)["ts"].alias("started_at"),
+        F.last(F.when(starts | fails, fails), True).over(so_far).alias("failed"),
+        F.lead("starts").over(place).alias("next_starts"),
     )
+    # The last line of an attempt is its latest end, or its start if it has none.
+    paired = numbered.where("next_starts IS NULL OR next_starts").withColumn("ended_at", F.when(~starts, F.col("ts")))
     return paired.select(
         *run,
         "attempt",
