@@ -4,7 +4,9 @@ import re
 import numpy as np
 import pytest
 
+from tidegate.llm import components as components_module
 from tidegate.llm import ngram_join as nj
+from tidegate.llm.common import written
 from tidegate.llm.components import components
 
 SCHEMA = "doc_id long, text string"
@@ -131,3 +133,22 @@ def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 140)] + [(900, i) for i in range(901, 930)] + [(5, 5), (7, 6), (6, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 141)} | {i: 900 for i in range(900, 930)} | {6: 6, 7: 6}
+
+
+def test_rounds_of_components_send_nothing_through_the_driver(spark, monkeypatch):
+    plans = []
+
+    def noted(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(components_module, "written", noted)
+    chain = spark.range(1, 9).selectExpr("id AS a", "id - 1 AS b").unionByName(spark.range(21, 30).selectExpr("id AS a", "20L AS b"))
+    got = components_module.components(chain)
+    assert {(r.node, r.component) for r in got.collect()} == {(n, 0) for n in range(9)} | {(n, 20) for n in range(20, 30)}
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 3 and not any("Broadcast" in p for p in plans)
+    plans.clear()
+    components_module.components(spark.range(1, 9).selectExpr("id AS a", "0L AS b"))
+    assert len(plans) == 1, "stars need no round"

@@ -13,29 +13,27 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 
     Alternates between linking all larger neighbours and all neighbours of a node to its smallest one until every node
     hangs on the smallest of its component. The smallest neighbour is found by a pre-aggregated minimum, and a node's
-    neighbours are never gathered in one place. Every round is a written table.
+    neighbours are never gathered in one place. Every round is a written table. Its joins are merged: both sides are
+    shuffled anyway, and the tables that would be broadcast, several in a round, would add up in the driver.
     """
     current = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
-    state, turn = _summary(current), 0
-    while True:
+    turn = 0
+    while not _stars(current):
         turn += 1
         both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
         # A hub has many neighbours; see dealt_anew.
         key = dealt_anew(F.col("a")).alias("key")
-        large = both.filter("b > a").select(key, "a", "b").join(least.select(key, "least"), "key").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
+        large = both.filter("b > a").select(key, "a", "b").join(least.select(key, "least").hint("merge"), "key").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
         smallest = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.select(key, "a", "b").join(smallest.select(key, "least"), "key").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").unionByName(smallest.select("a", F.col("least").alias("b")))
+        small = large.select(key, "a", "b").join(smallest.select(key, "least").hint("merge"), "key").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").unionByName(smallest.select("a", F.col("least").alias("b")))
         current = written(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-{turn}")
-        after = _summary(current)
-        if after == state:
-            break
-        state = after
-    roots = current.select(F.col("b").alias("node")).distinct().join(current.select(F.col("a").alias("node")), "node", "left_anti")
+    roots = current.select(F.col("b").alias("node")).distinct().join(current.select(F.col("a").alias("node")).hint("merge"), "node", "left_anti")
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
 
 
-def _summary(links: DataFrame) -> tuple:
-    """Equal before and after a round only if the round changed nothing (128 bits of sums)."""
-    mixed = [F.sum(F.xxhash64(F.lit(seed), "a", "b").cast("decimal(20,0)")) for seed in (1, 2)]
-    return tuple(links.agg(F.count("*"), *mixed).first())
+def _stars(links: DataFrame) -> bool:
+    """Whether each node hangs on one alone, and that on nothing: then a round would change nothing."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    met = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return met.filter("hangs > 1 OR (hangs = 1 AND holds = 1)").agg(F.count("*")).first()[0] == 0

@@ -383,6 +383,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     kept = sets_placed.join(nodes.select("doc_id").distinct(), "doc_id", "left_semi")
     pairs = written(cross_pairs(prefix_rows(kept)), "cross-pairs")
     others = written(other_prefixes(of_pairs(documents, pairs, "cross-ids"), counts), "other-prefixes")
+    counts.destroy()
     far = verified(written(sharing_all(pairs, others), "candidates"), documents, "cross-links")
 
     copies = sets.join(nodes.select("d1", "d2", "n", F.col("doc_id").alias("b")), ["d1", "d2", "n"]).select(F.col("doc_id").alias("a"), "b")
