@@ -1,7 +1,9 @@
+import pickle
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidegate.llm import components as components_module
@@ -152,3 +154,52 @@ def test_rounds_of_components_send_nothing_through_the_driver(spark, monkeypatch
     plans.clear()
     components_module.components(spark.range(1, 9).selectExpr("id AS a", "0L AS b"))
     assert len(plans) == 1, "stars need no round"
+
+
+def test_a_round_of_components_shuffles_seven_times(spark, monkeypatch):
+    plans = []
+
+    def noted(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n"))
+        return written(df, name)
+
+    monkeypatch.setattr(components_module, "written", noted)
+    components_module.components(spark.range(1, 9).selectExpr("id AS a", "id - 1 AS b"))
+    shuffles = [sum("Exchange hashpartitioning" in line and "Reused" not in line for line in plan) for plan in plans[1:]]
+    assert shuffles and max(shuffles) <= 7
+
+
+def test_later_components_start_from_the_stars_of_earlier_ones(frame, monkeypatch):
+    draw, n = random.Random(4), 80
+    base = [f"w{i}" for i in range(300)]
+    given = []
+
+    def noted(links, name):
+        given.append(links.distinct().collect())
+        return components(links, name)
+
+    def copy():
+        out = list(base)
+        for at in draw.sample(range(300), 6):  # two copies are about 0.66 alike
+            out[at] = f"x{draw.randrange(10**9)}"
+        return " ".join(out)
+
+    monkeypatch.setattr(nj, "components", noted)
+    found, _ = nj.near_duplicates(frame([(n // 2, " ".join(base)), *((i, copy()) for i in range(n) if i != n // 2)], SCHEMA))
+    assert {r["component_id"] for r in found.collect()} == {0}
+    hangs = [r["a"] for r in given[-1] if r["a"] != r["b"]]
+    assert len(hangs) == len(set(hangs)) == n - 1
+
+
+def test_the_driver_holds_the_token_counts_packed(frame):
+    profiles = frame([(b"", None)], "x binary, y long").select("x").mapInArrow(lambda batches: nj._profile(pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64()), "text": pa.array([b"a b c d e f"])}) for _ in batches), "doc_id long, n long, d1 long, d2 long, least array<long>, counts binary")
+    counts = nj.token_counts(profiles)
+    assert len(pickle.dumps(counts)) < 1 << 20
+    assert counts.tables.shape == (nj.ORDERS, nj.BUCKETS) and counts.tables.sum() == 2 * nj.ORDERS
+
+
+def test_full_buckets_count_no_higher():
+    full = np.full((nj.ORDERS, nj.BUCKETS), nj.FULL + 5)
+    added = next(nj._added(iter([pa.RecordBatch.from_pydict({"counts": [nj._packed_counts(full)] * 3})])))
+    assert (nj.TokenCounts(added.column(0)[0].as_py()).tables == nj.FULL).all()

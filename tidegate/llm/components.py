@@ -24,10 +24,12 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
         # A hub has many neighbours; see dealt_anew.
         key = dealt_anew(F.col("a")).alias("key")
-        large = both.filter("b > a").select(key, "a", "b").join(least.select(key, "least").hint("merge"), "key").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
+        larger = current.select(dealt_anew(F.col("b")).alias("key"), "a")
+        large = larger.join(least.select(key, "least").hint("merge"), "key").select("a", F.col("least").alias("b"))
         smallest = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.select(key, "a", "b").join(smallest.select(key, "least").hint("merge"), "key").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").unionByName(smallest.select("a", F.col("least").alias("b")))
-        current = written(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-{turn}")
+        # Equal rows go at the end of the round only: a shuffle between the joins would send no fewer.
+        small = large.select(key, "a", "b").join(smallest.select(key, "least").hint("merge"), "key").select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
+        current = written(small.filter("a <> b").distinct(), f"{name}-{turn}")
     roots = current.select(F.col("b").alias("node")).distinct().join(current.select(F.col("a").alias("node")).hint("merge"), "node", "left_anti")
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
 

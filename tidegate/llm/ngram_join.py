@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +41,12 @@ HUB_AGREE = 2
 ORDERS = 3
 #: Rounds of hubs at most, and the share of a round's pairs that must be links for another round; as above.
 HUB_ROUNDS, HUB_YIELD = 4, 0.1
-#: Buckets of the table of token counts of each order: fixed, whatever the number of tokens.
-BUCKETS = 1 << 20
+#: Buckets of the table of token counts of each order: fixed, whatever the number of tokens. No bucket counts higher than FULL.
+BUCKETS, FULL = 1 << 20, (1 << 30) - 1
 #: Rows that a task hands over, and tokens that it counts, at once.
 FLUSH_ROWS = 100_000
+#: Columns of a pair: its documents and, in any order, the components that they are in so far.
+PAIR = ["a", "b", "ca", "cb"]
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -115,7 +117,7 @@ def buckets_of(tokens: np.ndarray, order: int) -> np.ndarray:
 
 def first_in_order(tokens: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
     """The prefix of the tokens under the order: rare buckets first, then by hash; ties by the token itself."""
-    full = np.minimum(counts[order][buckets_of(tokens, order)], (1 << 30) - 1).astype(np.uint64)
+    full = np.minimum(counts[order][buckets_of(tokens, order)], FULL).astype(np.uint64)
     keys = (full << np.uint64(34)) | (mixed(tokens, order + ORDERS) >> np.uint64(30))
     size = prefix_size(len(tokens))
     if size == len(tokens):
@@ -167,19 +169,35 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if pending:
         count()
     if counts.any():
-        packed = zstandard.compress(counts.tobytes())
+        packed = _packed_counts(counts)
         yield pa.RecordBatch.from_pydict({"doc_id": [None], "n": [None], "d1": [None], "d2": [None], "least": [None], "counts": [packed]}, schema=pa.schema({"doc_id": pa.int64(), "n": pa.int64(), "d1": pa.int64(), "d2": pa.int64(), "least": pa.list_(pa.int64()), "counts": pa.binary()}))
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    return zstandard.compress(np.minimum(counts, FULL).astype(np.int32).tobytes())
+
+
+class TokenCounts:
+    """The tables of token counts, one for each order. Packed until a worker needs them: the driver only hands them on."""
+
+    def __init__(self, packed: bytes | None) -> None:
+        self.packed = packed
+
+    @cached_property
+    def tables(self) -> np.ndarray:
+        flat = np.frombuffer(zstandard.decompress(self.packed), np.int32) if self.packed else np.zeros(ORDERS * BUCKETS, np.int32)
+        return flat.reshape(ORDERS, BUCKETS)
+
+
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(ORDERS * BUCKETS, np.int64)
+    total = np.zeros((ORDERS, BUCKETS), np.int64)
     for batch in batches:
         for packed in batch.column(0):
-            total += np.frombuffer(zstandard.decompress(packed.as_py()), np.int64)
-    yield pa.RecordBatch.from_pydict({"counts": [zstandard.compress(total.tobytes())]})
+            total += TokenCounts(packed.as_py()).tables
+    yield pa.RecordBatch.from_pydict({"counts": [_packed_counts(total)]})
 
 
-def token_counts(profiles: DataFrame) -> np.ndarray:
+def token_counts(profiles: DataFrame) -> TokenCounts:
     """The tables of all tasks added up, in rounds that leave a sixteenth each, so that no task and not the driver gets many."""
     tables = profiles.filter("counts is not null").select("counts")
     left = tables.count()
@@ -187,7 +205,7 @@ def token_counts(profiles: DataFrame) -> np.ndarray:
         left = -(-left // 16)
         tables = written(tables.repartition(left).mapInArrow(_added, "counts binary"), "token-counts")
     found = tables.first()
-    return np.frombuffer(zstandard.decompress(found["counts"]), np.int64).reshape(ORDERS, BUCKETS) if found else np.zeros((ORDERS, BUCKETS), np.int64)
+    return TokenCounts(bytes(found["counts"]) if found else None)
 
 
 # ---- pairs
@@ -206,7 +224,7 @@ def of_pairs(rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 
 
 def hub_pairs(each: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a set's document and the hub of those that agree with it in a smallest hash, of different components.
+    """Pairs of a set's document and the hub of those that agree with it in a smallest hash, of different components (``ca``, ``cb``).
 
     ``each`` has a row for each smallest hash. The first round's hub has the most support, that of later ones the
     smallest hash of id and round.
@@ -216,8 +234,9 @@ def hub_pairs(each: DataFrame, turn: int) -> DataFrame:
     key = dealt_anew(F.col("hash")).alias("hash")
     hubs = hubs.filter("one < other").select("seed", key, F.col("hub.doc_id").alias("hub_id"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component"))
     met = each.select("doc_id", "n", "component", "seed", key).join(hubs, ["seed", "hash"]).filter((F.col("hub_component") != F.col("component")) & _sizes_fit(F.col("n"), F.col("hub_n")))
-    pairs = met.groupBy(F.greatest("doc_id", "hub_id").alias("a"), F.least("doc_id", "hub_id").alias("b")).count()
-    return pairs.filter(F.col("count") >= HUB_AGREE).select("a", "b")
+    ends = [F.greatest("component", "hub_component").alias("ca"), F.least("component", "hub_component").alias("cb")]
+    pairs = met.groupBy(F.greatest("doc_id", "hub_id").alias("a"), F.least("doc_id", "hub_id").alias("b"), *ends).count()
+    return pairs.filter(F.col("count") >= HUB_AGREE).select(*PAIR)
 
 
 def _sizes_fit(one, other):
@@ -242,19 +261,20 @@ def verified(pairs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
             return held[packed]
 
         for batch in batches:
-            keep = pa.array([linked(prepared(one.as_py()), prepared(other.as_py())) for one, other in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+            *pair, ones, others = batch.columns
+            keep = pa.array([linked(prepared(one.as_py()), prepared(other.as_py())) for one, other in zip(ones, others, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in pair], PAIR)
 
     with_one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("packed").alias("one")), "a")
     with_both = with_one.join(texts.select(F.col("doc_id").alias("b"), F.col("packed").alias("other")), "b")
-    return written(with_both.select("a", "b", "one", "other").mapInArrow(judge, "a long, b long"), name)
+    return written(with_both.select(*PAIR, "one", "other").mapInArrow(judge, ", ".join(f"{c} long" for c in PAIR)), name)
 
 
 def prefixes(documents: DataFrame, counts) -> DataFrame:
     """``doc_id``, ``n``, ``support``, ``prefix``: size of each set, how frequent its tokens are, and the first quarter of them under the first order."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, tables = Shingler(), counts.value.tables
         for batch in batches:
             for piece in slices(batch):
                 rows, sizes, support, found = [], [], [], []
@@ -263,8 +283,8 @@ def prefixes(documents: DataFrame, counts) -> DataFrame:
                     if len(tokens):
                         rows.append(i)
                         sizes.append(len(tokens))
-                        support.append(float(np.log2(counts.value[0][buckets_of(tokens, 0)] + 1.0).mean()))
-                        found.append(first_in_order(tokens, counts.value, 0).view(np.int64))
+                        support.append(float(np.log2(tables[0][buckets_of(tokens, 0)] + 1.0).mean()))
+                        found.append(first_in_order(tokens, tables, 0).view(np.int64))
                 if rows:
                     yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(rows)), pa.array(sizes, pa.int32()), pa.array(support), _lists(found)], ["doc_id", "n", "support", "prefix"])
 
@@ -280,14 +300,14 @@ def other_prefixes(documents: DataFrame, counts) -> DataFrame:
     names = [f"prefix{order}" for order in range(1, ORDERS)]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, tables = Shingler(), counts.value.tables
         for batch in batches:
             for piece in slices(batch):
                 found = [[] for _ in names]
                 for text in piece.column(1):
                     tokens = shingler.set_of(text.as_py())
                     for order, lists in enumerate(found, 1):
-                        first = first_in_order(tokens, counts.value, order) if len(tokens) else tokens
+                        first = first_in_order(tokens, tables, order) if len(tokens) else tokens
                         lists.append((first >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 yield pa.RecordBatch.from_arrays([piece.column(0), *map(_lists, found)], ["doc_id", *names])
 
@@ -307,7 +327,7 @@ def sharing_all(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return pairs
     side = lambda of: sets.select(F.col("doc_id").alias(of), *(F.col(n).alias(f"{of}_{n}") for n in names))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.filter(reduce(lambda x, y: x & y, [F.arrays_overlap(f"a_{n}", f"b_{n}") for n in names])).select("a", "b").distinct()
+    return both.filter(reduce(lambda x, y: x & y, [F.arrays_overlap(f"a_{n}", f"b_{n}") for n in names])).select(*PAIR).distinct()
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +359,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     least = F.ceil((F.col("x.n") + F.col("y.n")) * PERCENT / (100 + PERCENT) - F.lit(1e-9))
     can_follow = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     fits = (F.col("x.doc_id") > F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component")) & _sizes_fit(F.col("x.n"), F.col("y.n")) & (can_follow >= least)
-    return x.join(y, (F.col("x.token") == F.col("y.token")) & fits).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & fits).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb")).distinct()
 
 
 def _placed(rows: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -347,6 +367,11 @@ def _placed(rows: DataFrame, grouped: DataFrame) -> DataFrame:
     return rows.join(grouped, F.col("doc_id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc_id")).drop("node")
 
 
+def _merging(links: DataFrame, others: list[DataFrame]) -> DataFrame:
+    """The links as links of the components so far, with others, such as the stars that these components are: fewer rounds than from all links anew."""
+    return reduce(DataFrame.unionByName, others, links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+
+
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """``doc_id``, ``n_shingles``, ``component_id`` of each row, and the verified links (``a`` > ``b``) between different sets.
 
@@ -368,15 +393,16 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     # A hash that one set has alone makes no pair in any round.
     shared = hashes.groupBy("seed", "hash").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("other")).filter("one < other").select("seed", dealt_anew(F.col("hash")).alias("hash"))
     hashes = written(hashes.withColumn("hash", dealt_anew(F.col("hash"))).join(shared, ["seed", "hash"]), "hub-candidates")
-    near, grouped = spark.createDataFrame([], "a long, b long"), None
+    near, grouped, stars = spark.createDataFrame([], "a long, b long"), None, []
     for turn in range(HUB_ROUNDS):
         each = hashes.withColumn("component", F.col("doc_id")) if grouped is None else _placed(hashes, grouped)
         pairs = written(hub_pairs(each, turn), f"hub-pairs-{turn}")
         new = verified(pairs, documents, f"hub-links-{turn}")
         tried, linked_now = pairs.count(), new.count()
-        near = near.unionByName(new)
+        near = near.unionByName(new.select("a", "b"))
         if linked_now:
-            grouped = written(components(near, f"hub-components-{turn}"), f"hub-groups-{turn}")
+            grouped = written(components(_merging(new, stars), f"hub-components-{turn}"), f"hub-groups-{turn}")
+            stars = [grouped.select(F.col("node").alias("a"), F.col("component").alias("b"))]
         if linked_now < HUB_YIELD * tried or not tried:
             break
     sets_placed = found.withColumn("component", F.col("doc_id")) if grouped is None else _placed(found, grouped)
@@ -387,7 +413,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     far = verified(written(sharing_all(pairs, others), "candidates"), documents, "cross-links")
 
     copies = sets.join(nodes.select("d1", "d2", "n", F.col("doc_id").alias("b")), ["d1", "d2", "n"]).select(F.col("doc_id").alias("a"), "b")
-    links = near.unionByName(far).distinct()
-    all_links = components(reduce(DataFrame.unionByName, [links, copies]), "near-components")
+    links = near.unionByName(far.select("a", "b")).distinct()
+    all_links = components(_merging(far, [*stars, copies]), "near-components")
     out = profiles.filter("n is not null").join(all_links, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")), links
