@@ -203,3 +203,10 @@ def test_full_buckets_count_no_higher():
     full = np.full((nj.ORDERS, nj.BUCKETS), nj.FULL + 5)
     added = next(nj._added(iter([pa.RecordBatch.from_pydict({"counts": [nj._packed_counts(full)] * 3})])))
     assert (nj.TokenCounts(added.column(0)[0].as_py()).tables == nj.FULL).all()
+
+
+def test_the_nodes_of_stars_are_found_without_a_join(spark):
+    got = components(spark.range(1, 50).selectExpr("id AS a", "0L AS b"))
+    assert sorted(map(tuple, got.collect())) == [(i, 0) for i in range(50)]
+    # An anti join is pushed below the distinct and then sends all links of a hub to one task.
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()

@@ -30,7 +30,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         # Equal rows go at the end of the round only: a shuffle between the joins would send no fewer.
         small = large.select(key, "a", "b").join(smallest.select(key, "least").hint("merge"), "key").select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
         current = written(small.filter("a <> b").distinct(), f"{name}-{turn}")
-    roots = current.select(F.col("b").alias("node")).distinct().join(current.select(F.col("a").alias("node")).hint("merge"), "node", "left_anti")
+    # Of stars, what others hang on hangs on nothing.
+    roots = current.select(F.col("b").alias("node")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
 
 
